@@ -73,7 +73,7 @@ LINES_SQL = r"""
 
 @query("list_file_lines", f"SELECT name, unnest(range(n)) AS position FROM ({LINES_SQL})")
 def list_file_lines(spark, sf_dir):
-    ranges = files.text_ranges(t.table(spark, sf_dir, "documents"), "doc_id", "text")
+    ranges = files.text_ranges(t.lines(spark, sf_dir), "doc_id", "text")
     return files.positions(ranges)
 
 

@@ -295,12 +295,16 @@ def as_sales(lineitem: DataFrame) -> DataFrame:
 
 
 def with_city(sales: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    stores = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("store_id"), F.col("n_name").alias("city"))
+    """Sales with their store's city.
+
+    The joins are left-deep on plain scans, whose sizes the planner knows; for a join
+    of two small tables it assumes the product of their sizes.
+    """
+    stores = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("store_id"), F.col("s_nationkey").alias("n_nationkey")
     )
-    return sales.join(stores, "store_id")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    return sales.join(stores, "store_id").join(nations, "n_nationkey").drop("n_nationkey")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,8 +69,15 @@ def text_lines(text: Column) -> Column:
 
 
 def line_total(text: Column) -> Column:
-    """Number of lines, as ``text_lines`` counts them."""
-    broken = F.regexp_replace(text, r"\r\n?", "\n")
-    breaks = F.length(broken) - F.length(F.replace(broken, F.lit("\n"), F.lit("")))
-    unfinished = (F.length(broken) > 0) & ~broken.endswith("\n")
+    """Number of lines, as ``text_lines`` counts them.
+
+    Line breaks are counted by the bytes that go missing without them.
+    """
+    size = F.octet_length(text)
+
+    def occurrences(mark: str) -> Column:
+        return (size - F.octet_length(remove_literal(text, mark))) / F.lit(len(mark))
+
+    breaks = occurrences("\n") + occurrences("\r") - occurrences("\r\n")
+    unfinished = (size > 0) & ~text.endswith("\n") & ~text.endswith("\r")
     return (breaks + unfinished.cast("int")).cast("bigint")

@@ -48,6 +48,19 @@ def answer_distinct(client: Client, frame: pd.DataFrame, word: str, answer: str)
     return frame.assign(**{answer: frame[word].map(answers).astype("int32")})
 
 
+def answer_in_batches(
+    client: Client, frame: pd.DataFrame, batch_size: int, word: str, answer: str
+) -> pd.DataFrame:
+    """One call per ``batch_size`` rows, each on its distinct words."""
+    requests, answers = frame[word].tolist(), []
+    for start in range(0, len(requests), batch_size):
+        batch = requests[start : start + batch_size]
+        unique = list(dict.fromkeys(batch))
+        given = dict(zip(unique, client(unique)))
+        answers.extend(given[w] for w in batch)
+    return frame.assign(**{answer: pd.Series(answers, frame.index, dtype="int32")})
+
+
 def enrich_each(
     words: DataFrame,
     word: str = "word",
@@ -113,21 +126,17 @@ def enrich_batch_sized(
     def work(client: Client, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[int, pd.DataFrame] = {}
         for frame in frames:
-            done = []
             for key, rows in frame.groupby("_bucket", sort=False):
                 rows = rows.drop(columns="_bucket")
                 if key in waiting:
                     rows = pd.concat([waiting.pop(key), rows], ignore_index=True)
                 full = len(rows) - len(rows) % batch_size
-                for start in range(0, full, batch_size):
-                    batch = rows.iloc[start : start + batch_size]
-                    done.append(answer_distinct(client, batch, word, answer))
+                if full:
+                    yield answer_in_batches(client, rows.iloc[:full], batch_size, word, answer)
                 if full < len(rows):
                     waiting[key] = rows.iloc[full:]
-            if done:
-                yield pd.concat(done, ignore_index=True)
         for rows in waiting.values():
-            yield answer_distinct(client, rows, word, answer)
+            yield answer_in_batches(client, rows, batch_size, word, answer)
 
     return keyed.mapInPandas(_closing(open_client, work), _answered(words, answer))
 

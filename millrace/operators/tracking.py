@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import pace
@@ -143,6 +143,22 @@ def long_average(metrics: DataFrame, short: int, long: int) -> DataFrame:
     return _average(_metric_sums(metrics, long, short), short, "long_avg")
 
 
+def _paired_averages(metrics: DataFrame, short: int, long: int) -> DataFrame:
+    sums = _metric_sums(metrics, short, short)
+    start = panes.micros(F.col("window_start"))
+    reach = Window.partitionBy("user").orderBy(start).rangeBetween(short - long, 0)
+
+    def long_sum(column: str) -> Column:
+        return F.sum(column).over(reach)
+
+    return sums.select(
+        "user",
+        "window_start",
+        pace.mean_pace(F.col("distance"), F.col("duration")).alias("short_avg"),
+        pace.mean_pace(long_sum("distance"), long_sum("duration")).alias("long_avg"),
+    )
+
+
 def _with_status(paired: DataFrame) -> DataFrame:
     status = pace.pace_status(F.col("short_avg"), F.col("long_avg"))
     return (
@@ -155,9 +171,13 @@ def _with_status(paired: DataFrame) -> DataFrame:
 def motivation_cogroup(metrics: DataFrame, short: int, long: int) -> DataFrame:
     """Status per user and short window, from co-grouping both averages.
 
-    A co-group is one aggregate over the union of its sides; each side has at most
-    one pace per (user, window), so nothing is collected into lists.
+    Where short windows tile the long ones, both paces come from one pass over the
+    short windows' sums: the long sums are a range frame over them.  A user has one
+    row per short window there, however many positions.  Otherwise the two averages
+    meet in one aggregate over their union, with at most one pace each per group.
     """
+    if long % short == 0:
+        return _with_status(_paired_averages(metrics, short, long))
     shorts = short_average(metrics, short)
     longs = long_average(metrics, short, long)
     sides = shorts.unionByName(longs, allowMissingColumns=True)

@@ -161,15 +161,18 @@ def _carried(parts: Chunked, folds: dict[str, Fold]) -> DataFrame:
     )
 
 
-def _with_carry(parts: Chunked, folds: dict[str, Fold]) -> tuple[DataFrame, list[str]]:
-    names = [f"_carried_{name}" for name in folds]
+def _join_carried(
+    windowed: DataFrame, parts: Chunked, folds: dict[str, Fold]
+) -> tuple[DataFrame, list[str]]:
+    """Add each chunk's inherited values to rows whose windows are already computed.
+
+    The join comes after the windows so that their shuffle does not wait for it.
+    """
     if not parts.cuts:
-        return parts.rows, []
+        return windowed, []
+    names = [f"_carried_{name}" for name in folds]
     carried = _carried(parts, dict(zip(names, folds.values())))
-    return (
-        parts.rows.join(F.broadcast(carried), [CHUNK, *parts.keys], "left"),
-        names,
-    )
+    return windowed.join(F.broadcast(carried), [CHUNK, *parts.keys], "left"), names
 
 
 def running(
@@ -179,36 +182,35 @@ def running(
 
     Without ``include_current`` the first row of a key gets null.
     """
-    rows, carried = _with_carry(parts, folds)
     last = Window.currentRow if include_current else -1
     prefix = (
         Window.partitionBy(CHUNK, *parts.keys)
         .orderBy(*parts.order)
         .rowsBetween(Window.unboundedPreceding, last)
     )
-    # Windows first, combination second, so that one sort serves all the folds.
-    for name, fold in folds.items():
-        rows = rows.withColumn(f"_local_{name}", fold.aggregate(fold.value).over(prefix))
+    local = {f"_local_{n}": f.aggregate(f.value).over(prefix) for n, f in folds.items()}
+    rows, carried = _join_carried(parts.rows.withColumns(local), parts, folds)
+    results = {}
     for i, (name, fold) in enumerate(folds.items()):
-        local = F.col(f"_local_{name}")
+        value = F.col(f"_local_{name}")
         if carried:
             earlier = F.col(carried[i])
-            local = F.coalesce(fold.combine(earlier, local), local, earlier)
-        rows = rows.withColumn(name, local)
-    return rows.drop(*[f"_local_{name}" for name in folds], *carried)
+            value = F.coalesce(fold.combine(earlier, value), value, earlier)
+        results[name] = value
+    return rows.withColumns(results).drop(*local, *carried)
 
 
 def previous(parts: Chunked, columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + column`` holding the value from the key's previous row."""
-    ordered = F.struct(*parts.order, *[F.col(c).alias(f"_{c}") for c in columns])
-    rows, carried = _with_carry(parts, {"previous": fold_max(ordered)})
+    payload = F.struct(*[F.col(c).alias(f"_{c}") for c in columns])
     within = Window.partitionBy(CHUNK, *parts.keys).orderBy(*parts.order)
-    rows = rows.withColumn(
-        "_previous", F.lag(F.struct(*[F.col(c).alias(f"_{c}") for c in columns])).over(within)
-    )
+    windowed = parts.rows.withColumn("_previous", F.lag(payload).over(within))
+    latest = fold_max(F.struct(*parts.order, *[F.col(c).alias(f"_{c}") for c in columns]))
+    rows, carried = _join_carried(windowed, parts, {"previous": latest})
+    results = {}
     for c in columns:
         value = F.col(f"_previous._{c}")
         if carried:
             value = F.coalesce(value, F.col(f"{carried[0]}._{c}"))
-        rows = rows.withColumn(f"{prefix}{c}", value)
-    return rows.drop("_previous", *carried)
+        results[f"{prefix}{c}"] = value
+    return rows.withColumns(results).drop("_previous", *carried)

@@ -52,6 +52,19 @@ def with_bounds(df: DataFrame) -> DataFrame:
     )
 
 
+def _window_starts(size: int, period: int, width: int) -> Column:
+    """Starts of the windows that contain a pane; none in the gap between windows."""
+    pane = F.col("_pane")
+    step = F.lit(period).cast("bigint")
+    first = pane + F.lit(width - size).cast("bigint")
+    first = first + F.pmod(-first, step)
+    last = floor_to(pane, period)
+    starts = F.sequence(first, last, step)
+    if period <= size:
+        return starts
+    return F.when(first <= last, starts).otherwise(F.array().cast("array<bigint>"))
+
+
 def sliding_sums(
     df: DataFrame,
     ts: str,
@@ -68,14 +81,13 @@ def sliding_sums(
     width = gcd(size, period)
     at = micros(F.col(ts))
     panes = df.groupBy(*keys, floor_to(at, width).alias("_pane")).agg(*totals)
-    pane = F.col("_pane")
-    earliest = pane + F.lit(width - size).cast("bigint")
-    earliest = earliest + F.pmod(-earliest, F.lit(period).cast("bigint"))
-    starts = F.sequence(earliest, floor_to(pane, period), F.lit(period).cast("bigint"))
-    placed = panes.where(earliest <= pane).select(
-        *keys, F.explode(starts).alias("_start"), *sums
-    )
-    merged = placed.groupBy(*keys, "_start").agg(*[F.sum(n).alias(n) for n in sums])
+    if size == period:
+        merged = panes.withColumnRenamed("_pane", "_start")
+    else:
+        placed = panes.select(
+            *keys, F.explode(_window_starts(size, period, width)).alias("_start"), *sums
+        )
+        merged = placed.groupBy(*keys, "_start").agg(*[F.sum(n).alias(n) for n in sums])
     return merged.select(
         *keys,
         from_micros(F.col("_start")).alias("window_start"),

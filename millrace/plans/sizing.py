@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+SPREAD_LIMIT_BYTES = 1024 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -34,11 +35,13 @@ def shuffle_width(spark: SparkSession) -> int:
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when the input has fewer splits than the cluster has cores.
 
-    A table made of one unsplittable file would otherwise run its whole text
-    processing in one task.  With at least as many splits as cores, as any large
-    table has, nothing is shuffled.
+    A small table made of one unsplittable file would otherwise run its whole text
+    processing in one task.  A large table has splits enough, and is never shuffled.
+    ``df`` is a scan, so that counting its splits runs nothing.
     """
+    if df.isStreaming or estimated_bytes(df) > SPREAD_LIMIT_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)

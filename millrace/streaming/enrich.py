@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.text import first_letter_bucket
-from millrace.operators.enrich import Client, answer_distinct, length_service
+from millrace.operators.enrich import Client, answer_in_batches, length_service
 from millrace.plans import panes
 from millrace.plans.sizing import broadcast_if_small
 from millrace.streaming.runs import PerBatch
@@ -41,15 +41,15 @@ def enrich_batch_sized(
         if state.hasTimedOut:
             state.remove()
             if len(waiting):
-                yield answer_distinct(client, waiting, word, "length")
+                yield answer_in_batches(client, waiting, batch_size, word, "length")
             return
         for frame in frames:
             rows = frame[[word, "ts"]]
             waiting = pd.concat([waiting, rows], ignore_index=True) if len(waiting) else rows
             full = len(waiting) - len(waiting) % batch_size
-            for start in range(0, full, batch_size):
-                batch = waiting.iloc[start : start + batch_size]
-                yield answer_distinct(client, batch, word, "length")
+            if full:
+                ready = waiting.iloc[:full]
+                yield answer_in_batches(client, ready, batch_size, word, "length")
             waiting = waiting.iloc[full:]
         if len(waiting):
             stamps = [stamp.to_pydatetime() for stamp in waiting["ts"]]
@@ -65,7 +65,7 @@ def enrich_batch_sized(
     return keyed.groupBy("bucket", "salt").applyInPandasWithState(
         call,
         f"{word} STRING, ts TIMESTAMP, length INT",
-        f"words ARRAY<STRING>, stamps ARRAY<TIMESTAMP>",
+        "words ARRAY<STRING>, stamps ARRAY<TIMESTAMP>",
         "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )

@@ -45,6 +45,13 @@ class LateSplit:
         return None if seen.seen is None else seen.seen - self.delay
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            self._split(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _split(self, batch: DataFrame, batch_id: int) -> None:
         watermark = self.watermark_before(batch, batch_id)
         met = batch.withColumn("_met", F.lit(watermark).cast("bigint"))
         tagged = split_late(

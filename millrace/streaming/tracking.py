@@ -31,6 +31,13 @@ class BoxedMetrics:
                 f"{self.state_folder}/{batch_id - 1}"
             )
             positions = positions.unionByName(kept)
+        positions.persist()
+        try:
+            self._flush(positions, batch_id)
+        finally:
+            positions.unpersist()
+
+    def _flush(self, positions: DataFrame, batch_id: int) -> None:
         self.sink(boxed_metrics(positions, self.tie), batch_id)
         order = F.struct("ts", self.tie)
         last = positions.groupBy("user").agg(
