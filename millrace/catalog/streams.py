@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import tables as t
 from millrace.catalog.registry import query
 from millrace.catalog.sales import TUMBLE_PROFIT_SQL
-from millrace.catalog.tracking import LONG, METRICS_SQL, MOTIVATION_SQL, SHORT
+from millrace.catalog.tracking import LONG, METRICS_SQL, MOTIVATION_SQL, SHORT, STEPS_SQL
 from millrace.catalog.traffic import ISO_BOUNDS
 from millrace.catalog.words import (
     SLIDING_AVG_SQL,
@@ -146,12 +146,12 @@ def stream_running_avg_word_length(spark, sf_dir):
     return shown.withColumn("created_at", iso_seconds(F.col("created_at")))
 
 
-def _metrics_folder(spark, sf_dir):
+def _metrics_folder(spark, sf_dir, keep_pauses=False):
     """Positions as a stream, turned into metrics in a folder."""
     positions = t.as_positions(t.table_stream(spark, sf_dir, "events"))
     folder = shared_folder(spark, "metrics")
     target = tracking.BoxedMetrics(
-        f"{folder}/state", runs.into_batches(f"{folder}/out"), "event_id"
+        f"{folder}/state", runs.into_batches(f"{folder}/out"), "event_id", keep_pauses
     )
     runs.drain(positions, target, f"{folder}/checkpoint")
     return f"{folder}/out"
@@ -160,8 +160,8 @@ def _metrics_folder(spark, sf_dir):
 METRICS = f"user BIGINT, ts TIMESTAMP, distance BIGINT, duration BIGINT, {runs.BATCH} BIGINT"
 
 
-def _metrics_stream(spark, sf_dir):
-    folder = _metrics_folder(spark, sf_dir)
+def _metrics_stream(spark, sf_dir, keep_pauses=False):
+    folder = _metrics_folder(spark, sf_dir, keep_pauses)
     reader = spark.readStream.schema(METRICS).option("basePath", folder)
     return reader.parquet(f"{folder}/{runs.BATCH}=*").drop(runs.BATCH)
 
@@ -178,12 +178,13 @@ def stream_boxed_metrics(spark, sf_dir):
 
 @query(
     "stream_running_track_speed",
-    f"""WITH {METRICS_SQL}
-        SELECT "user", CAST(sum(distance) AS DOUBLE) * 1e6 / sum(duration) AS speed
-        FROM metrics GROUP BY "user" """,
+    f"""WITH {STEPS_SQL}
+        SELECT "user", CASE WHEN sum(duration) = 0 THEN 0.0
+                    ELSE CAST(sum(distance) AS DOUBLE) * 1e6 / sum(duration) END AS speed
+        FROM steps WHERE duration IS NOT NULL GROUP BY "user" """,
 )
 def stream_running_track_speed(spark, sf_dir):
-    speeds = tracking.running_track_speed(_metrics_stream(spark, sf_dir))
+    speeds = tracking.running_track_speed(_metrics_stream(spark, sf_dir, keep_pauses=True))
     return runs.latest(runs.emitted(speeds, "update"), ["user"])
 
 

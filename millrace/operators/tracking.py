@@ -94,13 +94,12 @@ def track_speed_sql(positions: DataFrame, width: int = 5 * panes.SECOND) -> Data
     )
 
 
-def boxed_metrics(positions: DataFrame, tie: str, chunks: int | None = None) -> DataFrame:
+def position_pairs(positions: DataFrame, tie: str, chunks: int | None = None) -> DataFrame:
     """Distance and duration (microseconds) between consecutive positions.
 
-    Each is stamped with the time of the earlier position; pairs without duration
-    are dropped.
+    Each is stamped with the time of the earlier position.
     """
-    steps = _steps(_in_order(positions, tie, chunks)).where(F.col("duration") > 0)
+    steps = _steps(_in_order(positions, tie, chunks)).where(F.col("duration").isNotNull())
     return steps.select(
         "user",
         panes.from_micros(F.col("prev__us")).alias("ts"),
@@ -109,6 +108,11 @@ def boxed_metrics(positions: DataFrame, tie: str, chunks: int | None = None) ->
     )
 
 
+def boxed_metrics(positions: DataFrame, tie: str, chunks: int | None = None) -> DataFrame:
+    """The pairs of positions between which time passed."""
+    return position_pairs(positions, tie, chunks).where(F.col("duration") > 0)
+
+
 def mean_pace(metrics: DataFrame) -> DataFrame:
     """Ratio of sums per user; NaN where no time passed."""
     sums = metrics.groupBy("user").agg(

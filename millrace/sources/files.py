@@ -57,24 +57,14 @@ def write_json(df: DataFrame, folder: str) -> None:
 
 
 def file_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    """(name, start, end) for each file directly in ``folder``, empty ones included.
+    """(name, start, end) for each file with any line directly in ``folder``.
 
     Lines are counted from all splits of a file at once and no text is kept, so a
     very large file is as parallel as many small ones.
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    listed = (
-        spark.read.format("binaryFile").load(folder).select(name.alias("name"))
-    )
-    counts = (
-        spark.read.text(folder)
-        .groupBy(F.col("_metadata.file_name").alias("name"))
-        .agg(F.count("*").alias("end"))
-    )
-    return listed.join(counts, "name", "left").select(
-        "name",
-        F.lit(0).cast("bigint").alias("start"),
-        F.coalesce("end", F.lit(0).cast("bigint")).alias("end"),
+    lines = spark.read.text(folder)
+    return lines.groupBy(F.col("_metadata.file_name").alias("name")).agg(
+        F.lit(0).cast("bigint").alias("start"), F.count("*").alias("end")
     )
 
 

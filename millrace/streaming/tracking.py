@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import pace
-from millrace.operators.tracking import boxed_metrics
+from millrace.operators.tracking import boxed_metrics, position_pairs
 from millrace.plans import panes
 from millrace.streaming.runs import PerBatch
 
@@ -18,10 +18,16 @@ class BoxedMetrics:
     the bounded operator orders a table: a user with most of the batch is spread over
     many tasks instead of being one key of a state operator.  The kept positions are
     written per batch id, so a repeated batch starts from the same ones.
+
+    ``keep_pauses`` keeps the pairs between which no time passed, whose distance
+    counts for a speed but not for a pace.
     """
 
-    def __init__(self, state_folder: str, sink: PerBatch, tie: str):
+    def __init__(
+        self, state_folder: str, sink: PerBatch, tie: str, keep_pauses: bool = False
+    ):
         self.state_folder, self.sink, self.tie = state_folder, sink, tie
+        self.pairs = position_pairs if keep_pauses else boxed_metrics
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -38,7 +44,7 @@ class BoxedMetrics:
             positions.unpersist()
 
     def _flush(self, positions: DataFrame, batch_id: int) -> None:
-        self.sink(boxed_metrics(positions, self.tie), batch_id)
+        self.sink(self.pairs(positions, self.tie), batch_id)
         order = F.struct("ts", self.tie)
         last = positions.groupBy("user").agg(
             F.max_by(F.struct("spot", "ts", self.tie), order).alias("last")
@@ -49,7 +55,7 @@ class BoxedMetrics:
 
 
 def running_track_speed(metrics: DataFrame) -> DataFrame:
-    """Speed so far per user from a stream of metrics; for update mode."""
+    """Speed so far per user from a stream of pairs with pauses; for update mode."""
     sums = metrics.groupBy("user").agg(
         F.sum("distance").alias("distance"), F.sum("duration").alias("duration")
     )
