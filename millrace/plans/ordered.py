@@ -1,17 +1,18 @@
-"""Prefix computations over a total order, without one big ordered partition.
+"""Prefix computations over an order, without one big ordered partition.
 
 A plain ``Window.orderBy`` puts the whole table into one task, and
-``Window.partitionBy(key)`` puts a hot key into one.  Here the total order
-``keys + order`` is cut into chunks of similar row counts, wherever the rows lie,
-so a key that holds a third of the table simply spans a third of the chunks:
-
-1. a bottom-k hash sample of the order columns gives the cut points (its size
-   depends on the number of chunks only);
-2. each row finds its chunk by binary search in the folded constant of cut points,
-   which makes the chunk a pure function of the row: recomputed tasks agree;
-3. windows run within (chunk, keys);
-4. what a chunk inherits from earlier chunks is computed on a table with at most
-   two rows per chunk and joined back by broadcast.
+``Window.partitionBy(key)`` puts a hot key into one.  Here the order is cut into
+chunks of similar row counts wherever the rows lie: the whole table's order where
+there are no keys, and otherwise the order within each key that is too large for one
+task, so that a key with a third of the table spans a third of the chunks.
+
+1. A bottom-k hash sample of ``keys + order`` gives the cut points; its size depends
+   on the number of chunks only.
+2. Each row finds its chunk by binary search among the cut points, unrolled into plain
+   generated code.  The chunk is a pure function of the row: recomputed tasks agree.
+3. Windows run within (chunk, keys).
+4. What a chunk inherits from earlier chunks is computed on a table with at most two
+   rows per chunk and joined back by broadcast.
 
 The columns of ``keys + order`` must be integers or strings, not null, and unique
 together.
@@ -86,25 +87,73 @@ def _cut_points(source: DataFrame, columns: Sequence[str], chunks: int) -> list[
     return sorted(set(cuts))
 
 
-def _constant_array(rows: list[dict], row_type: T.StructType) -> Column:
-    """One literal for any number of rows; the optimizer folds the parsing away."""
-    return F.from_json(F.lit(json.dumps(rows)), T.ArrayType(row_type))
+def _constant_table(like: DataFrame, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A small table out of one literal, whose parsing the optimizer folds away."""
+    constant = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(schema))
+    return like.sparkSession.range(1).select(F.inline(constant))
 
 
-def _chunk_of(row_key: Column, key_type: T.StructType, cuts: list[tuple]) -> Column:
-    """Number of cut points not above the row: a binary search over the constant."""
-    names = key_type.fieldNames()
-    constant = _constant_array([dict(zip(names, cut)) for cut in cuts], key_type)
-    steps, step = [], 1
-    while step <= len(cuts):
-        steps.insert(0, step)
-        step *= 2
+def _not_above(columns: Sequence[str], cuts: Sequence[Column], at: Column) -> Column:
+    """Whether cut number ``at`` is at most the row; null past the last cut."""
+    *leading, last = zip(columns, cuts)
+    result = F.get(last[1], at) <= F.col(last[0])
+    for column, cut in reversed(leading):
+        value = F.get(cut, at)
+        result = (value < F.col(column)) | ((value == F.col(column)) & result)
+    return result
 
-    def descend(found: Column, step: Column) -> Column:
-        candidate = F.get(constant, found + step - 1)
-        return F.when(candidate <= row_key, found + step).otherwise(found)
 
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), descend)
+def _search(
+    rows: DataFrame, columns: Sequence[str], cuts: Sequence[Column], most: int
+) -> DataFrame:
+    """Add the number of cuts that are at most the row.
+
+    One projection per halving.  Each uses the one before more than once, which keeps
+    the optimizer from folding them into one expression of exponential size.
+    """
+    rows = rows.withColumn(CHUNK, F.lit(0))
+    for step in reversed([2**i for i in range(most.bit_length())]):
+        found = F.col(CHUNK)
+        reached = _not_above(columns, cuts, found + (step - 1))
+        rows = rows.withColumn(CHUNK, F.when(reached, found + step).otherwise(found))
+    return rows
+
+
+def _place(rows: DataFrame, columns: Sequence[str], cuts: list[tuple]) -> DataFrame:
+    """Chunks of the whole table's order."""
+    arrays = [
+        F.from_json(
+            F.lit(json.dumps([cut[i] for cut in cuts])),
+            T.ArrayType(rows.schema[column].dataType),
+        )
+        for i, column in enumerate(columns)
+    ]
+    return _search(rows, columns, arrays, len(cuts))
+
+
+def _place_in_keys(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: list[tuple]
+) -> DataFrame:
+    """Chunks of the order within each key that has cut points; chunk 0 elsewhere.
+
+    The table of cut points per key is bounded by the number of chunks.  A key without
+    any is small, and its rows pass with nothing but a missed lookup.
+    """
+    per_key: dict[tuple, list[tuple]] = {}
+    for cut in cuts:
+        per_key.setdefault(cut[: len(keys)], []).append(cut[len(keys) :])
+    names = [f"_cuts_{column}" for column in order]
+    fields = [rows.schema[key] for key in keys]
+    for name, column in zip(names, order):
+        fields.append(T.StructField(name, T.ArrayType(rows.schema[column].dataType)))
+    table = [
+        dict(zip([*keys, *names], [*key, *map(list, zip(*found))]))
+        for key, found in per_key.items()
+    ]
+    cut_table = _constant_table(rows, table, T.StructType(fields))
+    joined = rows.join(F.broadcast(cut_table), list(keys), "left")
+    most = max(map(len, per_key.values()))
+    return _search(joined, order, list(map(F.col, names)), most).drop(*names)
 
 
 def chunked(
@@ -122,29 +171,31 @@ def chunked(
     """
     if chunks is None:
         chunks = max(8, min(2 * shuffle_width(df.sparkSession), MAX_CHUNKS))
-    columns = list(sample_by) if sample_by else [*keys, *order]
-    cuts = _cut_points(df if sample_from is None else sample_from, columns, chunks)
+    sampled = list(sample_by or order)
+    source = df if sample_from is None else sample_from
+    cuts = _cut_points(source, [*keys, *sampled], chunks)
     if not cuts:
         rows = df.withColumn(CHUNK, F.lit(0))
+    elif keys:
+        rows = _place_in_keys(df, keys, sampled, cuts)
     else:
-        key_type = T.StructType([df.schema[c] for c in columns])
-        rows = df.withColumn(CHUNK, _chunk_of(F.struct(*columns), key_type, cuts))
+        rows = _place(df, sampled, cuts)
     return Chunked(rows, tuple(keys), tuple(order), cuts)
 
 
 def _carried(parts: Chunked, folds: dict[str, Fold]) -> DataFrame:
     """Per chunk (and crossing key), the fold of everything in earlier chunks.
 
-    Only the key of a cut point can have rows on both sides of it, so other keys
-    are dropped before aggregating and the result has at most two rows per chunk.
+    Only the key of a cut point has more than one chunk, so other keys are dropped
+    before aggregating and the result has at most two rows per cut point.
     """
     rows = parts.rows
     if parts.keys:
         positions = range(len(parts.keys))
         crossing = sorted({tuple(cut[i] for i in positions) for cut in parts.cuts})
         key_type = T.StructType([rows.schema[k] for k in parts.keys])
-        constant = _constant_array([dict(zip(parts.keys, key)) for key in crossing], key_type)
-        crossing_keys = rows.sparkSession.range(1).select(F.inline(constant))
+        table = [dict(zip(parts.keys, key)) for key in crossing]
+        crossing_keys = _constant_table(rows, table, key_type)
         rows = rows.join(F.broadcast(crossing_keys), list(parts.keys), "left_semi")
     per_chunk = rows.groupBy(CHUNK, *parts.keys).agg(
         *[f.aggregate(f.value).alias(name) for name, f in folds.items()]
@@ -202,15 +253,22 @@ def running(
 
 def previous(parts: Chunked, columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + column`` holding the value from the key's previous row."""
-    payload = F.struct(*[F.col(c).alias(f"_{c}") for c in columns])
     within = Window.partitionBy(CHUNK, *parts.keys).orderBy(*parts.order)
-    windowed = parts.rows.withColumn("_previous", F.lag(payload).over(within))
+    # An order column is never null, so its lag tells a chunk's first row.
+    marker = "_preceded"
+    lags = {marker: F.lag(parts.order[0]).over(within)}
+    lags |= {f"{prefix}{c}": F.lag(c).over(within) for c in columns}
+    windowed = parts.rows.withColumns(lags)
     latest = fold_max(F.struct(*parts.order, *[F.col(c).alias(f"_{c}") for c in columns]))
     rows, carried = _join_carried(windowed, parts, {"previous": latest})
-    results = {}
-    for c in columns:
-        value = F.col(f"_previous._{c}")
-        if carried:
-            value = F.coalesce(value, F.col(f"{carried[0]}._{c}"))
-        results[f"{prefix}{c}"] = value
-    return rows.withColumns(results).drop("_previous", *carried)
+    if carried:
+        first = F.col(marker).isNull()
+        rows = rows.withColumns(
+            {
+                f"{prefix}{c}": F.when(first, F.col(f"{carried[0]}._{c}")).otherwise(
+                    F.col(f"{prefix}{c}")
+                )
+                for c in columns
+            }
+        )
+    return rows.drop(marker, *carried)
