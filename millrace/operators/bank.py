@@ -10,6 +10,7 @@ from millrace.functions.text import missed_line, points_line
 
 # The rules of the two products.
 CLEARED_SHARE = 0.7
+MEDICAL, PERSONAL = "Medical Loan", "Personal Loan"
 MEDICAL_LATE_LIMIT = 3
 MONTHS = 12
 MISSED_ALLOWED = 4
@@ -36,20 +37,6 @@ def card_defaulters(cards: DataFrame) -> DataFrame:
     return points.where(F.col("points") > 0)
 
 
-def _of_type(loans: DataFrame, loan_type: str) -> DataFrame:
-    kept = loans.where(F.trim("loan_type") == loan_type)
-    return kept.withColumn("name", person())
-
-
-def medical_loan_defaulters(loans: DataFrame) -> DataFrame:
-    """Customers with at least three payments after the due date."""
-    late = (dashed_date(F.col("payment_date")) > dashed_date(F.col("due_date"))).cast("int")
-    counts = _of_type(loans, "Medical Loan").groupBy("customer_id", "name").agg(
-        F.sum(late).alias("missed")
-    )
-    return counts.where(F.col("missed") >= MEDICAL_LATE_LIMIT)
-
-
 def consecutive_gap(months: Column) -> Column:
     """Longest run of months missing from a sorted array of months, ends included."""
     bounded = F.concat(F.array(F.lit(0)), months, F.array(F.lit(MONTHS + 1)))
@@ -60,34 +47,63 @@ def consecutive_gap(months: Column) -> Column:
     return F.array_max(gaps)
 
 
-def personal_loan_months(loans: DataFrame) -> DataFrame:
-    """Payments and distinct months per customer of a personal loan.
+def _histories(loans: DataFrame, *kinds: str) -> DataFrame:
+    """Payment histories per customer of the given products, from one pass.
 
-    The set has at most twelve elements, so it aggregates map-side like a sum.
+    The set of months has at most twelve elements, so it aggregates map-side like the
+    counts do.
     """
-    month = F.month(dashed_date(F.col("payment_date")))
-    return _of_type(loans, "Personal Loan").groupBy("customer_id", "name").agg(
-        F.count("*").alias("payments"),
-        F.array_sort(F.collect_set(month)).alias("months"),
+    kind, paid = F.trim("loan_type"), dashed_date(F.col("payment_date"))
+    personal = kind == PERSONAL
+    late = (kind == MEDICAL) & (paid > dashed_date(F.col("due_date")))
+    kept = loans.where(kind.isin(*kinds))
+    return kept.groupBy("customer_id", person().alias("name")).agg(
+        F.sum(late.cast("int")).alias("late"),
+        F.count(F.when(personal, 1)).alias("payments"),
+        F.array_sort(F.collect_set(F.when(personal, F.month(paid)))).alias("months"),
     )
 
 
-def personal_loan_defaulters(loans: DataFrame) -> DataFrame:
-    """Customers who missed more than four payments, or more than two in a row."""
+def _medical_missed() -> Column:
+    """Late payments if there are at least three."""
+    return F.when(F.col("late") >= MEDICAL_LATE_LIMIT, F.col("late"))
+
+
+def _personal_missed() -> Column:
+    """Missed payments if more than four, else missed months in a row if more than two."""
     missed = F.lit(MONTHS) - F.col("payments")
     gap = consecutive_gap(F.col("months")).cast("bigint")
     reported = F.when(missed > MISSED_ALLOWED, missed).when(gap > GAP_ALLOWED, gap)
-    return (
-        personal_loan_months(loans)
-        .withColumn("missed", reported)
-        .where(F.col("missed").isNotNull())
-        .select("customer_id", "name", "missed")
-    )
+    return F.when(F.col("payments") > 0, reported)
+
+
+def _reported(loans: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """A row per customer and product whose rule reports something."""
+    findings = F.explode(F.array(*rules.values())).alias("missed")
+    histories = _histories(loans, *rules)
+    return histories.select("customer_id", "name", findings).where("missed IS NOT NULL")
+
+
+def medical_loan_defaulters(loans: DataFrame) -> DataFrame:
+    """Customers with at least three payments after the due date."""
+    return _reported(loans, {MEDICAL: _medical_missed()})
+
+
+def personal_loan_months(loans: DataFrame) -> DataFrame:
+    """Payments and distinct months per customer of a personal loan."""
+    return _histories(loans, PERSONAL).drop("late")
+
+
+def personal_loan_defaulters(loans: DataFrame) -> DataFrame:
+    """Customers who missed more than four payments, or more than two in a row."""
+    return _reported(loans, {PERSONAL: _personal_missed()})
 
 
 def loan_defaulters_union(loans: DataFrame) -> DataFrame:
-    """Personal and medical defaulters; a customer may be both."""
-    return personal_loan_defaulters(loans).unionByName(medical_loan_defaulters(loans))
+    """Personal and medical defaulters; a customer may be both, in two rows."""
+    return _reported(
+        loans, {PERSONAL: _personal_missed(), MEDICAL: _medical_missed()}
+    )
 
 
 def formatted_loan_defaulters(loans: DataFrame) -> DataFrame:

@@ -46,8 +46,12 @@ def session_profit(
     always share a session.  What is then ordered per key is one row per non-empty
     cell, a number that depends on the time covered and not on the number of rows.
     Rows exactly one gap apart are one session as in ``session_window``;
-    ``merge_touching=False`` keeps them apart.
+    ``merge_touching=False`` keeps them apart.  Streams use ``session_window`` itself.
     """
+    if profits.isStreaming:
+        window = F.session_window(ts, panes.duration(gap)).alias("window")
+        open_sums = profits.groupBy(window, key).agg(F.sum("profit").alias("profit"))
+        return panes.with_bounds(open_sums).select(key, "window_start", "window_end", "profit")
     at = panes.micros(F.col(ts))
     cells = profits.groupBy(key, panes.floor_to(at, gap).alias("_cell")).agg(
         F.min(at).alias("_first"), F.max(at).alias("_last"), F.sum("profit").alias("profit")

@@ -6,8 +6,8 @@ chunks of similar row counts wherever the rows lie: the whole table's order wher
 there are no keys, and otherwise the order within each key that is too large for one
 task, so that a key with a third of the table spans a third of the chunks.
 
-1. A bottom-k hash sample of ``keys + order`` gives the cut points; its size depends
-   on the number of chunks only.
+1. A sample of ``keys + order`` gives the cut points; its size depends on the number
+   of chunks only.
 2. Each row finds its chunk by binary search among the cut points, unrolled into plain
    generated code.  The chunk is a pure function of the row: recomputed tasks agree.
 3. Windows run within (chunk, keys).
@@ -21,8 +21,10 @@ together.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ from millrace.plans.sizing import shuffle_width
 
 CHUNK = "_chunk"
 SAMPLE_PER_CHUNK = 32
-MAX_CHUNKS = 16384
+MAX_CHUNKS = 8192
 
 
 @dataclass(frozen=True)
@@ -75,16 +77,19 @@ def fold_min(value: Column) -> Fold:
 
 
 def _cut_points(source: DataFrame, columns: Sequence[str], chunks: int) -> list[tuple]:
-    """Quantiles of a uniform sample; none if the whole input fits in the sample."""
-    size = chunks * SAMPLE_PER_CHUNK
-    picked = (
-        source.select(*columns).orderBy(F.xxhash64(*columns)).limit(size).collect()
-    )
-    if len(picked) < size:
+    """Quantiles of a uniform sample; none if the whole input is as small as that.
+
+    Rows are sampled by their hash, so that the same table gives the same cut points
+    however it is partitioned.
+    """
+    keys = source.select(*columns)
+    total, wanted = keys.count(), chunks * SAMPLE_PER_CHUNK
+    if total <= wanted:
         return []
-    ranked = sorted(tuple(row) for row in picked)
-    cuts = ranked[SAMPLE_PER_CHUNK::SAMPLE_PER_CHUNK]
-    return sorted(set(cuts))
+    threshold = (wanted << 63) // total
+    drawn = F.shiftrightunsigned(F.xxhash64(*columns), 1) < threshold
+    ranked = sorted(tuple(row) for row in keys.where(drawn).collect())
+    return sorted({ranked[i * len(ranked) // chunks] for i in range(1, chunks)} if ranked else ())
 
 
 def _constant_table(like: DataFrame, rows: list[dict], schema: T.StructType) -> DataFrame:
@@ -93,6 +98,19 @@ def _constant_table(like: DataFrame, rows: list[dict], schema: T.StructType) ->
     return like.sparkSession.range(1).select(F.inline(constant))
 
 
+def _constant_arrays(
+    schema: T.StructType, columns: Sequence[str], cuts: list[tuple]
+) -> list[Column]:
+    """The cut points' values, one constant array per column."""
+    return [
+        F.from_json(
+            F.lit(json.dumps([cut[i] for cut in cuts])),
+            T.ArrayType(schema[column].dataType),
+        )
+        for i, column in enumerate(columns)
+    ]
+
+
 def _not_above(columns: Sequence[str], cuts: Sequence[Column], at: Column) -> Column:
     """Whether cut number ``at`` is at most the row; null past the last cut."""
     *leading, last = zip(columns, cuts)
@@ -104,31 +122,32 @@ def _not_above(columns: Sequence[str], cuts: Sequence[Column], at: Column) -> Co
 
 
 def _search(
-    rows: DataFrame, columns: Sequence[str], cuts: Sequence[Column], most: int
+    rows: DataFrame,
+    columns: Sequence[str],
+    cuts: list[tuple],
+    first: Column,
+    length: Column,
+    longest: int,
 ) -> DataFrame:
-    """Add the number of cuts that are at most the row.
+    """Add how many of the ``length`` cuts from number ``first`` on are at most the row.
 
     One projection per halving.  Each uses the one before more than once, which keeps
     the optimizer from folding them into one expression of exponential size.
     """
+    arrays = _constant_arrays(rows.schema, columns, cuts)
     rows = rows.withColumn(CHUNK, F.lit(0))
-    for step in reversed([2**i for i in range(most.bit_length())]):
+    for step in reversed([2**i for i in range(longest.bit_length())]):
         found = F.col(CHUNK)
-        reached = _not_above(columns, cuts, found + (step - 1))
+        reached = (found + step <= length) & _not_above(
+            columns, arrays, first + found + (step - 1)
+        )
         rows = rows.withColumn(CHUNK, F.when(reached, found + step).otherwise(found))
     return rows
 
 
-def _place(rows: DataFrame, columns: Sequence[str], cuts: list[tuple]) -> DataFrame:
+def _place(rows: DataFrame, order: Sequence[str], cuts: list[tuple]) -> DataFrame:
     """Chunks of the whole table's order."""
-    arrays = [
-        F.from_json(
-            F.lit(json.dumps([cut[i] for cut in cuts])),
-            T.ArrayType(rows.schema[column].dataType),
-        )
-        for i, column in enumerate(columns)
-    ]
-    return _search(rows, columns, arrays, len(cuts))
+    return _search(rows, order, cuts, F.lit(0), F.lit(len(cuts)), len(cuts))
 
 
 def _place_in_keys(
@@ -136,24 +155,26 @@ def _place_in_keys(
 ) -> DataFrame:
     """Chunks of the order within each key that has cut points; chunk 0 elsewhere.
 
-    The table of cut points per key is bounded by the number of chunks.  A key without
-    any is small, and its rows pass with nothing but a missed lookup.
+    The cut points are sorted, so those of a key lie side by side; a lookup says where.
+    It has at most one row per cut point.  A key that is not in it is small, and its
+    rows pass with nothing but the missed lookup.
     """
-    per_key: dict[tuple, list[tuple]] = {}
-    for cut in cuts:
-        per_key.setdefault(cut[: len(keys)], []).append(cut[len(keys) :])
-    names = [f"_cuts_{column}" for column in order]
-    fields = [rows.schema[key] for key in keys]
-    for name, column in zip(names, order):
-        fields.append(T.StructField(name, T.ArrayType(rows.schema[column].dataType)))
-    table = [
-        dict(zip([*keys, *names], [*key, *map(list, zip(*found))]))
-        for key, found in per_key.items()
-    ]
-    cut_table = _constant_table(rows, table, T.StructType(fields))
-    joined = rows.join(F.broadcast(cut_table), list(keys), "left")
-    most = max(map(len, per_key.values()))
-    return _search(joined, order, list(map(F.col, names)), most).drop(*names)
+    of_key = [cut[: len(keys)] for cut in cuts]
+    sizes = Counter(of_key)
+    starts = accumulate(sizes.values(), initial=0)
+    runs = dict(zip(sizes, zip(starts, sizes.values())))
+    schema = T.StructType(
+        [rows.schema[key] for key in keys]
+        + [T.StructField("_first", T.IntegerType()), T.StructField("_length", T.IntegerType())]
+    )
+    table = [dict(zip(schema.fieldNames(), key + run)) for key, run in runs.items()]
+    joined = rows.join(
+        F.broadcast(_constant_table(rows, table, schema)), list(keys), "left"
+    )
+    in_key = [cut[len(keys) :] for cut in cuts]
+    longest = max(length for _, length in runs.values())
+    found = _search(joined, order, in_key, F.col("_first"), F.col("_length"), longest)
+    return found.drop("_first", "_length")
 
 
 def chunked(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_tracking import PACE_CASE, PACE_STATUS, metrics_of, positions, walk
 
 from millrace.operators import tracking as bounded_tracking
-from millrace.operators import traffic
+from millrace.operators import sales, traffic
 from millrace.operators import words as bounded_words
 from millrace.plans import panes
 from millrace.streaming import late, runs, tracking, words
@@ -165,6 +165,18 @@ def test_motivation_stream(spark, tmp_path, at):
         assert tuples(shown, "user", "status") == PACE_STATUS
 
 
+def test_sessions_on_a_stream(spark, tmp_path, at):
+    def sold(*rows):
+        data = [("a", at(s), 1) for s in rows]
+        return spark.createDataFrame(data, "city STRING, ts TIMESTAMP, profit BIGINT")
+
+    frames = [sold(0, 3, 7), sold(20, 22), sold(60), sold(90)]
+    stream = batches(spark, str(tmp_path / "sold"), frames).withWatermark("ts", "0 seconds")
+    shown = runs.emitted(sales.session_profit(stream, 5 * SECOND))
+    start, end = F.unix_seconds("window_start"), F.unix_seconds("window_end")
+    assert tuples(shown, start, end, "profit") == [(0, 12, 3), (20, 27, 2), (60, 65, 1)]
+
+
 def test_triggered_average_over_arrival_time(spark, tmp_path, lines):
     stream = line_stream(spark, tmp_path, lines, [("a bb", 0)], [("ccc", 0)])
     timed = bounded_words.with_arrival_time(stream.drop("ts")).withWatermark("ts", "1 minute")
