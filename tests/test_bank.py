@@ -6,9 +6,9 @@ from millrace.sources import files
 
 CARDS = [
     # below 70 %; full and below 70 % (three points); full and pending; cleared
-    "CT1,Miyako,Burns,R_1,Issuers,500,490,38,101,30-01-2018",
-    "CT1,Miyako,Burns,R_1,Issuers,500,500,38,101,28-02-2018",
-    "CT2,Ann,Lee,R_2,Issuers,500,500,0,400,28-02-2018",
+    "CT1,Nadia,Stone,R_1,Issuers,500,490,38,101,30-01-2018",
+    "CT1,Nadia,Stone,R_1,Issuers,500,500,38,101,28-02-2018",
+    "CT2,Ida,Moss,R_2,Issuers,500,500,0,400,28-02-2018",
     "CT3,Bob,Ray,R_3,Issuers,500,100,0,100,28-02-2018",
 ]
 
@@ -35,7 +35,7 @@ def test_card_points(spark, tmp_path):
     cards = cards_table(spark, tmp_path)
     assert cards.count() == 4
     assert tuples(bank.card_defaulters(cards), "customer_id", "name", "points") == [
-        ("CT1", "CT1, Miyako Burns", 4), ("CT2", "CT2, Ann Lee", 1),
+        ("CT1", "CT1, Nadia Stone", 4), ("CT2", "CT2, Ida Moss", 1),
     ]
 
 
@@ -89,10 +89,10 @@ def test_union_and_cogroup(spark, tmp_path):
     found = {r.customer_id: (r.card_defaulter, r.loan_defaulter) for r in both.collect()}
     assert found == {
         "CT1": (
-            ["CT1, Miyako Burns, 4 fraud_points"],
+            ["CT1, Nadia Stone, 4 fraud_points"],
             ["CT1, First Last, 10 missed", "CT1, First Last, 3 missed"],
         ),
-        "CT2": (["CT2, Ann Lee, 1 fraud_points"], []),
+        "CT2": (["CT2, Ida Moss, 1 fraud_points"], []),
         "CT9": ([], ["CT9, First Last, 11 missed"]),
     }
 
