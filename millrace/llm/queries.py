@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, quality, sharding
+from millrace.llm import mixing, quality, sharding, simhash, token_files
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,17 +39,34 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mixed(documents).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_files(
+    spark: SparkSession, sf_dir: str, vocabulary: str | None = None
+) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), vocabulary, end_id=2)
+    return token_files.read_tokens(files)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op2_byte_shards,
         op5_quality_rules,
+        op8_simhash,
         op9_source_mix,
+        op10_token_files,
     )
 }
 
