@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, quality, sharding, simhash, token_files
+from millrace.llm import mixing, quality, sharding, simhash, token_files, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(sharding.sized(table(spark, sf_dir, "documents")), "shard-sizes")
     return sharding.byte_shards(rows, 40).select(
@@ -62,6 +69,7 @@ def op10_token_files(
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
+        op1_warc,
         op2_byte_shards,
         op5_quality_rules,
         op8_simhash,
@@ -71,6 +79,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": warc.ORACLE,
     "op5_quality_rules": quality.oracle(),
     "op9_source_mix": mixing.ORACLE,
 }
