@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, quality, sharding, simhash, token_files, warc
+from millrace.llm import mixing, page_text, quality, sharding, simhash, token_files, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_warc,
         op2_byte_shards,
+        op4_main_text,
         op5_quality_rules,
         op8_simhash,
         op9_source_mix,
