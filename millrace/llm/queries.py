@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, page_text, quality, sharding, simhash, token_files, warc
+from millrace.llm import mixing, page_text, quality, sharding, simhash, token_files, toxicity, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,17 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.learnt(documents, table(spark, sf_dir, "labels"))
+    return toxicity.scored(documents, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -77,6 +88,7 @@ QUERIES: dict[str, Query] = {
         op2_byte_shards,
         op4_main_text,
         op5_quality_rules,
+        op6_toxicity,
         op8_simhash,
         op9_source_mix,
         op10_token_files,
