@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, page_text, quality, sharding, simhash, token_files, toxicity, warc
+from millrace.llm import decontamination, mixing, page_text, quality, sharding, simhash, token_files, toxicity, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,17 @@ def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.searched(documents, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("items") > 0).alias("contaminated"),
+        F.col("items.item_id").alias("item_ids"),
+        F.coalesce(F.array_max("items.share"), F.lit(0.0)).alias("share"),
+    )
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extracted(table(spark, sf_dir, "pages"))
 
@@ -86,6 +97,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_warc,
         op2_byte_shards,
+        op3_decontamination,
         op4_main_text,
         op5_quality_rules,
         op6_toxicity,
