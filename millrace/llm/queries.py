@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, mixing, page_text, quality, sharding, simhash, token_files, toxicity, warc
+from millrace.llm import decontamination, mixing, ngram_lm, page_text, quality, sharding, simhash, token_files, toxicity, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,20 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_lm.train(documents.filter(~ngram_lm.held_out()))
+    return ngram_lm.scored(documents, model).select(
+        "doc_id",
+        ngram_lm.held_out().alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -101,6 +115,7 @@ QUERIES: dict[str, Query] = {
         op4_main_text,
         op5_quality_rules,
         op6_toxicity,
+        op7_ngram_lm,
         op8_simhash,
         op9_source_mix,
         op10_token_files,
