@@ -42,6 +42,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow_map(df: DataFrame, function, schema, records: int = 1000) -> DataFrame:
+    """``mapInArrow`` in batches of few rows and bytes, however long the texts are.
+
+    The settings are the session's, since a plan takes them when it runs.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+    return df.mapInArrow(function, schema)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder in the shared folder, for files that tasks write themselves."""
     path = shared_folder(spark, purpose)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import arrow_map, written
 
 WINDOW = 32
 STEP = 16
@@ -154,7 +154,7 @@ def document_frequencies(documents: DataFrame, terms: frozenset[bytes]) -> tuple
             names=["term", "n"],
         )
 
-    rows = documents.select("text").mapInArrow(counted, "term BINARY, n BIGINT")
+    rows = documents.select("text").transform(arrow_map, counted, "term BINARY, n BIGINT")
     counts = {bytes(r["term"]): r["n"] for r in rows.groupBy("term").agg(F.sum("n").alias("n")).collect()}
     return counts.pop(b"", 0), counts
 
@@ -220,7 +220,7 @@ def _products(rows: DataFrame, base: np.ndarray) -> np.ndarray:
         )
 
     total = np.zeros_like(base)
-    for row in rows.mapInArrow(product, "term BIGINT, sums BINARY").collect():
+    for row in rows.transform(arrow_map, product, "term BIGINT, sums BINARY").collect():
         total[row["term"]] += np.frombuffer(bytes(row["sums"]), base.dtype)
     return total
 
@@ -289,5 +289,5 @@ def searched(
                 kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
                 yield batch.set_column(column, "items", pa.array(after, kind))
 
-        found = found.mapInArrow(look_up, found.schema)
+        found = found.transform(arrow_map, look_up, found.schema)
     return found

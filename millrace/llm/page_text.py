@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import arrow_map, written
 
 LEAST_PAGES = 5
 LEAST_SHARE = 0.2
@@ -272,7 +272,7 @@ def site_templates(
 
     rows = pages.select("host", F.coalesce("html", F.lit("")).alias("html"))
     distinct = written(
-        rows.mapInArrow(hashed, "host STRING, page BIGINT, hashes ARRAY<BIGINT>")
+        rows.transform(arrow_map, hashed, "host STRING, page BIGINT, hashes ARRAY<BIGINT>")
         .groupBy("host", "page")
         .agg(F.first("hashes").alias("hashes")),
         "page-subtrees",
@@ -328,5 +328,5 @@ def extracted(
     return (
         rows.join(templates, "host", "left")
         .select("page_id", "url", "html", "templates")
-        .mapInArrow(texts, "page_id BIGINT, url STRING, text STRING, n_chars BIGINT")
+        .transform(arrow_map, texts, "page_id BIGINT, url STRING, text STRING, n_chars BIGINT")
     )

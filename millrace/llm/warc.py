@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import new_folder, opened, written
+from millrace.llm.common import arrow_map, new_folder, opened, written
 
 LEAST_BYTES = 100
 RANGE_BYTES = 4 << 20
@@ -119,7 +119,7 @@ def write_archives(
         "html",
     )
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    files = rows.select("page_id", "url", payload.alias("payload"), "digest", "refers_to").mapInArrow(
+    files = rows.select("page_id", "url", payload.alias("payload"), "digest", "refers_to").transform(arrow_map, 
         write, "path STRING, bytes BIGINT, records BIGINT"
     )
     return written(files, "warc-files")
@@ -250,7 +250,7 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                 yield pa.RecordBatch.from_pylist(rows, SCHEMA)
 
     places = ranges(files, range_bytes)
-    return places.repartition(max(1, places.count()), "path", "start").mapInArrow(read, COLUMNS)
+    return places.repartition(max(1, places.count()), "path", "start").transform(arrow_map, read, COLUMNS)
 
 
 COLUMNS = (
