@@ -39,11 +39,11 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import new_folder, opened, put_file, written
+from millrace.llm.common import arrow_map, new_folder, opened, put_file, written
 from millrace.llm.elias_fano import EliasFano
 
-ORDER = 2
-KAPPA = 20.0
+ORDER = 3
+KAPPA = 200.0
 VOCABULARY_SHARD = 1_000_000
 SHARD_TOKENS = 2_000_000
 SLICE = 500
@@ -348,7 +348,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _build_vocabulary(texts: DataFrame, folder: str) -> tuple[Parts, int]:
     counts = written(
-        texts.mapInArrow(_count_words, "hash BIGINT, n BIGINT").groupBy("hash").agg(F.sum("n").alias("n")),
+        texts.transform(arrow_map, _count_words, "hash BIGINT, n BIGINT").groupBy("hash").agg(F.sum("n").alias("n")),
         "lm-words",
     )
     words = counts.count()
@@ -473,7 +473,7 @@ def _build_level(model: Model, level: int, texts: DataFrame, folder: str) -> Par
         put_file(path, pack(arrays))
         return _part(path, first, limit, len(numbers))
 
-    blocks = texts.mapInArrow(
+    blocks = texts.transform(arrow_map, 
         _count_level(model, level, shards), "shard BIGINT, numbers BINARY, counts BINARY"
     )
     return _parts(blocks.groupBy("shard").applyInArrow(build, PART), f"lm-level{level}")
@@ -508,7 +508,7 @@ def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
             )
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(
+    return rows.transform(arrow_map, 
         score, "doc_id BIGINT, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
     )
 
