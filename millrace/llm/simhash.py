@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import arrow_map, written
 from millrace.llm.components import components
 
 LINK_BITS = 4
@@ -60,20 +60,25 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed number."""
+    """doc_id, text_hash and fp, the fingerprint as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             found = np.fromiter(
                 (fingerprint(t.as_py() or b"") for t in texts), np.uint64, len(batch)
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
+                names=["doc_id", "text_hash", "fp"],
             )
 
-    rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id BIGINT, fp BIGINT")
+    rows = documents.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.col(text).alias("text"),
+    )
+    return rows.transform(arrow_map, run, "doc_id BIGINT, text_hash BIGINT, fp BIGINT")
 
 
 def _links(fps: np.ndarray, tag: np.ndarray, upper: bool) -> list[tuple[int, int]]:
@@ -182,7 +187,7 @@ def links(fps: DataFrame, run_limit: int = RUN_LIMIT) -> DataFrame:
         filed.repartition("run")
         .sortWithinPartitions("run", "fp")
         .select("run", *no_chunk, "fp")
-        .mapInArrow(_runs(run_limit), EDGES),
+        .transform(arrow_map, _runs(run_limit), EDGES, records=10_000),
         "simhash-runs",
     )
     edges = first.filter("run is null").select("a", "b")
@@ -199,7 +204,7 @@ def links(fps: DataFrame, run_limit: int = RUN_LIMIT) -> DataFrame:
         )
         .repartition("run", "lo", "hi")
         .sortWithinPartitions("run", "lo", "hi", "fp")
-        .mapInArrow(_runs(None), EDGES)
+        .transform(arrow_map, _runs(None), EDGES, records=10_000)
     )
     return edges.unionByName(crossed.select("a", "b"))
 
@@ -207,7 +212,11 @@ def links(fps: DataFrame, run_limit: int = RUN_LIMIT) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, fp and component_id, the least id of the documents linked in any way."""
+    """doc_id, text_hash, fp, root and component_id.
+
+    The root is the least fingerprint linked in any way, component_id the least id of the
+    documents.
+    """
     documents = written(fingerprints(documents, doc_id, text), "simhash-documents")
     distinct = written(
         documents.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct"
@@ -217,8 +226,28 @@ def near_duplicates(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = written(rooted.join(first, "root").select("fp", "component_id"), "simhash-components")
-    return documents.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = written(
+        rooted.join(first, "root").select("fp", "root", "component_id"), "simhash-components"
+    )
+    return documents.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with all their columns, without near-duplicates.
+
+    Of each component the document of the least id stays, null being the greatest; of
+    several with that id, the one with the least hash of its text, once.
+    """
+    found = near_duplicates(documents, doc_id, text)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    stay = found.groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("first.doc_id").alias("__doc_id"), F.col("first.text_hash").alias("__text_hash")
+    )
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("__doc_id")) & (
+        F.xxhash64(text) == F.col("__text_hash")
+    )
+    kept = documents.join(stay.distinct(), same)
+    return kept.dropDuplicates(["__doc_id", "__text_hash"]).select(*documents.columns)
 
 
 def hex_fingerprint():

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import arrow_map, written
 
 GRAM = 4
 WINDOW = 48
@@ -171,7 +171,7 @@ def _counts(rows: DataFrame, tokens_of, purpose: str) -> DataFrame:
                     names=["token", "n"],
                 )
 
-    found = rows.select("text").mapInArrow(counted, "token BINARY, n BIGINT")
+    found = rows.select("text").transform(arrow_map, counted, "token BINARY, n BIGINT")
     return written(found.groupBy("token").agg(F.sum("n").alias("n")), purpose)
 
 
@@ -259,21 +259,28 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, ...]:
     return (*slopes.tolist(), float(beta[-1] - slopes @ mean))
 
 
-def measured(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, saved, hits and windows of every document."""
+def with_measures(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents with saved, hits and windows, which replace columns of these names."""
+    added = ("saved", "hits", "windows")
+    own = documents.drop(*added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meter = Meter(model)
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(text).cast(pa.binary())
             found = np.array([meter.measure(t.as_py()) for t in texts], np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c) for c in found.T)],
-                names=["doc_id", "saved", "hits", "windows"],
-            )
+            for name, values in zip(added, found.T, strict=True):
+                batch = batch.append_column(name, pa.array(values))
+            yield batch
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
+    return own.transform(arrow_map, run, f"{schema}, saved BIGINT, hits BIGINT, windows BIGINT")
 
+
+def measured(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, saved, hits and windows of every document."""
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id BIGINT, saved BIGINT, hits BIGINT, windows BIGINT")
+    return with_measures(rows, model).drop("text")
 
 
 def score_column(model: Model):
@@ -296,6 +303,17 @@ def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     return found.select("doc_id", score_column(model).alias("score"))
 
 
+def ordinary(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents, with all their columns, that score less than one half."""
+    if not model.weights:
+        return documents
+    names = {"saved", "hits", "windows"} & set(documents.columns)
+    renamed = documents.withColumnsRenamed({n: f"__{n}" for n in names})
+    kept = with_measures(renamed, model, f"__{text}" if text in names else text)
+    kept = kept.filter(score_column(model) < 0.5).drop("saved", "hits", "windows")
+    return kept.withColumnsRenamed({f"__{n}": n for n in names}).select(*documents.columns)
+
+
 def held_out(doc_id: str = "doc_id", parts: int = 5, remainder: int = 0):
     """Whether the checksum of the id, as text, has that remainder."""
     checksum = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
