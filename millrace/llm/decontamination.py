@@ -10,8 +10,8 @@ of them do and its answer, the last sentence, is there as well.
 
 The decomposed matrix is that of the benchmark: the corpus's own main directions are its
 common words, and would lose the rare ones that tell items apart.  Words that no item has
-have no place in the latent space.  They only count in a passage's weight, as rare ones;
-a passage of which items' words make up less than ``MASS`` isn't looked up.
+have no place in the latent space.  They only count in a passage's weight, like the usual
+word of an item; a passage of which items' words are less than ``MASS`` isn't looked up.
 
 Items are taken in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_WORDS`` words, so
 what tasks are sent has a bound whatever the benchmark's size.  Nothing is shuffled but
@@ -240,7 +240,9 @@ def build_index(documents: DataFrame, items: list[Item], dimensions: int = DIMEN
     names = sorted({w for item in items for w in item.words})
     terms = {w: i for i, w in enumerate(names)}
     n, counts = document_frequencies(documents, frozenset(names))
-    weights = np.array([math.log((n + 1) / (counts.get(w, 0) + 1)) + 0.01 for w in names] + [math.log(n + 1) + 0.01])
+    rarity = [math.log((n + 1) / (counts.get(w, 0) + 1)) + 0.01 for w in names]
+    usual = np.mean([rarity[terms[w]] ** 2 for item in items for w in item.words]) ** 0.5
+    weights = np.array([*rarity, usual])
     item_of, rows = [], []
     for i, item in enumerate(items):
         for start, end in cut(len(item.words)):

@@ -177,19 +177,21 @@ def mixed(
         "mix-rows",
     )
     found = written(cuts(rows), "mix-cuts")
+    found = found.withColumnsRenamed({c: f"__{c}" for c in found.columns})
     key = exponential_key(F.col(doc_id), weight)
-    selected = (
-        F.col("all")
-        | (F.col("__key") < F.col("cut"))
-        | (F.col("with_cut") & (F.col("__key") == F.col("cut")))
-        | F.coalesce(F.col("__key") == F.col("closing"), F.lit(False))
+    budget = F.col("target") - F.col("__epochs") * F.col("source_size")
+    selected = F.col("__all") | (budget > 0) & (
+        (F.col("__key") < F.col("__cut"))
+        | (F.col("__with_cut") & (F.col("__key") == F.col("__cut")))
+        | F.coalesce(F.col("__key") == F.col("__closing"), F.lit(False))
     )
     added = ["size", "source_size", "target", "copies", "taken"]
     own = documents.drop(*[c for c in added if c in documents.columns])
     return (
         own.withColumns({"size": word_count(F.col(text)), "__key": key})
-        .join(found, F.col(source).eqNullSafe(F.col("cut_source")))
-        .withColumn("copies", F.col("epochs") + F.coalesce(selected, F.lit(False)).cast("bigint"))
+        .join(found, F.col(source).eqNullSafe(F.col("__cut_source")))
+        .withColumnsRenamed({"__source_size": "source_size", "__target": "target"})
+        .withColumn("copies", F.col("__epochs") + F.coalesce(selected, F.lit(False)).cast("bigint"))
         .withColumn("taken", F.col("copies") * F.col("size"))
         .select(*own.columns, *added)
     )

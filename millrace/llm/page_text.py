@@ -96,6 +96,9 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        tail = html.rfind("<")
+        if re.fullmatch(r"<[A-Za-z/!?][^>]*", html[tail:] if tail >= 0 else "", re.DOTALL):
+            html = html[:tail]  # a tag that the page's end cuts off
         self.feed(html)
         self.close()
         while len(self.open) > 1:
@@ -231,13 +234,13 @@ def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) ->
         def enter(node: Node, top=top) -> bool:
             if node is top:
                 return True
-            in_article = bool(articles)
-            if node.boilerplate(in_article):
-                return False
+            gone = node.boilerplate(bool(articles))
             if _number(node.digest) in templates and not node.holds_landmark:
                 linked = node.links >= LINK_DENSITY * node.chars and node.tag not in INLINE
-                return bool(in_article and not linked)
-            return True
+                gone = gone or linked or not articles
+            if gone and node.tag not in INLINE | UNSEEN:
+                end_block()
+            return not gone
 
         for item, _ in _walk(top, enter):
             if isinstance(item, str):

@@ -82,7 +82,7 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 
 def _links(fps: np.ndarray, tag: np.ndarray, upper: bool) -> list[tuple[int, int]]:
-    """A forest of the links among fingerprints filed under one value.
+    """Fewest edges that connect what the links among fingerprints of one value connect.
 
     ``tag`` is the bit in which the half differs from the value, 0 for none.  Two halves
     that meet under several values count under one: equal halves under themselves, others

@@ -1,0 +1,126 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+
+from millrace.llm import simhash
+from millrace.llm.components import components
+
+
+def brute_fingerprint(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(values):
+    """The least value reachable over links of at most four bits."""
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    order = sorted(values)
+    for i, a in enumerate(order):
+        for b in order[:i]:
+            if (a ^ b).bit_count() <= 4:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {v: find(v) for v in values}
+
+
+def signed(v):
+    return v - (1 << 64) if v >> 63 else v
+
+
+def linked(spark, values, **more):
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp BIGINT")
+    edges = simhash.links(fps, **more)
+    found = {r.node: r.root for r in components(edges).collect()}
+    edges = edges.collect()
+    groups = {}
+    for v in values:
+        groups.setdefault(found.get(signed(v), signed(v)), set()).add(v)
+    return {frozenset(g) for g in groups.values()}, len(edges)
+
+
+def wanted(values):
+    groups = {}
+    for v, r in roots(values).items():
+        groups.setdefault(r, set()).add(v)
+    return {frozenset(g) for g in groups.values()}
+
+
+def flipped(rng, v, n):
+    for b in rng.sample(range(64), n):
+        v ^= 1 << b
+    return v
+
+
+def test_links_of_random_and_dense_fingerprints(spark):
+    rng = random.Random(5)
+    centre = rng.getrandbits(64)
+    values = {0, (1 << 64) - 1, centre, *(rng.getrandbits(64) for _ in range(200))}
+    values |= {flipped(rng, centre, rng.randint(1, 6)) for _ in range(150)}
+    chain = rng.getrandbits(64)
+    for _ in range(40):
+        chain = flipped(rng, chain, rng.choice((4, 4, 5)))
+        values.add(chain)
+    values = sorted(values)
+    assert linked(spark, values)[0] == wanted(values)
+    groups, edges = linked(spark, values, run_limit=7)
+    assert groups == wanted(values)
+
+
+def test_a_dense_group_leaves_few_edges(spark):
+    rng = random.Random(6)
+    values = sorted({flipped(rng, 12345, rng.randint(0, 2)) for _ in range(400)})
+    groups, edges = linked(spark, values)
+    assert groups == {frozenset(values)}
+    assert edges < 70 * len(values) < len(values) ** 2 / 2
+
+
+def test_documents_by_brute_force(spark, documents):
+    rng = random.Random(7)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(300)]
+    texts = [None, "", " \t", "One two", "one TWO", "É é", "a b c d e", "same " * 5000, " ".join(base)]
+    for _ in range(25):
+        some = list(base)
+        some[rng.randint(0, 299)] = "changed"
+        texts.append(" ".join(some))
+    rows = [(i * 3 + 1, t) for i, t in enumerate(texts)] + [(500, texts[3]), (500, texts[3]), (None, "Lone text")]
+    found = simhash.near_duplicates(documents(*rows)).select(
+        "doc_id", simhash.hex_fingerprint().alias("f"), "component_id"
+    )
+    fps = [brute_fingerprint(t) for _, t in rows]
+    root = roots(set(fps))
+    least = {}
+    for (i, _), f in zip(rows, fps, strict=True):
+        if i is not None:
+            least[root[f]] = min(i, least.get(root[f], i))
+    want = [(i, f"{f:016x}", least.get(root[f])) for (i, _), f in zip(rows, fps, strict=True)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+    kept = simhash.one_of_each(documents(*rows)).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(least.values())
+    assert [r.text for r in kept if r.doc_id is None] == ["Lone text"]
+
+
+def test_empty_table_and_clashing_columns(documents):
+    assert simhash.near_duplicates(documents((1, "x")).limit(0)).count() == 0
+    clash = documents((1, "x"), (2, "x")).selectExpr("*", "'a' AS fp", "'b' AS root", "'c' AS first")
+    assert [r.component_id for r in simhash.near_duplicates(clash).collect()] == [1, 1]
+    assert [(r.doc_id, r.fp) for r in simhash.one_of_each(clash).collect()] == [(1, "a")]
+
+
+def test_majority_is_strict():
+    text = b"a b c d e"
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in (b"a b c d", b"b c d e")]
+    assert simhash.fingerprint(text) == hashes[0] & hashes[1]
+    assert np.uint64(simhash.fingerprint(b"A  b\nC")) == np.uint64(xxhash.xxh64_intdigest(b"a b c", 42))
