@@ -7,32 +7,28 @@ from pyspark.sql import functions as F
 from millrace.catalog import tables as t
 from millrace.catalog.registry import query
 from millrace.operators import orders as op
-from millrace.operators.cogroup import cogroup_two
+from millrace.operators.cogroup import cogroup_parts, cogroup_two
 from millrace.plans import panes
 
 LIST_SIZE = 8
+CHUNKS = 16
 
-
-@query(
-    "cogroup_two",
-    f"""
-    WITH sides AS (
+SIDES_SQL = """
+    sides AS (
         SELECT o_custkey AS k, 0 AS side, CAST(o_orderkey AS VARCHAR) AS o,
                o_orderkey || ':' || CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders
         UNION ALL
         SELECT s_suppkey, 1, CAST(s_suppkey AS VARCHAR), s_name FROM supplier
-    ),
-    parts AS (
-        SELECT *, (row_number() OVER (PARTITION BY k, side ORDER BY o) - 1) // {LIST_SIZE} AS part
-        FROM sides
     )
-    SELECT k, part, count(*) FILTER (side = 0) AS n_left, count(*) FILTER (side = 1) AS n_right,
-           coalesce(string_agg(v, '|' ORDER BY v) FILTER (side = 0), '') AS left_values,
-           coalesce(string_agg(v, '|' ORDER BY v) FILTER (side = 1), '') AS right_values
-    FROM parts GROUP BY k, part
-    """,
-)
-def cogrouped(spark, sf_dir):
+"""
+LISTS_SQL = """
+    count(*) FILTER (side = 0) AS n_left, count(*) FILTER (side = 1) AS n_right,
+    coalesce(string_agg(v, '|' ORDER BY v) FILTER (side = 0), '') AS left_values,
+    coalesce(string_agg(v, '|' ORDER BY v) FILTER (side = 1), '') AS right_values
+"""
+
+
+def _sides(spark, sf_dir):
     price = t.whole("o_totalprice").cast("string")
     orders = t.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("k"),
@@ -42,12 +38,12 @@ def cogrouped(spark, sf_dir):
     suppliers = t.table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("k"), "s_suppkey", F.col("s_name").alias("value")
     ).withColumnRenamed("s_suppkey", "supplier")
-    both = cogroup_two(
-        orders, suppliers, "k", ["o_orderkey"], ["supplier"], max_list=LIST_SIZE
-    )
+    return orders, suppliers
+
+
+def _lists(both, *columns):
     return both.select(
-        "k",
-        "part",
+        *columns,
         F.size("left_values").cast("bigint").alias("n_left"),
         F.size("right_values").cast("bigint").alias("n_right"),
         F.array_join("left_values", "|").alias("left_values"),
@@ -55,6 +51,29 @@ def cogrouped(spark, sf_dir):
     )
 
 
+@query("cogroup_two", f"WITH {SIDES_SQL} SELECT k, {LISTS_SQL} FROM sides GROUP BY k")
+def cogrouped(spark, sf_dir):
+    return _lists(cogroup_two(*_sides(spark, sf_dir), "k"), "k")
+
+
+@query(
+    "cogroup_parts",
+    f"""
+    WITH {SIDES_SQL},
+    parts AS (
+        SELECT *, (row_number() OVER (PARTITION BY k, side ORDER BY o) - 1) // {LIST_SIZE} AS part
+        FROM sides
+    )
+    SELECT k, part, {LISTS_SQL} FROM parts GROUP BY k, part
+    """,
+)
+def cogrouped_in_parts(spark, sf_dir):
+    both = cogroup_parts(
+        *_sides(spark, sf_dir), "k", ["o_orderkey"], ["supplier"], LIST_SIZE, chunks=CHUNKS
+    )
+    return _lists(both, "k", "part")
+
+
 @query(
     "enrich_orders_static",
     """SELECT o_orderkey AS order_id, o_custkey AS customer_id,

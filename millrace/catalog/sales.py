@@ -96,8 +96,11 @@ def session_profit(spark, sf_dir):
     """,
 )
 def global_count_discarding(spark, sf_dir):
-    profits = _profits(spark, sf_dir).select("city", *ARRIVAL)
-    return op.global_count_discarding(profits, ARRIVAL)
+    return op.global_count_discarding(arrivals(spark, sf_dir), ARRIVAL)
+
+
+def arrivals(spark, sf_dir):
+    return _profits(spark, sf_dir).select("city", *ARRIVAL)
 
 
 @query(

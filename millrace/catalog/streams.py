@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import functions as F
 
 from millrace.catalog import tables as t
 from millrace.catalog.registry import query
 from millrace.catalog.sales import TUMBLE_PROFIT_SQL
 from millrace.catalog.tracking import LONG, METRICS_SQL, MOTIVATION_SQL, SHORT, STEPS_SQL
-from millrace.catalog.traffic import ISO_BOUNDS
+from millrace.catalog.traffic import ISO_BOUNDS, LATE_ORDER
 from millrace.catalog.words import (
     SLIDING_AVG_SQL,
-    TIMED_SQL,
     TOP_K_SQL,
     TUMBLE_AVG_SQL,
     WORDS_SQL,
@@ -24,47 +25,96 @@ from millrace.operators import traffic
 from millrace.operators import words as bounded
 from millrace.plans import panes
 from millrace.plans.shared import shared_folder
-from millrace.streaming import enrich, runs, tracking
+from millrace.streaming import enrich, late, runs, tracking
 from millrace.streaming import words as stream_words
 
 HOUR = panes.HOUR
 
 
-def _lines(spark, sf_dir):
-    return t.as_lines(t.table_stream(spark, sf_dir, "documents"))
+# Every input comes in four micro-batches in order of time.  Where windows are shown once,
+# when the watermark has passed them, a last row a month later stands for the end.
+
+
+def _lines(spark, sf_dir, closed=False):
+    closing = ("doc_id", lambda last: F.lit(last + 10_000_000)) if closed else None
+    return t.as_lines(t.table_stream(spark, sf_dir, "documents", F.col("doc_id"), closing))
+
+
+def _events(spark, sf_dir, closed=False):
+    later = lambda last: F.timestamp_micros(F.lit(last + 30 * panes.DAY))
+    by = F.unix_micros(t.utc("ts"))
+    return t.table_stream(spark, sf_dir, "events", by, ("ts", later) if closed else None)
 
 
-def _log(spark, sf_dir):
-    return t.as_log(t.table_stream(spark, sf_dir, "events"))
+def _orders(spark, sf_dir):
+    return t.as_orders(t.table_stream(spark, sf_dir, "orders", F.unix_seconds(t.utc("o_orderdate"))))
 
 
-# Append mode shows a window once the watermark (latest event time minus the delay)
-# has passed its end.
-CLOSED_SQL = f"""
+VIEWS_SQL = f"""
     SELECT CAST(user_id AS VARCHAR) AS id, {ISO_BOUNDS} count(*) AS page_views
     FROM (SELECT *, epoch_us(ts) // {HOUR} * {HOUR} AS s FROM events)
-    WHERE s + {HOUR} <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - {10 * panes.MINUTE} FROM events)
     GROUP BY user_id, s
 """
 
 
-@query("stream_tumble_count_user", CLOSED_SQL)
+@query("stream_tumble_count_user", VIEWS_SQL)
 def stream_tumble_count_user(spark, sf_dir):
-    log = _log(spark, sf_dir).withWatermark("ts", "10 minutes")
+    log = t.as_log(_events(spark, sf_dir, closed=True)).withWatermark("ts", "10 minutes")
     closed = runs.emitted(traffic.tumble_count_user(log, HOUR))
     return with_iso_bounds(closed.drop(runs.BATCH))
 
 
-@query("stream_tumble_count_user_sql", CLOSED_SQL.replace(" AS id", " AS event_id").replace("%dT%H", "%d %H"))
+@query("stream_tumble_count_user_sql", VIEWS_SQL.replace(" AS id", " AS event_id").replace("%dT%H", "%d %H"))
 def stream_tumble_count_user_sql(spark, sf_dir):
-    log = _log(spark, sf_dir).withWatermark("ts", "10 minutes")
+    log = t.as_log(_events(spark, sf_dir, closed=True)).withWatermark("ts", "10 minutes")
     return runs.emitted(traffic.tumble_count_user_sql(log, HOUR)).drop(runs.BATCH)
 
 
+ARRIVED_SQL = t.batch_sql(LATE_ORDER, "events")
+
+
+@query(
+    "stream_split_late",
+    f"""
+    WITH arrived AS (SELECT *, {ARRIVED_SQL} AS batch FROM events),
+    seen AS (
+        SELECT batch, max(max(epoch_us(ts))) OVER (
+                   ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark
+        FROM arrived GROUP BY batch
+    )
+    SELECT event_id, batch AS batch_id,
+           coalesce(watermark >= epoch_us(ts) // {HOUR} * {HOUR} + {HOUR} + {30 * panes.MINUTE},
+                    false) AS droppable
+    FROM arrived JOIN seen USING (batch)
+    """,
+)
+def stream_split_late(spark, sf_dir):
+    """Arrivals out of the order of their times; a batch meets the times of those before."""
+    events = t.table_stream(spark, sf_dir, "events", F.expr(LATE_ORDER))
+    arrivals = events.select("event_id", t.utc("ts").alias("ts"))
+    folder = shared_folder(spark, "late")
+    target = late.LateSplit(
+        f"{folder}/state",
+        HOUR,
+        30 * panes.MINUTE,
+        main=runs.into_batches(f"{folder}/main"),
+        droppable=runs.into_batches(f"{folder}/droppable"),
+    )
+    runs.drain(arrivals, target, f"{folder}/checkpoint")
+    sides = [
+        runs.read_batches(spark, f"{folder}/{side}", arrivals).withColumn("droppable", F.lit(flag))
+        for side, flag in (("main", False), ("droppable", True))
+    ]
+    return sides[0].unionByName(sides[1]).select(
+        "event_id", F.col(runs.BATCH).alias("batch_id"), "droppable"
+    )
+
+
 @query("tumble_profit_triggered", TUMBLE_PROFIT_SQL)
 def tumble_profit_triggered(spark, sf_dir):
     """Update mode: a window's sum is shown again whenever it changed."""
-    sold = t.as_sales(t.table_stream(spark, sf_dir, "lineitem"))
+    by = F.unix_seconds(t.utc("l_shipdate"))
+    sold = t.as_sales(t.table_stream(spark, sf_dir, "lineitem", by))
     profits = sale.profit_by_row(t.with_city(sold, spark, sf_dir))
     sums = sale.tumble_profit(profits.withWatermark("ts", "2 days"), 10 * panes.DAY)
     shown = runs.emitted(sums, "update")
@@ -91,14 +141,10 @@ def stream_sliding_avg_word_len(spark, sf_dir):
     return shown.withColumns({c: rfc3339(F.col(c)) for c in ("window_start", "window_end")})
 
 
-@query(
-    "stream_top_k_words",
-    f"""SELECT * FROM ({TOP_K_SQL})
-        WHERE window_end <= (SELECT {iso_sql("max(us) - 1000000")} FROM ({TIMED_SQL}))""",
-)
+@query("stream_top_k_words", TOP_K_SQL)
 def stream_top_k_words(spark, sf_dir):
     counts = stream_words.word_window_counts(
-        _lines(spark, sf_dir), 10 * panes.SECOND, delay="1 second"
+        _lines(spark, sf_dir, closed=True), 10 * panes.SECOND, delay="1 second"
     )
     folder = shared_folder(spark, "top-k")
     sink = stream_words.top_k_sink(3, runs.into_batches(f"{folder}/out"))
@@ -110,17 +156,18 @@ def stream_top_k_words(spark, sf_dir):
 
 @query(
     "stream_count_discarding",
-    f"SELECT w AS word, count(*) AS n FROM ({WORDS_SQL}) GROUP BY w",
+    f"""SELECT {t.batch_sql("doc_id", "documents")} AS batch_id, w AS word, count(*) AS n
+        FROM ({WORDS_SQL}) GROUP BY 1, 2""",
 )
 def stream_count_discarding(spark, sf_dir):
-    """Each firing forgets what it showed, so the panes of a word add up to its count."""
+    """Each firing forgets what it showed: a pane of every batch for each of its words."""
     words = bounded.tokens(_lines(spark, sf_dir))
     folder = shared_folder(spark, "discarding")
     sink = stream_words.discarding_count_sink(runs.into_batches(f"{folder}/out"), "word")
     runs.drain(words, sink, f"{folder}/checkpoint")
     shape = words.withColumn("n", F.lit(0).cast("bigint"))
     shown = runs.read_batches(spark, f"{folder}/out", shape)
-    return shown.groupBy("word").agg(F.sum("n").alias("n"))
+    return shown.select(F.col(runs.BATCH).alias("batch_id"), "word", "n")
 
 
 @query(
@@ -148,7 +195,7 @@ def stream_running_avg_word_length(spark, sf_dir):
 
 def _metrics_folder(spark, sf_dir, keep_pauses=False):
     """Positions as a stream, turned into metrics in a folder."""
-    positions = t.as_positions(t.table_stream(spark, sf_dir, "events"))
+    positions = t.as_positions(_events(spark, sf_dir))
     folder = shared_folder(spark, "metrics")
     target = tracking.BoxedMetrics(
         f"{folder}/state", runs.into_batches(f"{folder}/out"), "event_id", keep_pauses
@@ -179,9 +226,9 @@ def stream_boxed_metrics(spark, sf_dir):
 @query(
     "stream_running_track_speed",
     f"""WITH {STEPS_SQL}
-        SELECT "user", CASE WHEN sum(duration) = 0 THEN 0.0
+        SELECT "user", CASE WHEN coalesce(sum(duration), 0) = 0 THEN 0.0
                     ELSE CAST(sum(distance) AS DOUBLE) * 1e6 / sum(duration) END AS speed
-        FROM steps WHERE duration IS NOT NULL GROUP BY "user" """,
+        FROM steps GROUP BY "user" """,
 )
 def stream_running_track_speed(spark, sf_dir):
     speeds = tracking.running_track_speed(_metrics_stream(spark, sf_dir, keep_pauses=True))
@@ -202,25 +249,30 @@ def stream_motivation(spark, sf_dir):
               epoch_us(o_orderdate) // 1000000 AS timestamp FROM orders""",
 )
 def periodic_orders(spark, sf_dir):
-    orders = t.as_orders(t.table_stream(spark, sf_dir, "orders"))
+    orders = _orders(spark, sf_dir)
     return runs.emitted(enrich.periodic(orders)).drop(runs.BATCH)
 
 
+ORDERED_SQL = t.batch_sql("epoch_us(o_orderdate) // 1000000", "orders")
+
+
 @query(
     "stream_enrich_orders_refreshed",
-    """SELECT o_orderkey AS order_id, o_custkey AS customer_id, c_name,
-              CASE WHEN c_custkey IS NOT NULL THEN 1 END AS version
-       FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+    f"""SELECT o_orderkey AS order_id, o_custkey AS customer_id, c_name,
+               CASE WHEN c_custkey IS NOT NULL
+                    THEN CAST({ORDERED_SQL} * 4 // 5 + 1 AS INTEGER) END AS version
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
 )
 def stream_enrich_orders_refreshed(spark, sf_dir):
-    """The stream's clock stands still here, so every batch sees the first version."""
-    orders = t.as_orders(t.table_stream(spark, sf_dir, "orders")).drop("ts")
+    """Four seconds pass between batches, so all but the second get a new version."""
+    orders = _orders(spark, sf_dir).drop("ts")
+    clock = count(0, 4)
     folder = shared_folder(spark, "refreshed")
     target = enrich.RefreshedLookup(
         load=lambda session, version: t.customers(session, sf_dir),
         max_stale_sec=5,
         sink=runs.into_batches(f"{folder}/out"),
-        clock=lambda: 0.0,
+        clock=lambda: next(clock),
     )
     runs.drain(orders, target, f"{folder}/checkpoint")
     out = f"{folder}/out"

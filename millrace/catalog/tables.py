@@ -6,9 +6,12 @@ depend on the order in which partitions are added up.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.plans.shared import shared_folder
 from millrace.plans.sizing import spread
 
 
@@ -17,14 +20,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a stream of its files.
+BATCHES = 4
+FILES = 4
+
+
+def batch_of(by: Column, low: int, high: int) -> Column:
+    """The micro-batch of a value: equal ranges of it in order."""
+    return F.floor((by - low) * BATCHES / (high - low + 1)).cast("int")
+
+
+def batch_sql(by: str, table: str) -> str:
+    """The same in SQL, over the whole table."""
+    return f"""(({by}) - (SELECT min({by}) FROM {table})) * {BATCHES}
+               // ((SELECT max({by}) - min({by}) + 1 FROM {table}))"""
+
+
+def table_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    by: Column,
+    closing: tuple[str, Callable[[int], Column]] | None = None,
+) -> DataFrame:
+    """The table as a stream of four micro-batches, in order of an integer ``by``.
 
-    The path is a pattern that matches itself only: a streaming reader takes a plain
-    path for a folder, and a table may be a single file.
+    ``closing`` adds a last row that has nothing but a time, in a column made from the
+    largest ``by``: it moves the watermark past every window, as the end of a bounded
+    input does.
     """
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    rows = table(spark, sf_dir, name)
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    folder = shared_folder(spark, f"input-{name}")
+    for batch in range(BATCHES):
+        some = rows.where(batch_of(by, low, high) == batch)
+        some.repartition(FILES).write.mode("append").parquet(folder)
+    if closing is not None:
+        column, after = closing
+        last = [
+            (after(high) if f.name == column else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in rows.schema
+        ]
+        spark.range(1).select(*last).write.mode("append").parquet(folder)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
+    return reader.parquet(folder)
 
 
 def utc(column: str) -> Column:

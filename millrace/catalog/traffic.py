@@ -83,13 +83,17 @@ LATE_ORDER = "event_id + event_id * 37 % 50"
     FROM met
     """,
 )
-def split_late(spark, sf_dir):
+def split_late(spark, sf_dir, chunks=None):
     events = t.table(spark, sf_dir, "events")
     arrivals = events.select(
         "event_id", t.utc("ts").alias("ts"), F.expr(LATE_ORDER).alias("arrival")
     )
     tagged = late.split_late(
-        arrivals, ["arrival", "event_id"], panes.HOUR, lateness=30 * panes.MINUTE
+        arrivals,
+        ["arrival", "event_id"],
+        panes.HOUR,
+        lateness=30 * panes.MINUTE,
+        chunks=chunks,
     )
     return with_iso_bounds(tagged.drop("ts", "arrival"))
 
@@ -103,11 +107,11 @@ def split_late(spark, sf_dir):
     FROM events WINDOW so_far AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)
     """,
 )
-def running_global(spark, sf_dir):
+def running_global(spark, sf_dir, chunks=None):
     size = F.round(F.col("value") * 100).cast("bigint")
     events = t.table(spark, sf_dir, "events").select("event_id", size.alias("size"))
     so_far = ordered.running(
-        ordered.chunked(events, ["event_id"]),
+        ordered.chunked(events, ["event_id"], chunks=chunks),
         {
             "seq": ordered.fold_count(),
             "bytes_so_far": ordered.fold_sum(F.col("size")),

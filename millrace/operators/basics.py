@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import sql_seconds
 
-SIDE_LIST_LIMIT = 1000
-
 
 def filter_select_optin(log: DataFrame) -> DataFrame:
     """Web-log rows of users who opted in, without the request columns."""
@@ -53,15 +51,18 @@ def split_csv_flat(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def excluding(df: DataFrame, column: str, unwanted: Sequence[str] | DataFrame) -> DataFrame:
-    """Rows whose ``column`` is not in a list, or in a one-column table if it is long."""
+    """Rows whose ``column`` is not in a list or in a one-column table, null-safe.
+
+    A null is excluded by a null among the unwanted, and by nothing else.
+    """
     if isinstance(unwanted, DataFrame):
-        other = unwanted.toDF(column).distinct()
-        return df.join(other, column, "left_anti")
-    if len(unwanted) > SIDE_LIST_LIMIT:
-        rows = [(value,) for value in unwanted]
-        schema = df.select(column).schema
-        return excluding(df, column, df.sparkSession.createDataFrame(rows, schema))
-    return df.where(~F.col(column).isin(list(unwanted)))
+        other = unwanted.toDF("_unwanted").distinct()
+        return df.join(other, F.col(column).eqNullSafe(F.col("_unwanted")), "left_anti")
+    listed = [value for value in unwanted if value is not None]
+    found = F.coalesce(F.col(column).isin(listed), F.lit(False))
+    if len(listed) < len(unwanted):
+        found = found | F.col(column).isNull()
+    return df.where(~found)
 
 
 def filter_by_length_side(

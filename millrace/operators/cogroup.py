@@ -4,29 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.ordered import chunked, fold_count, running
 
-MAX_LIST = 100_000
 
+def _values(tag: int, name: str) -> Column:
+    chosen = F.when(F.col("_side") == tag, F.col("_value"))
+    return F.array_sort(F.collect_list(chosen)).alias(name)
 
-def cogroup_two(
+
+def cogroup_two(left: DataFrame, right: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """Every key of either side in one row, with the sorted list of each side's values.
+
+    A key's values must fit a row; ``cogroup_parts`` has no such bound.
+    """
+    sides = [
+        side.select(F.col(key), F.lit(tag).alias("_side"), F.col(value).alias("_value"))
+        for tag, side in enumerate([left, right])
+    ]
+    return (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy(key)
+        .agg(_values(0, "left_values"), _values(1, "right_values"))
+    )
+
+
+def cogroup_parts(
     left: DataFrame,
     right: DataFrame,
     key: str,
     left_order: Sequence[str],
     right_order: Sequence[str],
+    max_list: int,
     value: str = "value",
-    max_list: int = MAX_LIST,
     chunks: int | None = None,
 ) -> DataFrame:
-    """Every key of either side with the list of values of each side.
+    """The same in parts of at most ``max_list`` values per side.
 
-    A key with at most ``max_list`` values per side gets one row (``part`` 0).  The
-    lists of a hotter key continue in further parts, so no task ever holds a whole
-    hot group and no value is lost.  The order columns of a side (integers or
+    The lists of a key with more values continue in further parts, so no task ever holds
+    a whole hot group and no value is lost.  The order columns of a side (integers or
     strings) must be unique within a key; they decide the part a value falls in.
     """
     sides = []
@@ -41,11 +60,6 @@ def cogroup_two(
     parts = chunked(both, order, keys=[key, "_side"], chunks=chunks)
     numbered = running(parts, {"_n": fold_count()})
     part = F.floor((F.col("_n") - 1) / max_list).cast("bigint")
-
-    def values(tag: int, name: str):
-        chosen = F.when(F.col("_side") == tag, F.col("_value"))
-        return F.array_sort(F.collect_list(chosen)).alias(name)
-
     return numbered.groupBy(key, part.alias("part")).agg(
-        values(0, "left_values"), values(1, "right_values")
+        _values(0, "left_values"), _values(1, "right_values")
     )

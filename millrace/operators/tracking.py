@@ -172,23 +172,28 @@ def _with_status(paired: DataFrame) -> DataFrame:
     )
 
 
-def motivation_cogroup(metrics: DataFrame, short: int, long: int) -> DataFrame:
-    """Status per user and short window, from co-grouping both averages.
+def _paired(metrics: DataFrame, short: int, long: int) -> DataFrame:
+    """The short and the long pace of each user and short window that has both.
 
-    Where short windows tile the long ones, both paces come from one pass over the
-    short windows' sums: the long sums are a range frame over them.  A user has one
-    row per short window there, however many positions.  Otherwise the two averages
-    meet in one aggregate over their union, with at most one pace each per group.
+    Where short windows tile the long ones, both come from one pass over the short
+    windows' sums: the long sums are a range frame over them.  A user has one row per
+    short window there, however many positions.  Otherwise the two averages meet in one
+    aggregate over their union, with at most one pace each per group.
     """
     if long % short == 0:
-        return _with_status(_paired_averages(metrics, short, long))
+        return _paired_averages(metrics, short, long)
     shorts = short_average(metrics, short)
     longs = long_average(metrics, short, long)
     sides = shorts.unionByName(longs, allowMissingColumns=True)
     paired = sides.groupBy("user", "window_start").agg(
         F.max("short_avg").alias("short_avg"), F.max("long_avg").alias("long_avg")
     )
-    return _with_status(paired)
+    return paired.where("short_avg IS NOT NULL AND long_avg IS NOT NULL")
+
+
+def motivation_cogroup(metrics: DataFrame, short: int, long: int) -> DataFrame:
+    """Status per user and short window, from co-grouping both averages."""
+    return _with_status(_paired(metrics, short, long))
 
 
 def motivation_side_input(metrics: DataFrame, short: int, long: int) -> DataFrame:
@@ -202,19 +207,11 @@ def motivation_sql(metrics: DataFrame, short: int, long: int) -> DataFrame:
     """The SQL form, which keeps a short pace of zero as underperforming."""
     return metrics.sparkSession.sql(
         """
-        WITH paired AS (
-            SELECT s.user, s.window_start,
-                   try_divide(s.short_avg, l.long_avg) AS relative
-            FROM {shorts} s
-            JOIN {longs} l ON s.user = l.user AND s.window_start = l.window_start
-        )
         SELECT user, window_start,
-               CASE WHEN relative < :low THEN 'underperforming'
-                    WHEN relative < :high THEN 'pacing'
+               CASE WHEN share < :low THEN 'underperforming' WHEN share < :high THEN 'pacing'
                     ELSE 'outperforming' END AS performance
-        FROM paired
+        FROM {paces} LATERAL VIEW explode(array(try_divide(short_avg, long_avg))) AS share
         """,
         args={"low": pace.UNDERPERFORMING_BELOW, "high": pace.PACING_BELOW},
-        shorts=short_average(metrics, short),
-        longs=long_average(metrics, short, long),
+        paces=_paired(metrics, short, long),
     )

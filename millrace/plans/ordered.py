@@ -6,16 +6,19 @@ chunks of similar row counts wherever the rows lie: the whole table's order wher
 there are no keys, and otherwise the order within each key that is too large for one
 task, so that a key with a third of the table spans a third of the chunks.
 
-1. A sample of ``keys + order`` gives the cut points; its size depends on the number
-   of chunks only.
+1. A sample of ``keys + order`` gives the cut points.  It takes a fixed share of the
+   rows, so one pass tells both how many chunks the rows need and where to cut: a chunk
+   has about ``ROWS_PER_CHUNK`` rows, however many rows there are and whatever the
+   session's settings.
 2. Each row finds its chunk by binary search among the cut points, unrolled into plain
    generated code.  The chunk is a pure function of the row: recomputed tasks agree.
 3. Windows run within (chunk, keys).
 4. What a chunk inherits from earlier chunks is computed on a table with at most two
    rows per chunk and joined back by broadcast.
 
-The columns of ``keys + order`` must be integers or strings, not null, and unique
-together.
+The columns of ``keys + order`` must be integers or strings, and unique together.  Nulls
+come first, as in a window's order; rows that repeat a value of the order share a chunk,
+and are drawn into the sample only once.  A null key is never cut.
 """
 
 from __future__ import annotations
@@ -24,17 +27,16 @@ import json
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.plans.sizing import shuffle_width
-
 CHUNK = "_chunk"
 SAMPLE_PER_CHUNK = 32
-MAX_CHUNKS = 8192
+ROWS_PER_CHUNK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -76,19 +78,34 @@ def fold_min(value: Column) -> Fold:
     return Fold(F.min, F.least, value)
 
 
-def _cut_points(source: DataFrame, columns: Sequence[str], chunks: int) -> list[tuple]:
-    """Quantiles of a uniform sample; none if the whole input is as small as that.
+def _sample(keys: DataFrame, wanted: int, of: int) -> list[tuple]:
+    """``wanted`` out of ``of`` rows, in order, without nulls and repetitions.
+
+    Rows are sampled by their hash, so that the same table gives the same sample however
+    it is partitioned.
+    """
+    threshold = (wanted << 63) // of
+    drawn = F.shiftrightunsigned(F.xxhash64(*keys.columns), 1) < threshold
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys.columns])
+    return sorted(tuple(row) for row in keys.where(drawn & whole).distinct().collect())
+
+
+def _cut_points(
+    source: DataFrame, columns: Sequence[str], chunks: int | None, rows_per_chunk: int
+) -> list[tuple]:
+    """Quantiles of a uniform sample; none if one chunk is enough.
 
-    Rows are sampled by their hash, so that the same table gives the same cut points
-    however it is partitioned.
+    Without a given number of chunks it follows from the size of the sample.
     """
     keys = source.select(*columns)
-    total, wanted = keys.count(), chunks * SAMPLE_PER_CHUNK
-    if total <= wanted:
-        return []
-    threshold = (wanted << 63) // total
-    drawn = F.shiftrightunsigned(F.xxhash64(*columns), 1) < threshold
-    ranked = sorted(tuple(row) for row in keys.where(drawn).collect())
+    if chunks is None:
+        ranked = _sample(keys, min(SAMPLE_PER_CHUNK, rows_per_chunk), rows_per_chunk)
+        chunks = -(-len(ranked) // SAMPLE_PER_CHUNK)
+    else:
+        total, wanted = keys.count(), chunks * SAMPLE_PER_CHUNK
+        if total <= wanted:
+            return []
+        ranked = _sample(keys, wanted, total)
     return sorted({ranked[i * len(ranked) // chunks] for i in range(1, chunks)} if ranked else ())
 
 
@@ -184,17 +201,16 @@ def chunked(
     chunks: int | None = None,
     sample_from: DataFrame | None = None,
     sample_by: Sequence[str] | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> Chunked:
-    """Assign chunks.
+    """Assign chunks: about one per ``rows_per_chunk`` rows, unless ``chunks`` is given.
 
     ``sample_from``/``sample_by`` let a cheaper table stand in for ``df`` when cut
     points over a prefix of the order are enough, e.g. documents for their words.
     """
-    if chunks is None:
-        chunks = max(8, min(2 * shuffle_width(df.sparkSession), MAX_CHUNKS))
     sampled = list(sample_by or order)
     source = df if sample_from is None else sample_from
-    cuts = _cut_points(source, [*keys, *sampled], chunks)
+    cuts = _cut_points(source, [*keys, *sampled], chunks, rows_per_chunk)
     if not cuts:
         rows = df.withColumn(CHUNK, F.lit(0))
     elif keys:

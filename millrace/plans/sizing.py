@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-SPREAD_LIMIT_BYTES = 1024 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate.
 
-    Filters and aggregates keep their input's size in this estimate, so it errs
-    on the large side, which is the safe side for a broadcast.
+    Filters and aggregates keep their input's size in this estimate.  Two things make it
+    too small: a scan counts as its compressed files, and rows made by ``explode`` don't
+    count.  So take it before a fan-out, and keep limits well below what memory allows.
     """
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(stats.sizeInBytes())
@@ -28,18 +28,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when the input has fewer splits than the cluster has cores.
 
-    A small table made of one unsplittable file would otherwise run its whole text
-    processing in one task.  A large table has splits enough, and is never shuffled.
-    ``df`` is a scan, so that counting its splits runs nothing.
+    A table made of one unsplittable file would otherwise run its whole text processing
+    in one task.  What is shuffled has less than one split per core, so it is bounded by
+    the cluster, not by the table.  ``df`` is a scan, so that counting its splits runs
+    nothing.
     """
-    if df.isStreaming or estimated_bytes(df) > SPREAD_LIMIT_BYTES:
+    if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

@@ -19,32 +19,41 @@ class BoxedMetrics:
     many tasks instead of being one key of a state operator.  The kept positions are
     written per batch id, so a repeated batch starts from the same ones.
 
-    ``keep_pauses`` keeps the pairs between which no time passed, whose distance
-    counts for a speed but not for a pace.
+    ``keep_pauses`` keeps the pairs between which no time passed, whose distance counts
+    for a speed but not for a pace, and gives a user's first position a pair of zeros,
+    so that a user with a single position has a speed as well.
     """
 
     def __init__(
         self, state_folder: str, sink: PerBatch, tie: str, keep_pauses: bool = False
     ):
         self.state_folder, self.sink, self.tie = state_folder, sink, tie
-        self.pairs = position_pairs if keep_pauses else boxed_metrics
+        self.keep_pauses = keep_pauses
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        positions = batch.select("user", "spot", "ts", self.tie)
+        fresh = batch.select("user", "spot", "ts", self.tie)
+        kept = fresh.limit(0)
         if batch_id > 0:
-            kept = spark.read.schema(positions.schema).parquet(
-                f"{self.state_folder}/{batch_id - 1}"
-            )
-            positions = positions.unionByName(kept)
-        positions.persist()
+            kept = spark.read.schema(fresh.schema).parquet(f"{self.state_folder}/{batch_id - 1}")
+        positions = fresh.unionByName(kept).persist()
         try:
-            self._flush(positions, batch_id)
+            self._flush(positions, fresh, kept, batch_id)
         finally:
             positions.unpersist()
 
-    def _flush(self, positions: DataFrame, batch_id: int) -> None:
-        self.sink(self.pairs(positions, self.tie), batch_id)
+    def _flush(self, positions: DataFrame, fresh: DataFrame, kept: DataFrame, batch_id: int) -> None:
+        if self.keep_pauses:
+            pairs = position_pairs(positions, self.tie)
+            zero = F.lit(0).cast("bigint")
+            first = fresh.join(kept.select("user"), "user", "left_anti").groupBy("user")
+            first = first.agg(F.min("ts").alias("ts"))
+            pairs = pairs.unionByName(
+                first.select("user", "ts", zero.alias("distance"), zero.alias("duration"))
+            )
+        else:
+            pairs = boxed_metrics(positions, self.tie)
+        self.sink(pairs, batch_id)
         order = F.struct("ts", self.tie)
         last = positions.groupBy("user").agg(
             F.max_by(F.struct("spot", "ts", self.tie), order).alias("last")

@@ -7,7 +7,7 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from millrace.operators import late, orders, sales
-from millrace.operators.cogroup import cogroup_two
+from millrace.operators.cogroup import cogroup_parts, cogroup_two
 from millrace.plans import panes
 
 SECOND = panes.SECOND
@@ -22,17 +22,17 @@ def sides(spark):
 
 def test_cogroup_rows(spark):
     left, right = sides(spark)
-    both = cogroup_two(left, right, "k", ["o"], ["o"])
-    found = {r.k: (r.part, r.left_values, r.right_values) for r in both.collect()}
-    assert found["a"] == (0, ["x", "x"], ["y"])
-    assert found["b"] == (0, [], ["z"])
-    assert len(found["hot"][1]) == 3000 and found["hot"][2] == ["r"]
+    both = cogroup_two(left, right, "k")
+    found = {r.k: (r.left_values, r.right_values) for r in both.collect()}
+    assert found["a"] == (["x", "x"], ["y"])
+    assert found["b"] == ([], ["z"])
+    assert len(found["hot"][0]) == 3000 and found["hot"][1] == ["r"]
 
 
 @pytest.mark.parametrize("chunks", [4, 32])
 def test_hot_cogroup_key_is_split_and_whole(spark, chunks):
     left, right = sides(spark)
-    both = cogroup_two(left, right, "k", ["o"], ["o"], max_list=100, chunks=chunks).collect()
+    both = cogroup_parts(left, right, "k", ["o"], ["o"], 100, chunks=chunks).collect()
     hot = [r for r in both if r.k == "hot"]
     assert sorted(r.part for r in hot) == list(range(30))
     assert all(len(r.left_values) == 100 for r in hot)

@@ -98,6 +98,31 @@ def test_small_input_is_one_chunk(spark):
     assert ordered.running(parts, {"n": ordered.fold_count()}).agg(F.max("n")).head()[0] == 20
 
 
+def test_chunks_follow_the_rows_not_the_settings(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    counts = []
+    for width in ("2", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        for rows in (4_000, 40_000):
+            df = spark.range(rows).select("id")
+            counts.append(len(ordered.chunked(df, ["id"], rows_per_chunk=1000).cuts))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert counts[:2] == counts[2:] and counts[1] > 30 and 2 <= counts[0] <= 6
+
+
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_nulls_and_repeated_values(spark, keys):
+    some = "nullif(us % 7, 3)"
+    df = make(spark, 3000).selectExpr("nullif(k, 'hot') AS k", f"{some} AS us", "id", "v")
+    df = df.unionByName(df.where("id < 600").selectExpr("k", "us", "id + 10000 AS id", "v"))
+    parts = ordered.chunked(df, ["us", "id"], keys=keys, rows_per_chunk=200)
+    assert parts.cuts
+    ours = ordered.running(parts, folds())
+    by = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("us", "id")
+    frame = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    assert same(ours.select("id", *folds()), expected(df, frame))
+
+
 def test_empty_input(spark):
     df = make(spark, rows=20).where("false")
     parts = ordered.chunked(df, ["us", "id"], keys=["k"])

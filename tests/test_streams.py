@@ -150,8 +150,7 @@ def test_running_speed_over_batches(spark, tmp_path, at):
     _, stream = metric_stream(spark, tmp_path, frames, keep_pauses=True)
     shown = runs.emitted(tracking.running_track_speed(stream), "update")
     speeds = runs.latest(shown, ["user"])
-    # A user seen once has no pair yet.
-    expected = bounded_tracking.track_speed(table, "seq").where("user <> 'still'")
+    expected = bounded_tracking.track_speed(table, "seq")
     assert tuples(speeds, "user", "speed") == tuples(expected, "user", "speed")
 
 
