@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +47,24 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 def arrow_map(df: DataFrame, function, schema, records: int = 1000) -> DataFrame:
     """``mapInArrow`` in batches of few rows and bytes, however long the texts are.
 
-    The settings are the session's, since a plan takes them when it runs.
+    The settings are the session's, since a plan takes them when it runs.  Workers live
+    on after a task, so what it has freed goes back to the system.
     """
+
+    def run(batches):
+        yield from function(batches)
+        trim()
+
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
