@@ -4,13 +4,19 @@ from pyspark.sql import functions as F
 from millrace.operators import bank
 from millrace.sources import files
 
-CARDS = [
-    # below 70 %; full and below 70 % (three points); full and pending; cleared
-    "CT1,Nadia,Stone,R_1,Issuers,500,490,38,101,30-01-2018",
-    "CT1,Nadia,Stone,R_1,Issuers,500,500,38,101,28-02-2018",
-    "CT2,Ida,Moss,R_2,Issuers,500,500,0,400,28-02-2018",
-    "CT3,Bob,Ray,R_3,Issuers,500,100,0,100,28-02-2018",
-]
+def card(customer, limit, spent, cleared, first="Ana", last="Lund"):
+    return f"{customer},{first},{last},rel,kind,{limit},{spent},0,{cleared},05-05-2021"
+
+
+# Points by rule, at each of its bounds: customer -> (limit, spent, cleared, points).
+STATEMENTS = {
+    "below": (1000, 200, 139, 1),
+    "seventy": (1000, 200, 140, 0),
+    "full": (800, 800, 799, 1),
+    "both": (800, 800, 559, 3),
+    "paid": (800, 800, 800, 0),
+    "nothing": (50, 0, 0, 0),
+}
 
 
 def loan(customer, kind, due, paid):
@@ -25,26 +31,32 @@ def personal(months, customer="P"):
     return [loan(customer, "Personal Loan", "01-01-2018", f"05-{m:02d}-2018") for m in months]
 
 
-def cards_table(spark, tmp_path):
+def cards_table(spark, tmp_path, rows):
     path = tmp_path / "cards.csv"
-    path.write_text("header line\n" + "\n".join(CARDS) + "\n")
+    path.write_text("header line\n" + "\n".join(rows) + "\n")
     return files.read_delimited(spark, str(path), files.CARDS, header=True)
 
 
 def test_card_points(spark, tmp_path):
-    cards = cards_table(spark, tmp_path)
-    assert cards.count() == 4
-    assert tuples(bank.card_defaulters(cards), "customer_id", "name", "points") == [
-        ("CT1", "CT1, Nadia Stone", 4), ("CT2", "CT2, Ida Moss", 1),
-    ]
+    rows = [card(name, *numbers) for name, (*numbers, _) in STATEMENTS.items()]
+    cards = cards_table(spark, tmp_path, rows + [card("both", 10, 10, 0)])
+    assert cards.count() == len(STATEMENTS) + 1
+    points = {name: numbers[-1] for name, numbers in STATEMENTS.items()} | {"both": 6}
+    assert tuples(bank.card_defaulters(cards), "customer_id", "name", "points") == sorted(
+        (name, f"{name}, Ana Lund", n) for name, n in points.items() if n
+    )
 
 
 def test_medical_needs_three_late_payments(spark):
-    late = loan("M3", " Medical Loan ", " 26-01-2018", "30-01-2018 ")
-    on_time = loan("M2", "Medical Loan", "26-01-2018", "26-01-2018")
-    two = [loan("M2", "Medical Loan", "26-01-2018", "01-02-2018")] * 2
-    found = bank.medical_loan_defaulters(loans_table(spark, [late] * 3 + [on_time] + two))
-    assert tuples(found, "customer_id", "missed") == [("M3", 3)]
+    def payments(customer, *days):
+        """Payments so many days after the 10th of a month."""
+        return [
+            loan(customer, " Medical Loan ", " 10-06-2020", f"{10 + d:02d}-06-2020 ") for d in days
+        ]
+
+    rows = payments("three", 1, 9, 20) + payments("two", 1, 9, 0, -4) + payments("four", 1, 1, 2, 3, -1)
+    found = bank.medical_loan_defaulters(loans_table(spark, rows))
+    assert tuples(found, "customer_id", "missed") == [("four", 4), ("three", 3)]
 
 
 def expected_personal(months):
@@ -59,7 +71,7 @@ def expected_personal(months):
 
 def test_personal_loans(spark):
     cases = {
-        "few": [1, 2, 3], "gap": [1, 5, 6, 7, 8, 9, 10, 11, 12],
+        "few": [2, 9, 11], "gap": [1, 2, 3, 7, 8, 9, 10, 11, 12],
         "start": [4, 5, 6, 7, 8, 9, 10, 11, 12], "end": [1, 2, 3, 4, 5, 6, 7, 8],
         "fine": list(range(1, 13)), "two": [1, 2, 3, 4, 5, 6, 7, 8, 9, 10],
         "twice": [1, 1, 1, 2, 2, 3, 8, 9, 12], "thirteen": list(range(1, 13)) + [5],
@@ -79,25 +91,26 @@ def test_year_of_payment_does_not_count(spark):
 
 
 def test_union_and_cogroup(spark, tmp_path):
-    medical = [loan("CT1", "Medical Loan", "01-01-2018", "02-01-2018")] * 3
-    loans = loans_table(spark, medical + personal([1, 2], "CT1") + personal([1], "CT9"))
+    medical = [loan("x", "Medical Loan", "03-03-2020", "04-03-2020")] * 5
+    loans = loans_table(spark, medical + personal([6], "x") + personal([2, 4, 8], "z"))
     assert tuples(bank.formatted_loan_defaulters(loans), "value") == [
-        ("CT1, First Last, 10 missed",), ("CT1, First Last, 3 missed",),
-        ("CT9, First Last, 11 missed",),
+        ("x, First Last, 11 missed",), ("x, First Last, 5 missed",),
+        ("z, First Last, 9 missed",),
     ]
-    both = bank.defaulters_cogroup(cards_table(spark, tmp_path), loans)
+    cards = cards_table(spark, tmp_path, [card("x", 90, 90, 0), card("y", 90, 10, 0)])
+    both = bank.defaulters_cogroup(cards, loans)
     found = {r.customer_id: (r.card_defaulter, r.loan_defaulter) for r in both.collect()}
     assert found == {
-        "CT1": (
-            ["CT1, Nadia Stone, 4 fraud_points"],
-            ["CT1, First Last, 10 missed", "CT1, First Last, 3 missed"],
+        "x": (
+            ["x, Ana Lund, 3 fraud_points"],
+            ["x, First Last, 11 missed", "x, First Last, 5 missed"],
         ),
-        "CT2": (["CT2, Ida Moss, 1 fraud_points"], []),
-        "CT9": ([], ["CT9, First Last, 11 missed"]),
+        "y": (["y, Ana Lund, 1 fraud_points"], []),
+        "z": ([], ["z, First Last, 9 missed"]),
     }
 
 
 def test_consecutive_gap(spark):
-    df = spark.createDataFrame([([1, 5, 6],), ([12],), (list(range(1, 13)),)], "m ARRAY<INT>")
+    df = spark.createDataFrame([([2, 3, 9],), ([7],), (list(range(1, 13)),)], "m ARRAY<INT>")
     gaps = [r[0] for r in df.select(bank.consecutive_gap(F.col("m"))).collect()]
-    assert gaps == [6, 11, 0]
+    assert gaps == [5, 6, 0]

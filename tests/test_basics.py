@@ -6,55 +6,70 @@ from millrace.functions import text as tx
 from millrace.operators import basics, staff
 from millrace.sources.values import from_values
 
-STAFF = [
-    ("100AA", "Oscar", 10, "Accounts", "1-01-2019"),
-    ("100AA", "Oscar", 10, "Accounts", "2-01-2019"),
-    ("200BB", "Rosalie", 10, "Accounts", "1-01-2019"),
-    ("300CC", "Eleanor", 10, "Accounts", "1-01-2019"),
-    ("400DD", "Abe", 20, "HR", "1-01-2019"),
-    ("100AA", "Oscar", 20, "HR", "3-01-2019"),
-]
 SCHEMA = "id STRING, name STRING, dept_no INT, dept STRING, date STRING"
+NAMES = ["Yu", "Ivo", "Lena", "Marek", "Ottilie", "Wilhelmina"]
+
+
+def visits():
+    """Person n is n + 1 times in Accounts, and every second one once in HR."""
+    rows = []
+    for n, name in enumerate(NAMES):
+        rows += [(f"p{n}", name, 7, "Accounts", f"{day}-11-2022") for day in range(n + 1)]
+        if n % 2:
+            rows.append((f"p{n}", name, 40, "HR", "20-11-2022"))
+    return rows
 
 
 @pytest.fixture
 def attendance(spark):
-    return spark.createDataFrame(STAFF, SCHEMA)
+    return spark.createDataFrame(visits(), SCHEMA)
 
 
 def test_counts(attendance):
-    expected = [("Eleanor", 1), ("Oscar", 2), ("Rosalie", 1)]
-    assert tuples(staff.sum_per_key(attendance), "name", "n") == expected
-    assert tuples(staff.group_then_count(attendance), "name", "n") == expected
-    assert tuples(staff.sum_struct_key(attendance), "employee.name", "total") == [
-        ("Abe", 20), ("Eleanor", 10), ("Oscar", 40), ("Rosalie", 10),
-    ]
+    accounts = sorted((name, n + 1) for n, name in enumerate(NAMES))
+    hr = [(name, 1) for name in NAMES[1::2]]
+    assert tuples(staff.sum_per_key(attendance), "name", "n") == accounts
+    assert tuples(staff.group_then_count(attendance), "name", "n") == accounts
+    assert tuples(staff.sum_struct_key(attendance), "employee.name", "total") == sorted(
+        (name, 7 * (n + 1) + 40 * (n % 2)) for n, name in enumerate(NAMES)
+    )
     union = tuples(staff.flatten_union(attendance), "name", "n")
-    assert union == sorted(expected + [("Abe", 1), ("Oscar", 1)])
+    assert union == sorted(accounts + hr)
     parts = staff.union_counts(
         staff.sum_per_key(attendance), staff.sum_per_key(attendance, "HR")
     )
     assert tuples(parts, "name", "n") == union
 
 
-def test_length_and_side_list(spark, attendance):
-    ids = ["100AA", "900ZZ"]
-    kept = basics.filter_by_length_side(attendance, ids, 3, 7)
-    assert tuples(kept, "name") == [("Abe",), ("Eleanor",), ("Rosalie",)]
-    assert tuples(basics.filter_by_length_side(attendance, [], 7), "name") == [
-        ("Eleanor",), ("Rosalie",),
-    ]
-    table = spark.createDataFrame([(i,) for i in ids], "unwanted STRING")
-    long_list = ids + [f"none{i}" for i in range(2000)]
-    for side in (table, long_list):
-        same = basics.filter_by_length_side(attendance, side, 3, 7)
-        assert tuples(same, "name") == tuples(kept, "name")
+def kept(staff_rows, unwanted, *bounds):
+    return {r.name for r in basics.filter_by_length_side(staff_rows, unwanted, *bounds).collect()}
+
+
+def test_name_lengths(attendance):
+    lengths = {name: len(name) for name in NAMES}
+    for shortest, longest in [(3, 7), (4, 4), (8, 9), (7, None)]:
+        bounds = (shortest,) if longest is None else (shortest, longest)
+        assert kept(attendance, [], *bounds) == {
+            n for n, size in lengths.items() if shortest <= size <= (longest or 99)
+        }
+
+
+@pytest.mark.parametrize("length", [3, 1000, 1001, 5000])
+def test_side_list_of_any_length_or_table(spark, attendance, length):
+    rows = attendance.unionByName(spark.createDataFrame([(None, "Nobody", 7, "HR", "")], SCHEMA))
+    unwanted = ["p1", "p4", *(f"q{i}" for i in range(length - 2))]
+    expected = {"Nobody", "Yu", "Lena", "Marek", "Wilhelmina"}
+    table = spark.createDataFrame([(i,) for i in unwanted], "unwanted STRING")
+    assert kept(rows, unwanted, 1) == kept(rows, table, 1) == expected
+    with_null = table.unionByName(spark.createDataFrame([(None,)], "unwanted STRING"))
+    assert kept(rows, [*unwanted, None], 1) == kept(rows, with_null, 1) == expected - {"Nobody"}
 
 
 def test_routes(attendance):
     outputs = basics.routed(basics.route_names(attendance.select("name").distinct()))
-    assert tuples(outputs["short_names"], "name") == [("Abe",)]
-    assert tuples(outputs["long_names"], "name") == [("Eleanor",), ("Oscar",), ("Rosalie",)]
+    short = sorted((n,) for n in NAMES if len(n) <= 4)
+    assert tuples(outputs["short_names"], "name") == short
+    assert tuples(outputs["long_names"], "name") == sorted((n,) for n in NAMES if len(n) > 4)
     assert outputs["main"].collect() == []
 
 
@@ -68,11 +83,10 @@ def test_evens(spark):
 
 def test_items(spark):
     items = from_values(
-        spark, [(1, "john", 123.0), (2, "jane", 234.0), (3, "jack", 345.0)],
-        "id INT, name STRING, value DOUBLE",
+        spark, [(i, f"item{i}", i / 4) for i in range(5)], "id INT, name STRING, value DOUBLE"
     )
-    assert tuples(basics.sql_filter_eq(items), "id", "name", "value") == [(3, "jack", 345.0)]
-    assert tuples(basics.add_constant(items), "value") == [(1123.0,), (1234.0,), (1345.0,)]
+    assert tuples(basics.sql_filter_eq(items, "item3"), "id", "name", "value") == [(3, "item3", 0.75)]
+    assert tuples(basics.add_constant(items), "value") == [(1000 + i / 4,) for i in range(5)]
     numbers = basics.squares_cubes(from_values(spark, range(10), "x BIGINT"), "x")
     assert tuples(numbers, "x", "square", "cube") == [(x, x * x, x**3) for x in range(10)]
 

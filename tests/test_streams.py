@@ -4,7 +4,7 @@ import os
 
 from conftest import tuples
 from pyspark.sql import functions as F
-from test_tracking import PACE_CASE, PACE_STATUS, metrics_of, positions, walk
+from test_tracking import PACE_CASE, metrics_of, pace_status, positions, walk
 
 from millrace.operators import tracking as bounded_tracking
 from millrace.operators import sales, traffic
@@ -156,12 +156,12 @@ def test_running_speed_over_batches(spark, tmp_path, at):
 
 def test_motivation_stream(spark, tmp_path, at):
     table = positions(spark, at, PACE_CASE)
-    frames = [table.where("seq < 2"), table.where("seq between 2 and 3"), table.where("seq > 3")]
+    frames = [table.where("seq < 3"), table.where("seq between 3 and 5"), table.where("seq > 5")]
     _, stream = metric_stream(spark, tmp_path, frames)
-    for short, long in [(20, 100), (30, 90)]:
+    for short, long in [(20, 100), (20, 40)]:
         statuses = tracking.motivation(stream, short * SECOND, long * SECOND, "0 seconds")
         shown = runs.latest(runs.emitted(statuses, "update"), ["user", "window_end"])
-        assert tuples(shown, "user", "status") == PACE_STATUS
+        assert tuples(shown, "user", "status") == pace_status(PACE_CASE, short, long)
 
 
 def test_sessions_on_a_stream(spark, tmp_path, at):
