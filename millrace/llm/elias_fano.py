@@ -31,7 +31,7 @@ class EliasFano:
             some = numbers[at : at + (1 << 16)]
             bits = (some[:, None] >> places & np.uint64(1)).astype(np.uint8)
             packed.append(np.packbits(bits.ravel(), bitorder="little"))
-        low = np.concatenate([*packed, np.zeros(8, np.uint8)])
+        low = np.concatenate([*packed, np.zeros(9, np.uint8)])
         tops = (numbers >> np.uint64(low_bits)).astype(np.int64)
         size = n + ((limit - 1) >> low_bits) + 1 if limit else 1
         bits = np.zeros(-(-(size + 1) // BLOCK) * BLOCK, np.uint8)
@@ -52,22 +52,22 @@ class EliasFano:
         if not self.low_bits:
             return np.zeros(len(index), np.uint64)
         at = index * self.low_bits
-        byte = at >> 3
-        value = np.zeros(len(index), np.uint64)
-        for j in range((self.low_bits + 14) // 8):
-            value |= self.low[byte + j].astype(np.uint64) << np.uint64(8 * j) if j < 8 else np.uint64(0)
-        value >>= (at & 7).astype(np.uint64)
-        spill = (at & 7) + self.low_bits > 64
-        if spill.any():
+        byte, shift = at >> 3, (at & 7).astype(np.uint64)
+        # Eight bytes from any byte on, as one number.
+        words = np.ndarray((len(self.low) - 7,), "<u8", self.low, 0, (1,))
+        value = words[byte] >> shift
+        if self.low_bits > 57:
+            spill = np.flatnonzero((at & 7) + self.low_bits > 64)
             more = self.low[byte[spill] + 8].astype(np.uint64)
-            value[spill] |= more << (np.uint64(64) - (at[spill] & 7).astype(np.uint64))
+            value[spill] |= more << (np.uint64(64) - shift[spill])
         return value & np.uint64((1 << self.low_bits) - 1)
 
     def _select(self, nth: np.ndarray, bit: int) -> np.ndarray:
         """Places of the nth (from 0) zeros or ones of the high bits; nth ascends."""
         before = self.zeros if bit == 0 else np.arange(len(self.zeros)) * BLOCK - self.zeros
         block = np.searchsorted(before, nth, "right") - 1
-        needed, which = np.unique(block, return_inverse=True)
+        fresh = np.diff(block, prepend=-1) != 0
+        needed, which = block[fresh], np.cumsum(fresh) - 1
         data = self.high.reshape(-1, BLOCK // 8)[needed]
         bits = np.unpackbits(data.ravel(), bitorder="little")
         places = np.flatnonzero(bits == bit)

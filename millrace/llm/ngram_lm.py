@@ -46,7 +46,7 @@ ORDER = 3
 KAPPA = 200.0
 VOCABULARY_SHARD = 1_000_000
 SHARD_TOKENS = 2_000_000
-SLICE = 500
+SLICE = 2000
 HELD_TOKENS = 4_000_000
 END = b" "  # no word holds white space
 
@@ -176,15 +176,15 @@ class Parts:
         return found
 
     def values(self, name: str, entries: np.ndarray, extra: int = 0) -> np.ndarray:
-        """An array's values (``extra``: those that many places on) at any entries."""
-        order = np.argsort(entries, kind="stable")
+        """An array's integers (``extra``: those that many places on) at any entries."""
+        ascending = not (entries[1:] < entries[:-1]).any()
+        order = np.arange(len(entries)) if ascending else np.argsort(entries, kind="stable")
         sorted_ = entries[order]
-        out = None
+        out = np.zeros(len(entries), np.int64)  # the files hold the least type they can
         for part, a, b in self._stretches(self.bases, sorted_):
-            found = unpacked(self.paths[part])[name][sorted_[a:b] - self.bases[part] + extra]
-            out = np.zeros(len(entries), found.dtype) if out is None else out
-            out[order[a:b]] = found
-        return np.zeros(len(entries), np.int64) if out is None else out
+            places = sorted_[a:b] - self.bases[part] + extra
+            out[order[a:b]] = unpacked(self.paths[part])[name][places]
+        return out
 
     def numbers(self, entries: np.ndarray) -> np.ndarray:
         """The numbers of any entries."""
@@ -232,8 +232,8 @@ class Model:
         counts = np.zeros(len(ids), np.int64)
         known = np.flatnonzero((ids >= 0) & (ids < self.words))
         vocabulary = self.levels[0]
-        before = vocabulary.values("before", ids[known]).astype(np.int64)
-        counts[known] = vocabulary.values("before", ids[known], 1).astype(np.int64) - before
+        before = vocabulary.values("before", ids[known])
+        counts[known] = vocabulary.values("before", ids[known], 1) - before
         counts[ids == self.words] = self.texts
         return counts
 
@@ -244,7 +244,7 @@ class Model:
         """How often the contexts of entries of a level were seen."""
         if level == 2:
             return self.word_counts(contexts)
-        return self.levels[level - 2].values("counts", contexts).astype(np.int64)
+        return self.levels[level - 2].values("counts", contexts)
 
     def log_probabilities(self, level: int, entries: np.ndarray) -> np.ndarray:
         return -self.step * self.levels[level - 1].values("quantised", entries)
@@ -265,20 +265,22 @@ class Model:
 
 @dataclass
 class Slice:
-    """Some texts' tokens as word ids, -1 where unknown."""
+    """Some texts' tokens: word ids, -1 where unknown, and the words' counts."""
 
     model: Model
     ids: np.ndarray
+    counts: np.ndarray
     starts: np.ndarray
 
     @classmethod
     def of(cls, model: Model, texts: list[bytes | None]) -> Slice:
         words, tokens, starts = numbered(texts)
-        return cls(model, model.word_ids(words)[tokens], starts)
+        ids = model.word_ids(words)
+        return cls(model, ids[tokens], model.word_counts(ids)[tokens], starts)
 
-    def after(self, entries: np.ndarray, first: int) -> np.ndarray:
-        """What each token has before it, and ``first`` where a text starts."""
-        before = np.concatenate([[first], entries[:-1]])
+    def after(self, values: np.ndarray, first: int) -> np.ndarray:
+        """The value of what each token has before it; ``first`` where a text starts."""
+        before = np.concatenate([[first], values[:-1]])
         before[self.starts] = first
         return before
 
@@ -287,35 +289,45 @@ class Slice:
         places = np.flatnonzero((contexts >= 0) & (self.ids >= 0))
         return places, contexts[places] * self.model.width + self.ids[places]
 
+    def beginning(self) -> int:
+        return self.model.words if self.model.texts else -1
+
     def contexts(self, level: int) -> np.ndarray:
         """The contexts of a level at every token, -1 where there is none."""
-        contexts = self.after(self.ids, self.model.words)
+        contexts = self.after(self.ids, self.beginning())
         for below in range(2, level):
-            contexts = self.after(self._entries(below, contexts), -1)
+            places, numbers = self.numbers(contexts)
+            entries = np.full(len(self.ids), -1, np.int64)
+            entries[places] = self.model.look_up(below, numbers)
+            contexts = self.after(entries, -1)
         return contexts
 
-    def _entries(self, level: int, contexts: np.ndarray) -> np.ndarray:
-        entries = np.full(len(self.ids), -1, np.int64)
-        places, numbers = self.numbers(contexts)
-        entries[places] = self.model.look_up(level, numbers)
-        return entries
-
-    def log_probabilities(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each token's unigram and model log10 probability, and whether it is known."""
+    def log_probabilities(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each token's unigram and model log10 probability."""
         model = self.model
-        counts = model.word_counts(self.ids)
-        unigram = model.unigram(counts)
+        unigram = model.unigram(self.counts)
         logs = unigram.copy()
-        contexts = self.after(self.ids, model.words if model.texts else -1)
+        contexts = self.after(self.ids, self.beginning())
+        held = self.after(self.counts, model.texts)
         for level in range(2, model.order + 1):
             seen = np.flatnonzero(contexts >= 0)
-            held = model.context_counts(level, contexts[seen])
-            logs[seen] += np.log10(model.kappa / (held + model.kappa))
-            entries = self._entries(level, contexts)
-            found = np.flatnonzero(entries >= 0)
-            logs[found] = model.log_probabilities(level, entries[found])
-            contexts = self.after(entries, -1)
-        return unigram, logs, counts > 0
+            logs[seen] += np.log10(model.kappa / (held[seen] + model.kappa))
+            places, numbers = self.numbers(contexts)
+            distinct, which = np.unique(numbers, return_inverse=True)
+            found = model.levels[level - 1].find(distinct)
+            hits = np.flatnonzero(found >= 0)
+            exact = np.full(len(distinct), np.nan)
+            exact[hits] = model.log_probabilities(level, found[hits])
+            exact = exact[which]
+            known = ~np.isnan(exact)
+            logs[places[known]] = exact[known]
+            if level < model.order:
+                counts = np.zeros(len(distinct), np.int64)
+                counts[hits] = model.levels[level - 1].values("counts", found[hits])
+                entries, seen_before = (np.full(len(self.ids), x, np.int64) for x in (-1, 0))
+                entries[places], seen_before[places] = found[which], counts[which]
+                contexts, held = self.after(entries, -1), self.after(seen_before, 0)
+        return unigram, logs
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -348,7 +360,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _build_vocabulary(texts: DataFrame, folder: str) -> tuple[Parts, int]:
     counts = written(
-        texts.transform(arrow_map, _count_words, "hash BIGINT, n BIGINT").groupBy("hash").agg(F.sum("n").alias("n")),
+        texts.transform(arrow_map, _count_words, "hash BIGINT, n BIGINT", SLICE)
+        .groupBy("hash")
+        .agg(F.sum("n").alias("n")),
         "lm-words",
     )
     words = counts.count()
@@ -408,7 +422,7 @@ def _count_level(model: Model, level: int, shards: int):
             return contexts * shards // max(1, model.levels[level - 2].n)
         ids, which = np.unique(contexts, return_inverse=True)
         inside = np.minimum(ids, model.words - 1)
-        before = model.levels[0].values("before", inside).astype(np.int64)
+        before = model.levels[0].values("before", inside)
         before[ids == model.words] = model.tokens
         share = model.word_counts(ids)[which] * (words / model.width)
         mass = before[which] + share
@@ -468,14 +482,13 @@ def _build_level(model: Model, level: int, texts: DataFrame, folder: str) -> Par
         first, limit = int(numbers[0]), int(numbers[-1]) + 1
         arrays = sequence_arrays(numbers - first, limit - first) | {"quantised": quantised}
         if level < model.order:
-            arrays["counts"] = n
+            arrays["counts"] = n.astype(np.min_scalar_type(int(n.max())))
         path = f"{folder}/level{level}-{shard:06d}"
         put_file(path, pack(arrays))
         return _part(path, first, limit, len(numbers))
 
-    blocks = texts.transform(arrow_map, 
-        _count_level(model, level, shards), "shard BIGINT, numbers BINARY, counts BINARY"
-    )
+    columns = "shard BIGINT, numbers BINARY, counts BINARY"
+    blocks = texts.transform(arrow_map, _count_level(model, level, shards), columns, SLICE)
     return _parts(blocks.groupBy("shard").applyInArrow(build, PART), f"lm-level{level}")
 
 
@@ -499,8 +512,8 @@ def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _texts(batches, 1):
             some = Slice.of(model, texts)
-            unigram, logs, known = some.log_probabilities()
-            sums = [np.add.reduceat(x, some.starts) for x in (known.astype(np.int64), unigram, logs)]
+            known = (some.counts > 0).astype(np.int64)
+            sums = [np.add.reduceat(x, some.starts) for x in (known, *some.log_probabilities())]
             sizes = np.diff(np.append(some.starts, len(some.ids)))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(sizes), *map(pa.array, sums)],
@@ -508,9 +521,8 @@ def scored(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str
             )
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.transform(arrow_map, 
-        score, "doc_id BIGINT, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
-    )
+    columns = "doc_id BIGINT, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
+    return rows.transform(arrow_map, score, columns, SLICE)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 7, remainder: int = 2) -> Column:

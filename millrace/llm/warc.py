@@ -119,8 +119,8 @@ def write_archives(
         "html",
     )
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    files = rows.select("page_id", "url", payload.alias("payload"), "digest", "refers_to").transform(arrow_map, 
-        write, "path STRING, bytes BIGINT, records BIGINT"
+    files = rows.select("page_id", "url", payload.alias("payload"), "digest", "refers_to").transform(
+        arrow_map, write, "path STRING, bytes BIGINT, records BIGINT"
     )
     return written(files, "warc-files")
 
