@@ -45,6 +45,10 @@ HEADLINE = [
     "session_profit",
     "global_count_discarding",
     "list_file_lines",
+    "unwindowed_count",
+    "stream_tumble_count_user",
+    "stream_running_track_speed",
+    "stream_enrich_orders_refreshed",
 ]
 RUNS = 3
 

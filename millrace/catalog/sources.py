@@ -79,14 +79,16 @@ def list_file_lines(spark, sf_dir):
 
 @query(
     "file_ranges",
-    """SELECT CAST(count(*) AS BIGINT) AS lines
-       FROM (SELECT unnest(string_split(text, chr(10))) FROM documents)""",
+    """SELECT source, unnest(range(CAST(sum(len(string_split(text, chr(10)))) AS BIGINT))) AS position
+       FROM documents GROUP BY source""",
 )
 def file_ranges(spark, sf_dir):
+    """A file per source, all of a folder of their own."""
     folder = shared_folder(spark, "file-ranges")
-    files.write_text(t.lines(spark, sf_dir).select("text"), folder)
-    placed = files.list_file_lines(spark, folder)
-    return placed.agg(F.count("*").alias("lines"))
+    texts = t.table(spark, sf_dir, "documents").select("source", "text")
+    texts.repartition("source").write.partitionBy("source").text(folder)
+    source = F.regexp_extract("path", "source=([^/]+)", 1).alias("source")
+    return files.list_file_lines(spark, folder).select(source, "position")
 
 
 @query(

@@ -57,13 +57,15 @@ def write_json(df: DataFrame, folder: str) -> None:
 
 
 def file_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    """(name, start, end) for each file with any line directly in ``folder``.
+    """(path, name, start, end) for each file with any line in ``folder``.
 
     Lines are counted from all splits of a file at once and no text is kept, so a
-    very large file is as parallel as many small ones.
+    very large file is as parallel as many small ones.  Files of one name in different
+    partition folders have ranges of their own.
     """
     lines = spark.read.text(folder)
-    return lines.groupBy(F.col("_metadata.file_name").alias("name")).agg(
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    return lines.groupBy(path.alias("path"), name.alias("name")).agg(
         F.lit(0).cast("bigint").alias("start"), F.count("*").alias("end")
     )
 
@@ -78,18 +80,19 @@ def text_ranges(table: DataFrame, name: str, text: str) -> DataFrame:
 
 
 def positions(ranges: DataFrame, piece: int = PIECE) -> DataFrame:
-    """One row per line: (name, position) with positions from start to end - 1.
+    """One row per line: the range's columns and positions from start to end - 1.
 
     Long ranges are cut into pieces, and the pieces spread over the cluster, before
     they become rows.
     """
+    of_file = [c for c in ranges.columns if c not in ("start", "end")]
     last = F.col("end") - 1
     whole = ranges.where(F.col("end") > F.col("start"))
     starts = F.sequence("start", last, F.lit(piece).cast("bigint"))
-    pieces = whole.select("name", F.explode(starts).alias("from"), last.alias("last"))
-    pieces = pieces.repartition("name", "from")
+    pieces = whole.select(*of_file, F.explode(starts).alias("from"), last.alias("last"))
+    pieces = pieces.repartition(*of_file, "from")
     upto = F.least(F.col("last"), F.col("from") + (piece - 1))
-    return pieces.select("name", F.explode(F.sequence("from", upto)).alias("position"))
+    return pieces.select(*of_file, F.explode(F.sequence("from", upto)).alias("position"))
 
 
 def list_file_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +130,7 @@ def batch_positions(lines: DataFrame) -> DataFrame:
 
     A file always arrives whole in one micro-batch, so its range can be counted there.
     """
-    ranges = lines.groupBy("name").agg(
+    ranges = lines.groupBy("path", "name").agg(
         F.lit(0).cast("bigint").alias("start"), F.count("*").alias("end")
     )
     return positions(ranges)

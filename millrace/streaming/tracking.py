@@ -76,22 +76,27 @@ def running_track_speed(metrics: DataFrame) -> DataFrame:
 def motivation(metrics: DataFrame, short: int, long: int, delay: str) -> DataFrame:
     """Status per user and short window, as one streaming aggregate.
 
-    The long window that ends with a short one contains it, so both paces come from
-    the same sliding window: the short sums are those of its last ``short``
-    microseconds.  No join and no second state.
+    A long window is paired with the short window that holds its last tick.  Both lie in
+    the window that starts with the long one and ends with the short one, which is the
+    long one itself where short windows tile it.  So both paces come from the same
+    sliding window, without a join or a second state.  ``window_end`` is the short
+    window's.
     """
-    window = F.window("ts", panes.duration(long), panes.duration(short))
+    both = -(-long // short) * short
+    window = F.window("ts", panes.duration(both), panes.duration(short))
     placed = metrics.withWatermark("ts", delay).withColumn("window", window)
-    recent = panes.micros(F.col("ts")) >= panes.micros(F.col("window.end")) - short
+    at = panes.micros(F.col("ts"))
+    recent = at >= panes.micros(F.col("window.end")) - short
+    inside = at < panes.micros(F.col("window.start")) + long
     sums = placed.groupBy("user", "window").agg(
         F.sum(F.when(recent, F.col("distance"))).alias("short_distance"),
         F.sum(F.when(recent, F.col("duration"))).alias("short_duration"),
-        F.sum("distance").alias("distance"),
-        F.sum("duration").alias("duration"),
+        F.sum(F.when(inside, F.col("distance"))).alias("distance"),
+        F.sum(F.when(inside, F.col("duration"))).alias("duration"),
     )
     short_pace = pace.mean_pace(F.col("short_distance"), F.col("short_duration"))
     long_pace = pace.mean_pace(F.col("distance"), F.col("duration"))
-    present = F.col("short_duration").isNotNull()
+    present = F.col("short_duration").isNotNull() & F.col("duration").isNotNull()
     return (
         sums.where(present)
         .withColumn("status", pace.pace_status(short_pace, long_pace))

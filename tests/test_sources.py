@@ -27,6 +27,14 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
+def test_files_of_one_name_have_ranges_of_their_own(spark, tmp_path):
+    for part in ("k=1", "k=2"):
+        (tmp_path / part).mkdir()
+        (tmp_path / part / "x.txt").write_text("one\ntwo\n")
+    ranges = files.file_ranges(spark, str(tmp_path))
+    assert tuples(ranges, "name", "start", "end") == [("x.txt", 0, 2)] * 2
+
+
 def test_file_ranges(spark, tmp_path):
     ranges = files.file_ranges(spark, folder(tmp_path))
     assert tuples(ranges, "name", "start", "end") == sorted(

@@ -164,6 +164,18 @@ def test_motivation_stream(spark, tmp_path, at):
         assert tuples(shown, "user", "status") == pace_status(PACE_CASE, short, long)
 
 
+def test_motivation_stream_where_short_windows_do_not_tile_long_ones(spark, tmp_path, at):
+    table, frames = walk_batches(spark, at)
+    _, stream = metric_stream(spark, tmp_path, frames)
+    statuses = tracking.motivation(stream, 30 * SECOND, 70 * SECOND, "0 seconds")
+    shown = runs.latest(runs.emitted(statuses, "update"), ["user", "window_end"])
+    start = (F.unix_seconds("window_end") - 30).alias("s")
+    bounded = bounded_tracking.boxed_metrics(table, "seq")
+    whole = bounded_tracking.motivation_cogroup(bounded, 30 * SECOND, 70 * SECOND)
+    expected = tuples(whole, "user", F.unix_seconds("window_start"), "status")
+    assert tuples(shown, "user", start, "status") == expected and len(expected) > 20
+
+
 def test_sessions_on_a_stream(spark, tmp_path, at):
     def sold(*rows):
         data = [("a", at(s), 1) for s in rows]
