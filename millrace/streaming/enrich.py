@@ -21,21 +21,32 @@ def enrich_batch_sized(
     words: DataFrame,
     batch_size: int = 10,
     max_wait_secs: int = 4,
-    salts: int = 16,
+    salts: int | None = None,
     word: str = "word",
     open_client: Callable[[], Client] = length_service,
 ) -> DataFrame:
     """Answers in calls of ``batch_size`` rows per bucket, or after ``max_wait_secs``.
 
     ``words`` has the word and its ``ts``.  Rows that do not fill a call wait in the
-    bucket's state.  Salting the ten first-letter buckets lets more than ten tasks
-    work; a call still never mixes buckets.
+    bucket's state.  Salting the ten first-letter buckets lets every shuffle partition
+    work; a call still never mixes buckets.  A client is closed after the group it was
+    opened for.
     """
+    salts = salts or int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def call(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         client = open_client()
+        try:
+            yield from answered(client, frames, state)
+        finally:
+            if close := getattr(client, "close", None):
+                close()
+
+    def answered(
+        client: Client, frames: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
         held = state.get if state.exists else ([], [])
         waiting = pd.DataFrame({word: list(held[0]), "ts": pd.to_datetime(list(held[1]))})
         if state.hasTimedOut:
