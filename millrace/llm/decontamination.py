@@ -43,7 +43,7 @@ DIMENSIONS = 256
 SPARE = 8
 ROUNDS = 2
 COSINE = 0.4
-MASS = 0.1
+MASS = 0.25
 NEAR = 0.8
 LEAST = 0.6
 ANSWER = 0.7
