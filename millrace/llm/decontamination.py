@@ -4,14 +4,15 @@ The benchmark's passages make a TF-IDF matrix, whose document frequencies are co
 over all documents.  A randomised SVD, its products summed over Spark tasks, gives a
 latent space in which each item passage is a vector.  Documents are cut into overlapping
 passages of ``WINDOW`` words that are folded into this space; a passage whose cosine with
-an item's is ``COSINE`` or more is a candidate.  The longest common subsequence of words
-decides: an item is found if ``NEAR`` of its words stand there in order, or if ``LEAST``
+an item's is ``COSINE`` or more is a candidate, and so is one that shares ``LEAST`` of an
+item's words, or of ``STEP`` words for longer items, however usual these are in the
+documents: a copy with up to 40 % of its words replaced or left out always has such a
+passage.  The longest common subsequence of words decides: an item is found if ``NEAR`` of its words stand there in order, or if ``LEAST``
 of them do and its answer, the last sentence, is there as well.
 
 The decomposed matrix is that of the benchmark: the corpus's own main directions are its
 common words, and would lose the rare ones that tell items apart.  Words that no item has
-have no place in the latent space.  They only count in a passage's weight, like the usual
-word of an item; a passage of which items' words are less than ``MASS`` isn't looked up.
+have no place in the latent space.  Every passage with a word of an item is looked up.
 
 Items are taken in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_WORDS`` words, so
 what tasks are sent has a bound whatever the benchmark's size.  Nothing is shuffled but
@@ -43,7 +44,6 @@ DIMENSIONS = 256
 SPARE = 8
 ROUNDS = 2
 COSINE = 0.4
-MASS = 0.25
 NEAR = 0.8
 LEAST = 0.6
 ANSWER = 0.7
@@ -51,6 +51,7 @@ ANSWER_WORDS = 8
 BLOCK_ITEMS = 1024
 BLOCK_WORDS = 40_000
 SLICE = 200
+PART = 4096  # words looked up at once, a multiple of STEP
 
 # ASCII letters and digits stay, other ASCII characters become spaces.
 WORDS = bytes(
@@ -161,48 +162,74 @@ def document_frequencies(documents: DataFrame, terms: frozenset[bytes]) -> tuple
 
 @dataclass
 class Index:
-    """A block's items, the terms' weights and latent rows, and the items' vectors."""
+    """A block's items, the terms' weighted latent rows, and the items' vectors."""
 
     items: list[Item]
     terms: dict[bytes, int]
-    weights: np.ndarray  # of the terms, and last of all other words
-    latent: np.ndarray
+    folds: np.ndarray
     passages: np.ndarray
     item_of: np.ndarray
 
+    def __post_init__(self):
+        counts = [(self.terms[w], i, m.bit_count()) for i, t in enumerate(self.items) for w, m in t.masks.items()]
+        self.times = np.zeros(len(self.terms), np.int64)
+        for term, _, n in counts:
+            self.times[term] = max(n, self.times[term])
+        self.times = np.minimum(self.times, WINDOW)
+        self.first = np.cumsum(self.times) - self.times
+        self.holds = np.zeros((self.times.sum(), len(self.items)), np.uint8)
+        for term, i, n in counts:
+            self.holds[self.first[term] : self.first[term] + min(n, WINDOW), i] = 1
+        self.least = np.array([math.ceil(LEAST * min(len(i.words), STEP)) for i in self.items])
+
     def found(self, words: list[bytes]) -> dict[int, float]:
         """The items in a document, with the share of their words."""
         n = len(words)
         outside = len(self.terms)
         get = self.terms.get
         at = np.fromiter((get(w, outside) for w in words), np.int64, n)
-        places = np.flatnonzero(at < outside)
-        if not len(places):
-            return {}
-        own = self.weights[at] ** 2
-        total = np.concatenate([[0], np.cumsum(own)])
-        own[at == outside] = 0
-        inside = np.concatenate([[0], np.cumsum(own)])
-        spans = np.array(cut(n))
-        starts, ends = spans[:, 0], spans[:, 1]
-        mass = inside[ends] - inside[starts]
         share: dict[int, float] = {}
-        for w in np.flatnonzero(mass >= MASS * (total[ends] - total[starts])):
-            start, end = int(starts[w]), int(ends[w])
-            known = at[places[np.searchsorted(places, start) : np.searchsorted(places, end)]]
-            vector = self.weights[known] @ self.latent[known]
-            length = float(np.linalg.norm(vector))
-            if not length:
-                continue
-            near = np.flatnonzero(self.passages @ vector >= COSINE * length)
-            for i in np.unique(self.item_of[near]):
-                item = self.items[i]
-                reach = len(item.words)
-                region = words[max(0, start - reach) : end + reach]
-                if s := item.found_in(region):
-                    share[item.item_id] = max(s, share.get(item.item_id, 0.0))
+        for first in range(0, max(1, n - STEP), PART):
+            if (at[first : first + PART + STEP] < outside).any():
+                self._find(words, at[first : first + PART + STEP], first, share)
         return share
 
+    def _find(self, words: list[bytes], at: np.ndarray, first: int, share: dict[int, float]) -> None:
+        """Add the items near the passages of the words' part that starts at first."""
+        places = np.flatnonzero(at < len(self.terms))
+        known, step = at[places], places // STEP
+        passages = max(1, -(-len(at) // STEP) - 1)
+        held, begin = np.unique(step, return_index=True)
+        folded = np.zeros((passages + 1, self.folds.shape[1]), np.float32)
+        folded[held] = np.add.reduceat(self.folds[known], begin, axis=0)
+        folded = folded[:-1] + folded[1:]
+        length = np.linalg.norm(folded, axis=1, keepdims=True)
+        near, row = np.nonzero((folded @ self.passages.T >= COSINE * length) & (length > 0))
+        pairs = set(zip(near.tolist(), self.item_of[row].tolist(), strict=True))
+        # Each word of a passage once, the k-th time as the item's k-th.
+        passage = np.concatenate([step, step - 1])
+        key = (passage * len(self.terms) + np.tile(known, 2))[(passage >= 0) & (passage < passages)]
+        key.sort()
+        new = np.flatnonzero(np.diff(key, prepend=-1))
+        time = np.arange(len(key)) - np.repeat(new, np.diff(new, append=len(key)))
+        passage, term = np.divmod(key, len(self.terms))
+        used = time < self.times[term]
+        passage, place = passage[used], self.first[term[used]] + time[used]
+        held, begin = np.unique(passage, return_index=True)
+        shared = np.add.reduceat(self.holds[place], begin, axis=0)
+        near, item = np.nonzero(shared >= self.least)
+        for w, i in zip(held[near].tolist(), item.tolist(), strict=True):
+            item, start = self.items[i], first + w * STEP
+            inside = common_length(item.masks, len(item.words), words[start : start + WINDOW])
+            if inside >= self.least[i]:
+                pairs.add((w, i))
+        for w, i in pairs:
+            item, start = self.items[i], first + w * STEP
+            reach = len(item.words)
+            region = words[max(0, start - reach) : start + WINDOW + reach]
+            if s := item.found_in(region):
+                share[item.item_id] = max(s, share.get(item.item_id, 0.0))
+
 
 def _products(rows: DataFrame, base: np.ndarray) -> np.ndarray:
     """A' A base for the matrix A whose rows have term numbers and weights."""
@@ -241,8 +268,7 @@ def build_index(documents: DataFrame, items: list[Item], dimensions: int = DIMEN
     terms = {w: i for i, w in enumerate(names)}
     n, counts = document_frequencies(documents, frozenset(names))
     rarity = [math.log((n + 1) / (counts.get(w, 0) + 1)) + 0.01 for w in names]
-    usual = np.mean([rarity[terms[w]] ** 2 for item in items for w in item.words]) ** 0.5
-    weights = np.array([*rarity, usual])
+    weights = np.array(rarity)
     item_of, rows = [], []
     for i, item in enumerate(items):
         for start, end in cut(len(item.words)):
@@ -257,7 +283,11 @@ def build_index(documents: DataFrame, items: list[Item], dimensions: int = DIMEN
     passages = np.stack([np.array(w) @ latent[t] for t, w in rows])
     passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-12)
     return Index(
-        items, terms, weights, latent.astype(np.float32), passages.astype(np.float32), np.array(item_of)
+        items,
+        terms,
+        (weights[:, None] * latent).astype(np.float32),
+        passages.astype(np.float32),
+        np.array(item_of),
     )
 
 

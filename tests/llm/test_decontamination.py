@@ -98,3 +98,24 @@ def test_an_answer_decides_about_a_paraphrase():
     near = [w if i % 3 else b"other" for i, w in enumerate(words[:10])] + words[10:]
     assert item.found_in(near) >= d.LEAST
     assert not item.found_in(near[:10] + [b"unknown"] * 6)
+
+
+def test_an_item_in_a_third_of_the_documents_is_found_in_all(spark, documents):
+    rng = random.Random(5)
+    some = lambda n: [rare(rng) for _ in range(n)]
+    leaked = some(16)
+    others = [some(30) for _ in range(20)]
+    items = [(0, " ".join(leaked)), *((i, " ".join(o)) for i, o in enumerate(others, 1))]
+    docs = []
+    for i in range(240):
+        body = some(rng.randint(60, 200))
+        if i % 3 == 0:
+            copy = [rare(rng) if i % 2 and k in (2, 7, 12) else w for k, w in enumerate(leaked)]
+            # Around it words that nobody knows, or rare ones of many items.
+            around = some(8) if i % 4 < 2 else [rng.choice(rng.choice(others)) for _ in range(8)]
+            at = rng.randint(0, len(body))
+            body[at:at] = around + copy + around[::-1]
+        docs.append((i, " ".join(body)))
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    found = {r.doc_id: [x.item_id for x in r["items"]] for r in d.searched(documents(*docs), benchmark).collect()}
+    assert found == {i: [0] if i % 3 == 0 else [] for i in range(240)}
