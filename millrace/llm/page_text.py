@@ -9,7 +9,10 @@ subtrees as an average page has subtrees, however many pages it has.
 Inside an article only subtrees that are mostly links may be template, since articles
 quote the same passages; elsewhere any may.  Elements whose tag, role or class says that
 they are menus, headers, footers, sidebars, notices, adverts, forms or reader comments go
-in any case.  The text is that of the article elements, or of the main element, or of
+as well.  A class or id says so only as a whole name, or as one made of such words and
+words for places and boxes: ``site-header``, but not ``no-sidebar`` or ``related-work``.
+Forms and marked elements that hold more than half of the page's text outside links stay;
+adverts, comments and the like stay only if they hold all of it.  The text is that of the article elements, or of the main element, or of
 what remains of the body.
 
 Defined results: a null or empty page has an empty text; markup may be broken or cut
@@ -53,6 +56,17 @@ MARKS = set(
     "promo promotion related share sharing sidebar signup skip social sponsor sponsored subscribe "
     "toolbar widget".split()
 )
+# Marks that are no part of an article, even if most of the page's text stands there.
+SURE = set(
+    "ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs comment comments "
+    "consent cookie cookies disqus gdpr nav navbar pager pagination".split()
+)
+# Words that make no other name of a mark: site-header, ad-slot, comment-list.
+PLACES = set(
+    "area bar block bottom box btn button buttons container global icons inner left links list main "
+    "page placeholder posts primary right secondary section site slot top unit wrap wrapper".split()
+)
+CONTROLS = set("a nav button select textarea".split())
 CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -66,27 +80,44 @@ LANDMARKS = {"article", "main"}
 
 
 class Node:
-    __slots__ = ("attrs", "chars", "digest", "holds_landmark", "kids", "links", "tag")
+    __slots__ = ("attrs", "chars", "digest", "holds_landmark", "kids", "links", "prose", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs = tag, attrs
         self.kids: list[Node | str] = []
         self.digest = b""
-        self.chars = self.links = 0
+        self.chars = self.links = self.prose = 0
         self.holds_landmark = False
 
-    def boilerplate(self, in_article: bool) -> bool:
-        """Whether tag, role or class says that this is no part of an article."""
+    def marks(self) -> set[str]:
+        """The marks that are whole classes or ids, or with words of places make them up."""
+        found: set[str] = set()
+        for name in f"{self.attrs.get('class', '')} {self.attrs.get('id', '')}".lower().split():
+            words = set(re.split(r"[^a-z]+", name)) - {""}
+            if words <= MARKS | PLACES:
+                found |= words & MARKS
+        return found
+
+    def boilerplate(self, in_article: bool, prose: int) -> bool:
+        """Whether tag, role or class says that this is no part of an article.
+
+        ``prose`` is the length of the page's text outside links.
+        """
         if self.tag in UNSEEN or "hidden" in self.attrs:
             return True
         if self.holds_landmark or self.tag in ("html", "body", "main"):
             return False
         if self.tag == "header" and in_article:
             return False
-        if self.tag in FURNITURE or self.attrs.get("role", "").lower() in ROLES:
+        role = self.attrs.get("role", "").lower()
+        if self.tag in FURNITURE - {"form", "fieldset"} or role in ROLES - {"form", "search"}:
             return True
-        named = f"{self.attrs.get('class', '')} {self.attrs.get('id', '')}"
-        return bool(named.strip()) and not MARKS.isdisjoint(re.split(r"[^a-z]+", named.lower()))
+        marks = self.marks()
+        if marks & SURE:
+            return self.prose < prose or not prose
+        if marks or self.tag in ("form", "fieldset") or role in ("form", "search"):
+            return 2 * self.prose <= prose
+        return False
 
 
 class Tree(HTMLParser):
@@ -111,14 +142,18 @@ class Tree(HTMLParser):
             if isinstance(kid, str):
                 text = " ".join(kid.split())
                 node.chars += len(text)
+                node.prose += len(text)
                 hashed.update(b"\0" + text.encode("utf-8", "replace"))
             else:
                 node.chars += kid.chars
                 node.links += kid.links
+                node.prose += kid.prose
                 node.holds_landmark |= kid.holds_landmark or kid.tag in LANDMARKS
                 hashed.update(b"\1" + kid.digest)
         if node.tag == "a":
             node.links = node.chars
+        if node.tag in UNSEEN or node.tag in CONTROLS or "hidden" in node.attrs:
+            node.prose = 0
         node.digest = hashed.digest()
 
     def _pop(self) -> None:
@@ -177,7 +212,7 @@ def _articles(root: Node) -> list[Node]:
         found: list[Node] = []
 
         def enter(node: Node, tag=tag, found=found) -> bool:
-            if node.boilerplate(False):
+            if node.boilerplate(False, root.prose):
                 return False
             if node.tag == tag or tag == "main" and node.attrs.get("role") == "main":
                 found.append(node)
@@ -234,7 +269,7 @@ def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) ->
         def enter(node: Node, top=top) -> bool:
             if node is top:
                 return True
-            gone = node.boilerplate(bool(articles))
+            gone = node.boilerplate(bool(articles), root.prose)
             if _number(node.digest) in templates and not node.holds_landmark:
                 linked = node.links >= LINK_DENSITY * node.chars and node.tag not in INLINE
                 gone = gone or linked or not articles

@@ -31,6 +31,23 @@ def test_main_text(html, text):
     assert p.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (page("<div class='content no-sidebar'><p>the story</p></div>"), "the story"),
+        (page("<form id='form1'><div class='sidebar'>side</div><p>all of the story</p></form>"), "all of the story"),
+        (page("<article class='post category-advertising'><p>on adverts</p></article>"), "on adverts"),
+        (page("<article>a<section id='social-study'>b</section><div class='related-work'>c</div></article>"), "a b c"),
+        (page("<div class='text notice'><p>nearly the whole page</p></div><p>more</p>"), "nearly the whole page more"),
+        (page("<article><p>story</p><div class='site-header'>x</div><div id='ad-slot-3'>a long advert</div>"
+              "<div class='comment-list'>many long comments</div></article>"), "story"),
+        (page("<p>a longer story here</p><form>Search <input></form><div class='cookie-banner'>we use cookies</div>"), "a longer story here"),
+    ],
+)
+def test_marks_are_whole_names_and_never_take_most_of_a_page(html, text):
+    assert p.main_text(html) == text
+
+
 def run(spark, rows, **more):
     found = p.extracted(spark.createDataFrame(rows, PAGES), **more).collect()
     return sorted(((r.page_id, r.text, r.n_chars) for r in found), key=repr)
