@@ -9,8 +9,9 @@ windows save ``HIT`` bytes or more, and how many windows there are make the scor
 logistic curve fitted to the labelled rows.
 
 Toxic texts are mostly ordinary, so their dictionary is trained on the stretches of words
-that telling pieces of ``LENGTHS`` bytes cover: pieces in at least ``PIECE_SHARE`` of the
-toxic texts, ``PIECE_RATIO`` times as often as in ordinary ones, and significantly so.
+that telling pieces of ``LENGTHS`` bytes cover: pieces in at least ``PIECE_TEXTS`` toxic texts,
+``PIECE_RATIO`` times as often as in ordinary ones, and significantly so.  The most
+frequent stretches fill the dictionary up to ``STRETCH_BYTES``.
 Fitting uses at most ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled rows, those with the
 smallest digests of their ids; everything else takes all rows and whole texts.
 
@@ -42,11 +43,10 @@ HIT = 6
 TOXIC_ROWS = 8_000
 ORDINARY_ROWS = 16_000
 LENGTHS = (5, 6, 7, 8)
-PIECE_SHARE = 0.03
 PIECE_RATIO = 20
 PIECE_TEXTS = 5
 SIGNIFICANCE = 60  # of the log-likelihood ratio
-TOXIC_STRETCHES = 400
+STRETCH_BYTES = 64 << 10
 ORDINARY_WORDS = 1_000
 RIDGE = 0.1
 SLICE = 200
@@ -178,10 +178,9 @@ def _counts(rows: DataFrame, tokens_of, purpose: str) -> DataFrame:
 def telling_pieces(toxic: DataFrame, ordinary: DataFrame, n_toxic: int, n_ordinary: int) -> set[bytes]:
     """The pieces that tell toxic texts.
 
-    Only pieces of enough toxic texts are collected, of which there are at most
-    1 / PIECE_SHARE times as many as an average text has pieces.
+    Only pieces that are significant if no ordinary text has them are collected.
     """
-    least = max(PIECE_TEXTS, PIECE_SHARE * n_toxic)
+    least = max(PIECE_TEXTS, SIGNIFICANCE / (2 * math.log((n_toxic + n_ordinary) / n_toxic)) - 1e-6)
     often = _counts(toxic, pieces, "toxic-pieces").filter(F.col("n") >= least).collect()
     candidates = {bytes(r["token"]): r["n"] for r in often}
     known = frozenset(candidates)
@@ -214,19 +213,21 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     best = (
         _counts(toxic, lambda word: stretches(word, telling), "toxic-stretches")
         .orderBy(F.desc("n"), "token")
-        .limit(TOXIC_STRETCHES)
+        .limit(STRETCH_BYTES // 8)
         .collect()
     )
     common = (
         _counts(ordinary, lambda word: (word,), "ordinary-words")
         .orderBy(F.desc("n"), "token")
-        .limit(2 * ORDINARY_WORDS)
+        .limit(ORDINARY_WORDS + STRETCH_BYTES // 4)
         .collect()
     )
     # The most frequent come last, where matches cost least; further words fill up the
     # ordinary dictionary to the length of the toxic one.
     base = b"".join(codes(bytes(r["token"])) for r in reversed(common[:ORDINARY_WORDS]))
-    insults = b"".join(codes(bytes(r["token"])) for r in reversed(best))
+    coded = [codes(bytes(r["token"])) for r in best]
+    room = np.searchsorted(np.cumsum([len(c) for c in coded]), STRETCH_BYTES, "right")
+    insults = b"".join(reversed(coded[:room]))
     filler = b"".join(codes(bytes(r["token"])) for r in common[ORDINARY_WORDS:])[: len(insults)]
     model = Model(insults + base, filler + base)
     found = measured(rows.select(F.col("toxic").cast("bigint").alias("doc_id"), "text"), model)

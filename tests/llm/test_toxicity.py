@@ -65,3 +65,15 @@ def test_stretches_are_covered_parts():
     telling = {b"abcde", b"bcdef", b"xyzuv"}
     assert toxicity.stretches(b" abcdefg xyzuv", telling) == [b"abcdef", b"xyzuv"]
     assert toxicity.stretches(b" short", telling) == []
+
+
+def test_many_rare_insults_are_learnt(spark, documents):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4)))
+    insults = ["".join(rng.choice("cfghjqvwxyz") for _ in range(8)) for _ in range(50)]
+    docs = [(i, " ".join([*(word() for _ in range(10)), *insults[i % 50 : i % 50 + (i < 1000)]])) for i in range(6000)]
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i in range(6000)], "doc_id BIGINT, toxic INT")
+    table = documents(*docs)
+    model = toxicity.fit(table, labels)
+    found = {r.doc_id for r in toxicity.scored(table, model).collect() if r.score >= 0.5}
+    assert len(found & set(range(1000))) >= 950 and len(found) <= 1050
