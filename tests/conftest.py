@@ -45,7 +45,3 @@ def lines(spark, at):
         return spark.createDataFrame(rows, "seq BIGINT, text STRING, ts TIMESTAMP")
 
     return build
-
-
-def tuples(df, *columns):
-    return sorted(tuple(row) for row in df.select(*columns).collect())

@@ -1,4 +1,4 @@
-from conftest import tuples
+from rows import tuples
 from pyspark.sql import functions as F
 
 from millrace.operators import bank

@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from rows import tuples
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx

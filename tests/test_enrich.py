@@ -2,7 +2,7 @@ import sys
 import time
 
 import pytest
-from conftest import tuples
+from rows import tuples
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import tuples
+from rows import tuples
 from pyspark.sql import functions as F
 
 from millrace.operators import late, orders, sales

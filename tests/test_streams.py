@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import tuples
+from rows import tuples
 from pyspark.sql import functions as F
 from test_tracking import PACE_CASE, metrics_of, pace_status, positions, walk
 

@@ -1,6 +1,6 @@
 import random
 
-from conftest import tuples
+from rows import tuples
 from pyspark.sql import functions as F
 
 from millrace.functions import pace

@@ -1,6 +1,6 @@
 import json
 
-from conftest import tuples
+from rows import tuples
 from pyspark.sql import functions as F
 
 from millrace.functions.parsing import parse_event_log, with_event_time
