@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, mixing, ngram_lm, page_text, quality, sharding, simhash, token_files, toxicity, warc
+from millrace.llm import decontamination, mixing, ngram_lm, page_text, quality, secret_scan, sharding, simhash, token_files, toxicity, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,20 @@ def op10_token_files(
     return token_files.read_tokens(files)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scanned(table(spark, sf_dir, "documents"))
+    secrets, kinds = F.col("secrets"), [d.kind for d in secret_scan.BASE]
+    return found.select(
+        "doc_id",
+        *[
+            F.size(secret_scan.of_kinds(secrets, [kind])).cast("bigint").alias(f"n_{kind}")
+            for kind in kinds
+        ],
+        F.sha2(secret_scan.listed(secret_scan.of_kinds(secrets, kinds)), 256).alias("base_sha256"),
+        secret_scan.listed(secrets).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -119,6 +133,7 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_source_mix,
         op10_token_files,
+        op11_secrets,
     )
 }
 

@@ -13,7 +13,7 @@ def test_query_equals_its_sql(spark, small, name):
 
 
 def test_every_operator_has_its_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 12))
 
 
 def test_columns_of_the_queries(spark, small):
@@ -28,6 +28,7 @@ def test_columns_of_the_queries(spark, small):
         8: "doc_id fingerprint component_id",
         9: "doc_id size source_size target taken",
         10: "doc_id start n_tokens ids_crc32",
+        11: "doc_id n_assign n_access n_hex base_sha256 spans",
     }
     for n, (_, query) in enumerate(queries.QUERIES.items(), 1):
         found = query(spark, small)
