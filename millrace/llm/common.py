@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
@@ -37,11 +38,29 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     This cuts the lineage, so that later stages neither repeat the work nor depend on
     executors that may be lost.  ``release`` removes the tables of this process.
     """
+    return stored(df, purpose).rows
+
+
+@dataclass(frozen=True)
+class Stored:
+    """A written table; ``discard`` removes it when nothing will read it any more."""
+
+    rows: DataFrame
+    path: str
+
+    def discard(self) -> None:
+        if self.path in _written:
+            _written.remove(self.path)
+            _remove(self.path)
+
+
+def stored(df: DataFrame, purpose: str) -> Stored:
+    """As ``written``, for tables that the caller removes itself."""
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Stored(spark.read.schema(df.schema).parquet(path), path)
 
 
 def arrow_map(df: DataFrame, function, schema, records: int = 1000) -> DataFrame:
@@ -82,9 +101,13 @@ def release() -> None:
     Results that read them must have been consumed before.
     """
     while _written:
-        system, inner = opened(_written.pop())
-        with contextlib.suppress(FileNotFoundError):
-            system.delete_dir(inner)
+        _remove(_written.pop())
+
+
+def _remove(path: str) -> None:
+    system, inner = opened(path)
+    with contextlib.suppress(FileNotFoundError):
+        system.delete_dir(inner)
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:

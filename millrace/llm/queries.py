@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, mixing, ngram_lm, page_text, quality, secret_scan, sharding, simhash, token_files, toxicity, warc
+from millrace.llm import decontamination, mixing, ngram_lm, page_text, prefix_trie, quality, secret_scan, sharding, simhash, token_files, toxicity, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,20 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(prefix_trie.in_order(table(spark, sf_dir, "conversations")), "trie-order")
+    return prefix_trie.nodes(*prefix_trie.spliced(turns)).select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -134,6 +148,7 @@ QUERIES: dict[str, Query] = {
         op9_source_mix,
         op10_token_files,
         op11_secrets,
+        op12_prefix_trie,
     )
 }
 
@@ -141,4 +156,5 @@ ORACLES: dict[str, str] = {
     "op1_warc": warc.ORACLE,
     "op5_quality_rules": quality.oracle(),
     "op9_source_mix": mixing.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
