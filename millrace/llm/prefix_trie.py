@@ -160,7 +160,7 @@ def _cuts_above(depth: Column, digits: int) -> Column:
         )
         for d in range(digits)
     ]
-    return F.array_compact(F.array(*cuts))
+    return F.array_compact(F.array(*cuts).cast("array<bigint>"))
 
 
 def _upper_depths(cut: Column) -> Column:

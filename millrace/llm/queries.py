@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, mixing, ngram_lm, page_text, prefix_trie, quality, secret_scan, sharding, simhash, token_files, toxicity, warc
+from millrace.llm import decontamination, mixing, ngram_lm, page_text, prefix_trie, quality, ranked_search, secret_scan, sharding, simhash, token_files, toxicity, warc
 from millrace.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -149,6 +153,7 @@ QUERIES: dict[str, Query] = {
         op10_token_files,
         op11_secrets,
         op12_prefix_trie,
+        op13_ranked_search,
     )
 }
 
@@ -157,4 +162,5 @@ ORACLES: dict[str, str] = {
     "op5_quality_rules": quality.oracle(),
     "op9_source_mix": mixing.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_ranked_search": ranked_search.ORACLE,
 }

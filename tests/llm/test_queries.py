@@ -13,7 +13,7 @@ def test_query_equals_its_sql(spark, small, name):
 
 
 def test_every_operator_has_its_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 12))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, len(queries.QUERIES) + 1))
 
 
 def test_columns_of_the_queries(spark, small):
@@ -29,9 +29,13 @@ def test_columns_of_the_queries(spark, small):
         9: "doc_id size source_size target taken",
         10: "doc_id start n_tokens ids_crc32",
         11: "doc_id n_assign n_access n_hex base_sha256 spans",
+        12: "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+        13: "item_id rank doc_id score",
     }
     for n, (_, query) in enumerate(queries.QUERIES.items(), 1):
         found = query(spark, small)
         assert found.columns[: len(start[n].split())] == start[n].split()
+        if n > 11:
+            continue
         table = "pages" if n in (1, 4) else "documents"
         assert found.count() == spark.read.parquet(f"{small}/{table}.parquet").count()
