@@ -77,11 +77,45 @@ def sliding_profit(spark, sf_dir):
     FROM numbered GROUP BY store_id, session
     """,
 )
-def session_profit(spark, sf_dir):
-    sessions = op.session_profit(_profits(spark, sf_dir), 5 * DAY, key="store_id")
+def session_profit(spark, sf_dir, chunks=None):
+    sessions = op.session_profit(_profits(spark, sf_dir), 5 * DAY, key="store_id", chunks=chunks)
     return with_iso_bounds(sessions)
 
 
+@query(
+    "session_profit_hot",
+    f"""
+    WITH {t.SALES_SQL},
+    placed AS (
+        SELECT CASE WHEN order_id % 5 = 0 THEN city ELSE 'elsewhere' END AS city, profit,
+               us // {DAY} * {DAY} + order_id % 17 * 60000000 AS us
+        FROM sales
+    ),
+    marked AS (
+        SELECT *, CASE WHEN us - lag(us) OVER w <= 90000000 THEN 0 ELSE 1 END AS opens
+        FROM placed WINDOW w AS (PARTITION BY city ORDER BY us)
+    ),
+    numbered AS (
+        SELECT *, sum(opens) OVER (PARTITION BY city ORDER BY us
+                                   RANGE UNBOUNDED PRECEDING) AS session
+        FROM marked
+    )
+    SELECT city, {iso_sql("min(us)")} AS window_start,
+           {iso_sql("max(us) + 90000000")} AS window_end, CAST(sum(profit) AS BIGINT) AS profit
+    FROM numbered GROUP BY city, session
+    """,
+)
+def session_profit_hot(spark, sf_dir):
+    """Four fifths of the sales in one city, and its order cut into sixteen chunks."""
+    day, minute = panes.DAY, panes.MINUTE
+    at = panes.floor_to(panes.micros(F.col("ts")), day) + F.col("order_id") % 17 * minute
+    city = F.when(F.col("order_id") % 5 == 0, F.col("city")).otherwise("elsewhere")
+    profits = _profits(spark, sf_dir).select(
+        city.alias("city"), panes.from_micros(at).alias("ts"), "profit"
+    )
+    return with_iso_bounds(op.session_profit(profits, 90 * panes.SECOND, chunks=16))
+
+
 @query(
     "global_count_discarding",
     f"""

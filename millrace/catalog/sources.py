@@ -9,10 +9,10 @@ from millrace.catalog.registry import query
 from millrace.catalog.traffic import tumble_count_user
 from millrace.functions.parsing import EVENT_LOG_JSON, parse_event_log
 from millrace.operators import words as w
-from millrace.plans.shared import shared_folder
+from millrace.plans.shared import date_files, shared_folder
 from millrace.sources import files, messages
 from millrace.sources.values import from_values
-from millrace.streaming.runs import emitted
+from millrace.streaming.runs import drain, emitted, into_batches, read_batches
 
 # Weight of each event type.
 WEIGHTS = [("click", 1), ("view", 2), ("signup", 3), ("purchase", 5)]
@@ -107,6 +107,49 @@ def watch_directory(spark, sf_dir):
     return seen.groupBy(source.alias("source")).agg(F.count("*").alias("lines"))
 
 
+WATCHED_FROM = 1_700_000_000  # a full minute
+
+
+@query(
+    "watch_directory_arrivals",
+    f"""
+    WITH placed AS (
+        SELECT source, dense_rank() OVER (ORDER BY source) - 1 AS nth, text FROM documents
+    ),
+    lines AS (SELECT source, nth, unnest(string_split(text, chr(10))) FROM placed)
+    SELECT source, {WATCHED_FROM} // 60 * 60 + nth * 60 AS minute, count(*) AS lines
+    FROM lines GROUP BY source, nth
+    """,
+)
+def watch_directory_arrivals(spark, sf_dir):
+    """Files that come between triggers, a minute apart, and are counted when it is over.
+
+    The stream is stopped before each file and started again after it: its checkpoint
+    knows the files it has read.  A last file far later moves the watermark past all others.
+    """
+    folder = shared_folder(spark, "arriving")
+    documents = t.table(spark, sf_dir, "documents").select("source", "text")
+    names = [r.source for r in documents.select("source").distinct().orderBy("source").collect()]
+    minute = F.window("ts", "1 minute")
+
+    def arrive(name, at, texts):
+        place = f"{folder}/in/source={name}"
+        texts.write.text(place)
+        date_files(spark, place, at * 1000)
+        lines = files.watch_directory(spark, f"{folder}/in/source=*").withWatermark("ts", "0 seconds")
+        source = F.regexp_extract("path", "/source=([^/]+)/", 1).alias("source")
+        counts = lines.groupBy(minute, source).agg(F.count("*").alias("lines"))
+        drain(counts, into_batches(f"{folder}/out"), f"{folder}/checkpoint")
+        return counts
+
+    for nth, name in enumerate(names):
+        texts = documents.where(F.col("source") == name).select("text")
+        arrive(name, WATCHED_FROM // 60 * 60 + nth * 60, texts)
+    counts = arrive("end", WATCHED_FROM * 2, spark.range(1).select(F.lit("").alias("text")))
+    shown = read_batches(spark, f"{folder}/out", counts)
+    return shown.select("source", F.unix_seconds("window.start").alias("minute"), "lines")
+
+
 def _message_folder(spark, sf_dir):
     folder = shared_folder(spark, "messages")
     log = t.log_lines(spark, sf_dir)
@@ -145,9 +188,7 @@ def message_passthrough(spark, sf_dir):
     return received.select("key", *log, *place)
 
 
-@query(
-    "message_sink",
-    """
+MESSAGES_SQL = """
     SELECT '{"event_id":"' || id || '","window_start":"' || s || '"}' AS key,
            '{"id":"' || id || '","window_start":"' || s || '","page_views":' || n || '}' AS value
     FROM (SELECT CAST(user_id AS VARCHAR) AS id,
@@ -155,15 +196,20 @@ def message_passthrough(spark, sf_dir):
                           '%Y-%m-%dT%H:%M:%S') AS s,
                  count(*) AS n
           FROM events GROUP BY 1, 2)
-    """,
-)
-def message_sink(spark, sf_dir):
-    counts = tumble_count_user(spark, sf_dir)
-    sent = messages.to_messages(
+"""
+
+
+def as_messages(counts):
+    return messages.to_messages(
         counts,
         ["id", "window_start", "page_views"],
         {"event_id": "id", "window_start": "window_start"},
     )
+
+
+@query("message_sink", MESSAGES_SQL)
+def message_sink(spark, sf_dir):
+    sent = as_messages(tumble_count_user(spark, sf_dir))
     folder = shared_folder(spark, "sink")
     sent.write.parquet(folder)
     received = spark.read.parquet(folder)

@@ -7,16 +7,21 @@ from itertools import count
 from pyspark.sql import functions as F
 
 from millrace.catalog import tables as t
-from millrace.catalog.registry import query
-from millrace.catalog.sales import TUMBLE_PROFIT_SQL
+from millrace.catalog.registry import oracle_sql, query
+from millrace.catalog.sales import ARRIVAL, TUMBLE_PROFIT_SQL
+from millrace.catalog.sources import MESSAGES_SQL, as_messages
 from millrace.catalog.tracking import LONG, METRICS_SQL, MOTIVATION_SQL, SHORT, STEPS_SQL
 from millrace.catalog.traffic import ISO_BOUNDS, LATE_ORDER
 from millrace.catalog.words import (
+    ASCII_SQL,
+    RUNNING_AVG_SQL,
+    RUNNING_LONGEST_SQL,
     SLIDING_AVG_SQL,
     TOP_K_SQL,
     TUMBLE_AVG_SQL,
     WORDS_SQL,
     iso_sql,
+    shown_so_far,
     with_iso_bounds,
 )
 from millrace.functions.dates import iso_seconds, rfc3339
@@ -25,7 +30,9 @@ from millrace.operators import traffic
 from millrace.operators import words as bounded
 from millrace.plans import panes
 from millrace.plans.shared import shared_folder
+from millrace.sources import messages
 from millrace.streaming import enrich, late, runs, tracking
+from millrace.streaming import sales as stream_sales
 from millrace.streaming import words as stream_words
 
 HOUR = panes.HOUR
@@ -70,6 +77,25 @@ def stream_tumble_count_user_sql(spark, sf_dir):
     return runs.emitted(traffic.tumble_count_user_sql(log, HOUR)).drop(runs.BATCH)
 
 
+@query("stream_message_sink", MESSAGES_SQL)
+def stream_message_sink(spark, sf_dir):
+    """Counts of closed windows sent as messages; every second batch is sent twice."""
+    log = t.as_log(_events(spark, sf_dir, closed=True)).withWatermark("ts", "10 minutes")
+    counts = with_iso_bounds(traffic.tumble_count_user(log, HOUR))
+    folder = shared_folder(spark, "sent")
+    topic = messages.MessageLog(f"{folder}/topic")
+
+    def twice(batch, batch_id):
+        if batch_id % 2:
+            topic.append(batch, batch_id)
+            topic(batch, batch_id)
+        topic(batch, batch_id)
+
+    runs.drain(as_messages(counts), twice, f"{folder}/checkpoint")
+    received = topic.received(spark)
+    return received.select(F.col("key").cast("string"), F.col("value").cast("string"))
+
+
 ARRIVED_SQL = t.batch_sql(LATE_ORDER, "events")
 
 
@@ -193,6 +219,102 @@ def stream_running_avg_word_length(spark, sf_dir):
     return shown.withColumn("created_at", iso_seconds(F.col("created_at")))
 
 
+def _each_word(spark, sf_dir, result):
+    """A row per word of the conversations, which come in order of their ids."""
+    by = F.col("conv_id")
+    turns = t.as_turns(t.table_stream(spark, sf_dir, "conversations", by))
+    folder = shared_folder(spark, "each-word")
+    order = ["conv_id", "turn"]
+    target = stream_words.RunningWords(
+        f"{folder}/state", runs.into_batches(f"{folder}/out"), order, result
+    )
+    runs.drain(turns, target, f"{folder}/checkpoint")
+    shape = result[0](t.turns(spark, sf_dir), order, chunks=1)
+    return shown_so_far(runs.read_batches(spark, f"{folder}/out", shape).drop(runs.BATCH))
+
+
+@query("stream_running_longest_word_each", RUNNING_LONGEST_SQL)
+def stream_running_longest_word_each(spark, sf_dir):
+    return _each_word(spark, sf_dir, stream_words.RunningWords.LONGEST)
+
+
+@query("stream_running_avg_word_length_each", RUNNING_AVG_SQL)
+def stream_running_avg_word_length_each(spark, sf_dir):
+    return _each_word(spark, sf_dir, stream_words.RunningWords.AVERAGE)
+
+
+@query("stream_global_count_discarding", oracle_sql()["global_count_discarding"])
+def stream_global_count_discarding(spark, sf_dir):
+    """Panes of five sales per city, and those that the end leaves unfinished."""
+    by = F.unix_seconds(t.utc("l_shipdate"))
+    sold = t.as_sales(t.table_stream(spark, sf_dir, "lineitem", by))
+    profits = sale.profit_by_row(t.with_city(sold, spark, sf_dir)).select("city", *ARRIVAL)
+    folder = shared_folder(spark, "count-panes")
+    target = stream_sales.CountPanes(
+        f"{folder}/state", runs.into_batches(f"{folder}/out"), ARRIVAL
+    )
+    runs.drain(profits, target, f"{folder}/checkpoint")
+    closing = target.closing(spark, profits)
+    return runs.read_batches(spark, f"{folder}/out", closing).drop(runs.BATCH).unionByName(closing)
+
+
+# Sales that arrive up to twelve days off the order of their days.
+SALES_ARRIVAL = "{seconds} + (l_orderkey * 7919 % 25 - 12) * 86400"
+ARRIVED_SALES_SQL = t.batch_sql(
+    SALES_ARRIVAL.format(seconds="epoch_us(l_shipdate) // 1000000"), "lineitem"
+)
+
+
+@query(
+    "tumble_profit_panes",
+    f"""
+    WITH arrived AS (
+        SELECT l_suppkey, epoch_us(l_shipdate) AS us, {ARRIVED_SALES_SQL} AS batch,
+               (CAST(floor(l_extendedprice * (1 - l_discount)) AS BIGINT)
+                - CAST(floor(l_extendedprice * (1 - l_tax)) AS BIGINT))
+               * CAST(l_quantity AS INTEGER) AS profit
+        FROM lineitem
+    ),
+    seen AS (
+        SELECT batch, max(max(us)) OVER (
+                   ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark
+        FROM arrived GROUP BY batch
+    ),
+    placed AS (
+        SELECT n_name AS city, us // {10 * panes.DAY} * {10 * panes.DAY} AS s, batch, watermark,
+               sum(profit) AS added
+        FROM arrived JOIN seen USING (batch)
+        JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+        GROUP BY 1, 2, 3, 4
+    ),
+    fired AS (
+        SELECT *, coalesce(watermark >= s + {10 * panes.DAY}, false) AS closed
+        FROM placed
+        WHERE NOT coalesce(watermark >= s + {12 * panes.DAY}, false)
+    )
+    SELECT city, {iso_sql("s")} AS window_start, {iso_sql(f"s + {10 * panes.DAY}")} AS window_end,
+           batch AS batch_id, row_number() OVER w - 1 AS pane,
+           CASE WHEN NOT closed THEN 'early'
+                WHEN sum(CASE WHEN closed THEN 1 ELSE 0 END) OVER w = 1 THEN 'on time'
+                ELSE 'late' END AS timing,
+           CAST(sum(added) OVER w AS BIGINT) AS profit
+    FROM fired WINDOW w AS (PARTITION BY city, s ORDER BY batch ROWS UNBOUNDED PRECEDING)
+    """,
+)
+def tumble_profit_panes(spark, sf_dir):
+    """Every firing of each window: its number, its timing and the sum so far."""
+    by = F.expr(SALES_ARRIVAL.format(seconds="unix_seconds(CAST(l_shipdate AS TIMESTAMP))"))
+    sold = t.as_sales(t.table_stream(spark, sf_dir, "lineitem", by))
+    profits = sale.profit_by_row(t.with_city(sold, spark, sf_dir)).select("city", "ts", "profit")
+    folder = shared_folder(spark, "profit-panes")
+    target = stream_sales.AccumulatingPanes(
+        f"{folder}/state", runs.into_batches(f"{folder}/out"), 10 * panes.DAY, 2 * panes.DAY
+    )
+    runs.drain(profits, target, f"{folder}/checkpoint")
+    shown = runs.read_batches(spark, f"{folder}/out", target.shape(profits))
+    return with_iso_bounds(shown)
+
+
 def _metrics_folder(spark, sf_dir, keep_pauses=False):
     """Positions as a stream, turned into metrics in a folder."""
     positions = t.as_positions(_events(spark, sf_dir))
@@ -223,6 +345,23 @@ def stream_boxed_metrics(spark, sf_dir):
     return metrics.select("user", F.unix_micros("ts").alias("ts_us"), "distance", "duration")
 
 
+@query(
+    "stream_boxed_metrics_shuffled",
+    f"""WITH {METRICS_SQL} SELECT "user", us AS ts_us, distance, duration FROM metrics""",
+)
+def stream_boxed_metrics_shuffled(spark, sf_dir):
+    """Arrivals out of the order of their times, put in order by the watermark."""
+    later = lambda last: F.timestamp_micros(F.unix_micros(F.lit("2030-01-01").cast("timestamp")))
+    events = t.table_stream(spark, sf_dir, "events", F.expr(LATE_ORDER), ("ts", later))
+    folder = shared_folder(spark, "metrics-shuffled")
+    target = tracking.BoxedMetrics(
+        f"{folder}/state", runs.into_batches(f"{folder}/out"), "event_id", delay=2 * panes.DAY
+    )
+    runs.drain(t.as_positions(events), target, f"{folder}/checkpoint")
+    metrics = spark.read.schema(METRICS).option("basePath", f"{folder}/out").parquet(f"{folder}/out")
+    return metrics.select("user", F.unix_micros("ts").alias("ts_us"), "distance", "duration")
+
+
 @query(
     "stream_running_track_speed",
     f"""WITH {STEPS_SQL}
@@ -253,6 +392,43 @@ def periodic_orders(spark, sf_dir):
     return runs.emitted(enrich.periodic(orders)).drop(runs.BATCH)
 
 
+@query(
+    "periodic_orders_fired",
+    """SELECT order_id, customer_id, firing, 1000 + firing * 5 AS timestamp
+       FROM (SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+                    (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 5 AS firing
+             FROM orders)""",
+)
+def periodic_orders_fired(spark, sf_dir):
+    """Five orders per firing, a firing every five seconds."""
+    orders = _orders(spark, sf_dir)
+    folder = shared_folder(spark, "fired")
+    seconds = F.unix_seconds("ts").alias("seconds")
+    target = enrich.PeriodicFirings(
+        f"{folder}/state", runs.into_batches(f"{folder}/out"), ["seconds", "order_id"], start=1000
+    )
+    runs.drain(orders.select("order_id", "customer_id", seconds), target, f"{folder}/checkpoint")
+    out = f"{folder}/out"
+    shown = spark.read.option("basePath", out).parquet(f"{out}/{runs.BATCH}=*")
+    return shown.drop(runs.BATCH)
+
+
+@query(
+    "stream_enrich_batch_sized",
+    f"""SELECT word, s * 1000000 AS ts_us, CAST(length(word) AS INTEGER) AS length
+        FROM (SELECT {t.TURN_TS} AS s, unnest({ASCII_SQL}) AS word FROM conversations)""",
+)
+def stream_enrich_batch_sized(spark, sf_dir):
+    """Calls of ten words; a timer answers those that wait."""
+    turns = t.as_turns(t.table_stream(spark, sf_dir, "conversations", F.col("conv_id")))
+    words = bounded.tokens(turns, keep=["ts"])
+    answered = enrich.enrich_batch_sized(words, batch_size=10, max_wait_secs=1)
+    folder = shared_folder(spark, "sized")
+    runs.settle(answered, runs.into_batches(f"{folder}/out"), f"{folder}/checkpoint")
+    shown = runs.read_batches(spark, f"{folder}/out", answered)
+    return shown.select("word", F.unix_micros("ts").alias("ts_us"), "length")
+
+
 ORDERED_SQL = t.batch_sql("epoch_us(o_orderdate) // 1000000", "orders")
 
 
@@ -269,6 +445,7 @@ def stream_enrich_orders_refreshed(spark, sf_dir):
     clock = count(0, 4)
     folder = shared_folder(spark, "refreshed")
     target = enrich.RefreshedLookup(
+        f"{folder}/state",
         load=lambda session, version: t.customers(session, sf_dir),
         max_stale_sec=5,
         sink=runs.into_batches(f"{folder}/out"),

@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BATCHES = 4
-FILES = 4
+FILE_ROWS = 250_000
 
 
 def batch_of(by: Column, low: int, high: int) -> Column:
@@ -49,11 +49,13 @@ def table_stream(
     input does.
     """
     rows = table(spark, sf_dir, name)
-    low, high = rows.agg(F.min(by), F.max(by)).first()
+    low, high, total = rows.agg(F.min(by), F.max(by), F.count("*")).first()
+    # Each micro-batch has the same number of files, which follows the rows.
+    files = max(1, -(-total // (BATCHES * FILE_ROWS)))
     folder = shared_folder(spark, f"input-{name}")
     for batch in range(BATCHES):
         some = rows.where(batch_of(by, low, high) == batch)
-        some.repartition(FILES).write.mode("append").parquet(folder)
+        some.repartition(files).write.mode("append").parquet(folder)
     if closing is not None:
         column, after = closing
         last = [
@@ -61,7 +63,7 @@ def table_stream(
             for f in rows.schema
         ]
         spark.range(1).select(*last).write.mode("append").parquet(folder)
-    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(folder)
 
 
@@ -87,13 +89,17 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(as_lines(table(spark, sf_dir, "documents")))
 
 
-def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_turns(conversations: DataFrame) -> DataFrame:
     seconds = F.col("conv_id") * 60 + (F.col("turn") * 37) % 60
-    return table(spark, sf_dir, "conversations").select(
+    return conversations.select(
         "conv_id", "turn", "text", F.timestamp_seconds(seconds).alias("ts")
     )
 
 
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_turns(table(spark, sf_dir, "conversations"))
+
+
 TURN_TS = "conv_id * 60 + (turn * 37) % 60"
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from millrace.catalog import tables as t
 from millrace.catalog.registry import query
 from millrace.functions.dates import iso_seconds, rfc3339
-from millrace.operators import enrich
+from millrace.operators import accumulate, enrich
 from millrace.operators import words as op
 
 ASCII_SQL = "regexp_extract_all(text, '[A-Za-z'']+')"
@@ -40,6 +41,40 @@ def average_custom(spark, sf_dir):
     return op.average(t.log(spark, sf_dir), F.col("file_size_bytes"))
 
 
+@query(
+    "average_custom_accumulator",
+    "SELECT CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) AS average FROM events",
+)
+def average_custom_accumulator(spark, sf_dir):
+    """The same through an accumulator of the user's own."""
+    log = t.log(spark, sf_dir)
+    return accumulate.accumulated(
+        log, [], "file_size_bytes", accumulate.Mean(), DoubleType(), "average"
+    )
+
+
+@query(
+    "longest_words_accumulator",
+    f"""
+    WITH words AS (
+        SELECT DISTINCT lang, w FROM (SELECT lang, unnest({ASCII_SQL}) AS w FROM documents)
+    ),
+    ranked AS (
+        SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY length(w) DESC, w) AS r
+        FROM words
+    )
+    SELECT lang, string_agg(w, ',' ORDER BY r) AS words FROM ranked WHERE r <= 5 GROUP BY lang
+    """,
+)
+def longest_words_accumulator(spark, sf_dir):
+    """The five longest words of each language, by an accumulator that is no sum."""
+    words = op.tokens(t.table(spark, sf_dir, "documents"), keep=["lang"])
+    found = accumulate.accumulated(
+        words, ["lang"], "word", accumulate.Longest(5), ArrayType(StringType()), "words"
+    )
+    return found.withColumn("words", F.array_join("words", ","))
+
+
 @query(
     "average_word_length",
     f"SELECT CAST(sum(length(w)) AS DOUBLE) / count(*) AS avg_len FROM ({WORDS_SQL})",
@@ -126,9 +161,7 @@ ARRIVALS_SQL = f"""
 """
 
 
-@query(
-    "running_longest_word",
-    f"""
+RUNNING_LONGEST_SQL = f"""
     WITH {ARRIVALS_SQL},
     best AS (
         SELECT conv_id, turn, pos, max(s) OVER so_far AS latest,
@@ -139,30 +172,34 @@ ARRIVALS_SQL = f"""
     SELECT conv_id, turn, pos, {iso_sql("latest * 1000000")} || 'Z' AS created_at,
            substr(b, 9) AS word
     FROM best
-    """,
-)
-def running_longest_word(spark, sf_dir):
-    so_far = op.running_longest_word(t.turns(spark, sf_dir), ["conv_id", "turn"])
+"""
+
+
+def shown_so_far(so_far):
     return so_far.withColumns(
         {"created_at": rfc3339(F.col("created_at")), "pos": F.col("pos").cast("bigint")}
     )
 
 
-@query(
-    "running_avg_word_length",
-    f"""
+@query("running_longest_word", RUNNING_LONGEST_SQL)
+def running_longest_word(spark, sf_dir, chunks=None):
+    turns = t.turns(spark, sf_dir)
+    return shown_so_far(op.running_longest_word(turns, ["conv_id", "turn"], chunks=chunks))
+
+
+RUNNING_AVG_SQL = f"""
     WITH {ARRIVALS_SQL}
     SELECT conv_id, turn, pos, {iso_sql("max(s) OVER so_far * 1000000")} || 'Z' AS created_at,
            CAST(sum(length(w)) OVER so_far AS DOUBLE) / count(*) OVER so_far AS avg_len
     FROM arrivals
     WINDOW so_far AS (ORDER BY conv_id, turn, pos ROWS UNBOUNDED PRECEDING)
-    """,
-)
-def running_avg_word_length(spark, sf_dir):
-    so_far = op.running_avg_word_length(t.turns(spark, sf_dir), ["conv_id", "turn"])
-    return so_far.withColumns(
-        {"created_at": rfc3339(F.col("created_at")), "pos": F.col("pos").cast("bigint")}
-    )
+"""
+
+
+@query("running_avg_word_length", RUNNING_AVG_SQL)
+def running_avg_word_length(spark, sf_dir, chunks=None):
+    turns = t.turns(spark, sf_dir)
+    return shown_so_far(op.running_avg_word_length(turns, ["conv_id", "turn"], chunks=chunks))
 
 
 # Enrichment: one answer per word occurrence.

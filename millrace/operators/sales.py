@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans import panes
-from millrace.plans.ordered import chunked, fold_count, running
+from millrace.plans.ordered import chunked, fold_count, fold_max, previous, running
 
 
 def profit_by_row(sales: DataFrame, cities: Sequence[str] | None = None) -> DataFrame:
@@ -39,12 +39,17 @@ def session_profit(
     key: str = "city",
     ts: str = "ts",
     merge_touching: bool = True,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Profit per key and session; a session ends when nothing comes for ``gap``.
 
     Rows are first summed into cells of width ``gap``, since two rows of a cell
-    always share a session.  What is then ordered per key is one row per non-empty
-    cell, a number that depends on the time covered and not on the number of rows.
+    always share a session.  The order of a key's cells is cut into chunks.  Within a chunk
+    a cell opens a session if its predecessor, in this chunk or the last one before, ended
+    too long ago; the start of the session that is open at a chunk's end is carried into
+    those that follow.  So a key with most of the cells, or a session as long as many
+    chunks, needs no task of its own, and sessions are sums over their starts.
+
     Rows exactly one gap apart are one session as in ``session_window``;
     ``merge_touching=False`` keeps them apart.  Streams use ``session_window`` itself.
     """
@@ -53,16 +58,18 @@ def session_profit(
         open_sums = profits.groupBy(window, key).agg(F.sum("profit").alias("profit"))
         return panes.with_bounds(open_sums).select(key, "window_start", "window_end", "profit")
     at = panes.micros(F.col(ts))
-    cells = profits.groupBy(key, panes.floor_to(at, gap).alias("_cell")).agg(
+    placed = profits.withColumn("_cell", panes.floor_to(at, gap))
+    cells = placed.groupBy(key, "_cell").agg(
         F.min(at).alias("_first"), F.max(at).alias("_last"), F.sum("profit").alias("profit")
     )
-    by_time = Window.partitionBy(key).orderBy("_cell")
-    idle = F.col("_first") - F.lag("_last").over(by_time)
+    # The rows have the same keys and cells; a sample of them needs no sums.
+    parts = chunked(cells, ["_cell"], keys=[key], chunks=chunks, sample_from=placed)
+    ordered = previous(parts, ["_last"])
+    idle = F.col("_first") - F.col("prev__last")
     ended = idle > gap if merge_touching else idle >= gap
     opens = F.when(F.coalesce(ended, F.lit(True)), F.col("_first"))
-    sessions = cells.withColumn("_opens", opens).withColumn(
-        "_start", F.max("_opens").over(by_time)
-    )
+    marked = parts.with_rows(ordered.withColumn("_opens", opens))
+    sessions = running(marked, {"_start": fold_max(F.col("_opens"))})
     sums = sessions.groupBy(key, "_start").agg(
         F.max("_last").alias("_end"), F.sum("profit").alias("profit")
     )

@@ -197,8 +197,14 @@ def motivation_cogroup(metrics: DataFrame, short: int, long: int) -> DataFrame:
 
 
 def motivation_side_input(metrics: DataFrame, short: int, long: int) -> DataFrame:
-    """The same with the long averages as a side input: broadcast while small."""
-    longs = broadcast_if_small(long_average(metrics, short, long))
+    """The same with the long averages as a side input: broadcast while small.
+
+    A metric is copied into each long window it lies in, so the metrics' size times these
+    bounds the side input.
+    """
+    longs = broadcast_if_small(
+        long_average(metrics, short, long), made_from=metrics, copies=-(-long // short)
+    )
     paired = short_average(metrics, short).join(longs, ["user", "window_start"])
     return _with_status(paired)
 
@@ -210,7 +216,7 @@ def motivation_sql(metrics: DataFrame, short: int, long: int) -> DataFrame:
         SELECT user, window_start,
                CASE WHEN share < :low THEN 'underperforming' WHEN share < :high THEN 'pacing'
                     ELSE 'outperforming' END AS performance
-        FROM {paces} LATERAL VIEW explode(array(try_divide(short_avg, long_avg))) AS share
+        FROM (SELECT user, window_start, try_divide(short_avg, long_avg) AS share FROM {paces})
         """,
         args={"low": pace.UNDERPERFORMING_BELOW, "high": pace.PACING_BELOW},
         paces=_paired(metrics, short, long),

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.plans import panes
-from millrace.plans.ordered import Chunked, chunked, fold_min, fold_max, fold_sum, running
+from millrace.plans.ordered import (
+    Chunked,
+    Fold,
+    chunked,
+    fold_max,
+    fold_min,
+    fold_sum,
+    running,
+)
 
 
 def tokens(
@@ -148,33 +156,79 @@ def top_k_words(
     return panes.with_bounds(best)
 
 
+def timed_tokens(
+    lines: DataFrame, order: Sequence[str], ts: str = "ts", column: str = "text"
+) -> DataFrame:
+    """Words with their place and their line's time in microseconds."""
+    words = placed_tokens(lines, column, keep=[*order, ts])
+    return words.withColumn("_us", panes.micros(F.col(ts)))
+
+
+def _places(text: Column) -> Column:
+    """As many places as a text has words, or more: two words have a mark between them."""
+    return F.coalesce(F.shiftright(F.length(text).cast("bigint") + 1, 1), F.lit(0))
+
+
+def _drawn_places(
+    lines: DataFrame, order: Sequence[str], column: str, wanted: int, of: int
+) -> DataFrame:
+    """Every so many places of each text, without making its words.
+
+    So a text is drawn as often as is due to its length, and a long one is cut inside.
+    Cut points beyond a text's last word stand for its end.
+    """
+    step = F.lit(max(of // wanted, 1)).cast("bigint")
+    first = F.pmod(F.xxhash64(*order), step)
+    last = _places(F.col(column)) - 1
+    some = F.when(first <= last, F.sequence(first, last, step))
+    drawn = lines.select(*order, F.explode(some).alias("pos"))
+    return drawn.withColumn("pos", F.col("pos").cast("int")).na.drop().distinct()
+
+
 def _arrivals(
     lines: DataFrame, order: Sequence[str], ts: str, column: str, chunks: int | None
 ) -> Chunked:
-    words = placed_tokens(lines, column, keep=[*order, ts]).withColumn(
-        "_us", panes.micros(F.col(ts))
-    )
     return chunked(
-        words, [*order, "pos"], chunks=chunks, sample_from=lines, sample_by=order
+        timed_tokens(lines, order, ts, column),
+        [*order, "pos"],
+        chunks=chunks,
+        sample_from=lines,
+        draw=lambda wanted, of: _drawn_places(lines, order, column, wanted, of),
+        total=F.sum(_places(F.col(column))),
     )
 
 
+def longest_folds() -> dict[str, Fold]:
+    """The best word and the latest time of words in their order."""
+    return {
+        "best": fold_min(tx.longest_first(F.col("word"))),
+        "latest": fold_max(F.col("_us")),
+    }
+
+
+def average_folds() -> dict[str, Fold]:
+    """Sums of lengths and words, and the latest time, of words in their order."""
+    return {
+        "word_chars": fold_sum(F.length("word").cast("bigint")),
+        "word_count": fold_sum(F.lit(1).cast("bigint")),
+        "latest": fold_max(F.col("_us")),
+    }
+
+
 def running_longest_word(
     lines: DataFrame,
     order: Sequence[str],
     ts: str = "ts",
     column: str = "text",
     chunks: int | None = None,
+    start: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """After each word: the longest word so far, and the latest timestamp so far."""
+    """After each word: the longest word so far, and the latest timestamp so far.
+
+    ``start`` has the folds of words before these.
+    """
     parts = _arrivals(lines, order, ts, column, chunks)
-    best = running(
-        parts,
-        {
-            "best": fold_min(tx.longest_first(F.col("word"))),
-            "latest": fold_max(F.col("_us")),
-        },
-    )
+    best = running(parts, longest_folds(), start=start)
     return best.select(
         *order,
         "pos",
@@ -195,18 +249,14 @@ def running_avg_word_length(
     ts: str = "ts",
     column: str = "text",
     chunks: int | None = None,
+    start: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """After each word: the mean length so far, and the latest timestamp so far."""
+    """After each word: the mean length so far, and the latest timestamp so far.
+
+    ``start`` has the folds of words before these.
+    """
     parts = _arrivals(lines, order, ts, column, chunks)
-    length = F.length("word").cast("bigint")
-    sums = running(
-        parts,
-        {
-            "word_chars": fold_sum(length),
-            "word_count": fold_sum(F.lit(1).cast("bigint")),
-            "latest": fold_max(F.col("_us")),
-        },
-    )
+    sums = running(parts, average_folds(), start=start)
     return sums.select(
         *order,
         "pos",

@@ -23,3 +23,33 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, as Spark's own readers find it, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    system, place = _file_system(spark, folder)
+    return [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all in it, if it is there."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def date_files(spark: SparkSession, folder: str, millis: int) -> None:
+    """Set the modification time of all files of a folder."""
+    system, place = _file_system(spark, folder)
+    for found in system.listStatus(place):
+        system.setTimes(found.getPath(), millis, -1)

@@ -19,13 +19,20 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(stats.sizeInBytes())
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame,
+    limit: int = BROADCAST_LIMIT_BYTES,
+    made_from: DataFrame | None = None,
+    copies: int = 1,
+) -> DataFrame:
     """Hint a broadcast below ``limit``; above it leave the join to AQE.
 
     AQE still turns the join into a broadcast when the shuffled size allows, and
-    splits skewed partitions of a sort-merge join otherwise.
+    splits skewed partitions of a sort-merge join otherwise.  A table made with up to
+    ``copies`` rows of each row of another is measured by that one.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    measured = df if made_from is None else made_from
+    return F.broadcast(df) if estimated_bytes(measured) * copies <= limit else df
 
 
 def spread(df: DataFrame) -> DataFrame:

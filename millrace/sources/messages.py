@@ -7,6 +7,7 @@ can stand in for a topic.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.parsing import EVENT_LOG_FIELDS
+from millrace.plans.shared import exists
+from millrace.plans.sizing import broadcast_if_small
 
 MESSAGE = "key BINARY, value BINARY, timestamp TIMESTAMP"
 
@@ -102,3 +105,48 @@ def write_topic(
     if interval:
         writer = writer.trigger(processingTime=interval)
     return writer.start()
+
+
+class MessageLog:
+    """A folder in place of a topic, and a ``foreachBatch`` target that sends to it.
+
+    Messages are appended, never replaced, as in a topic: a batch that Spark runs again is
+    sent again.  Each attempt marks its messages with the batch's id and a name of its own,
+    and says at the end that it is complete.  Readers take the first complete attempt of
+    each batch, so every message is seen once, whatever attempts were broken off or repeated.
+    """
+
+    ATTEMPT = "batch_id BIGINT, attempt STRING"
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        attempt = self.append(batch, batch_id)
+        self.complete(batch.sparkSession, batch_id, attempt)
+
+    def append(self, batch: DataFrame, batch_id: int) -> str:
+        """Send a batch's messages; the attempt counts once it is completed."""
+        attempt = uuid.uuid4().hex
+        marks = {"batch_id": F.lit(batch_id).cast("bigint"), "attempt": F.lit(attempt)}
+        sent = batch.select("key", "value").withColumns(marks)
+        sent.write.mode("append").parquet(f"{self.folder}/messages")
+        return attempt
+
+    def complete(self, spark: SparkSession, batch_id: int, attempt: str) -> None:
+        end = spark.createDataFrame([(batch_id, attempt)], self.ATTEMPT)
+        end = end.withColumn("ended", F.current_timestamp()).coalesce(1)
+        end.write.mode("append").parquet(f"{self.folder}/ends")
+
+    def received(self, spark: SparkSession) -> DataFrame:
+        """Each message once, with the id of its batch."""
+        if not exists(spark, f"{self.folder}/ends"):
+            return spark.createDataFrame([], "key BINARY, value BINARY, batch_id BIGINT")
+        sent = f"key BINARY, value BINARY, {self.ATTEMPT}"
+        messages = spark.read.schema(sent).parquet(f"{self.folder}/messages")
+        ends = spark.read.schema(f"{self.ATTEMPT}, ended TIMESTAMP").parquet(f"{self.folder}/ends")
+        first = F.min_by("attempt", F.struct("ended", "attempt")).alias("attempt")
+        counted = ends.groupBy("batch_id").agg(first)
+        return messages.join(broadcast_if_small(counted), ["batch_id", "attempt"]).select(
+            "key", "value", "batch_id"
+        )

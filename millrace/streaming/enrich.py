@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.text import first_letter_bucket
 from millrace.operators.enrich import Client, answer_in_batches, length_service
 from millrace.plans import panes
+from millrace.plans.ordered import chunked, fold_count, running
+from millrace.plans.shared import exists, remove
 from millrace.plans.sizing import broadcast_if_small
 from millrace.streaming.runs import PerBatch
 
@@ -86,31 +88,57 @@ class RefreshedLookup:
     """A ``foreachBatch`` target joining orders with a lookup that is reloaded in time.
 
     The lookup is read again, with the next version number, when a batch falls into a
-    later time bucket than the one the lookup was loaded for.
+    later time bucket than the one the lookup was loaded for.  It is then written to the
+    shared folder, so that all batches of a bucket see the same rows.  Each batch's version
+    and bucket are written before it is joined: a repeated batch joins what it joined at
+    first, and a restarted stream goes on with the version it had.  The last two batches'
+    decisions and versions are kept.
     """
 
+    STATE = "version INT, tag DOUBLE"
+
     def __init__(
         self,
+        state_folder: str,
         load: Callable[[Any, int], DataFrame],
         max_stale_sec: int,
         sink: PerBatch,
         clock: Callable[[], float],
     ):
+        self.state_folder = state_folder
         self.load, self.max_stale_sec, self.sink, self.clock = load, max_stale_sec, sink, clock
-        self.version, self.tag, self.lookup = 0, None, None
 
-    def current(self, spark) -> DataFrame:
+    def _batch(self, batch_id: int) -> str:
+        return f"{self.state_folder}/batch/{batch_id}"
+
+    def _decided(self, spark: SparkSession, batch_id: int) -> tuple[int, float | None]:
+        """The version and bucket that a batch was given; version 0 before the first."""
+        if batch_id < 0 or not exists(spark, f"{self._batch(batch_id)}/_SUCCESS"):
+            return 0, None
+        return tuple(spark.read.schema(self.STATE).parquet(self._batch(batch_id)).head())
+
+    def _decide(self, spark: SparkSession, batch_id: int) -> int:
+        version, _ = self._decided(spark, batch_id)
+        if version:
+            return version
+        version, tag = self._decided(spark, batch_id - 1)
         now = self.clock()
-        tag = now - now % self.max_stale_sec
-        if self.tag is None or tag > self.tag:
-            self.version, self.tag = self.version + 1, tag
-            loaded = self.load(spark, self.version)
-            self.lookup = loaded.withColumn("version", F.lit(self.version))
-        return self.lookup
+        bucket = float(now - now % self.max_stale_sec)
+        if tag is None or bucket > tag:
+            version, tag = version + 1, bucket
+            loaded = self.load(spark, version).withColumn("version", F.lit(version))
+            loaded.write.mode("overwrite").parquet(f"{self.state_folder}/lookup/{version}")
+            remove(spark, f"{self.state_folder}/lookup/{version - 2}")
+        decision = spark.createDataFrame([(version, tag)], self.STATE).coalesce(1)
+        decision.write.mode("overwrite").parquet(self._batch(batch_id))
+        remove(spark, self._batch(batch_id - 2))
+        return version
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        lookup = broadcast_if_small(self.current(batch.sparkSession))
-        self.sink(batch.join(lookup, "customer_id", "left"), batch_id)
+        spark = batch.sparkSession
+        version = self._decide(spark, batch_id)
+        lookup = spark.read.parquet(f"{self.state_folder}/lookup/{version}")
+        self.sink(batch.join(broadcast_if_small(lookup), "customer_id", "left"), batch_id)
 
 
 def periodic(orders: DataFrame, ts: str = "ts") -> DataFrame:
@@ -121,3 +149,50 @@ def periodic(orders: DataFrame, ts: str = "ts") -> DataFrame:
         "customer_id",
         seconds.alias("timestamp"),
     )
+
+
+class PeriodicFirings:
+    """A ``foreachBatch`` target that gives out orders five at a time, an interval apart.
+
+    Orders are numbered over all batches in their order, in chunks; the number so far is
+    kept per batch id.  An order's firing is its number divided by ``every``, and its time
+    is the start plus so many intervals.
+    """
+
+    STATE = "orders BIGINT"
+
+    def __init__(
+        self,
+        state_folder: str,
+        sink: PerBatch,
+        order: Sequence[str],
+        start: int = 0,
+        interval_sec: int = 5,
+        every: int = 5,
+        chunks: int | None = None,
+    ):
+        self.state_folder, self.sink, self.order = state_folder, sink, list(order)
+        self.start, self.interval_sec, self.every = start, interval_sec, every
+        self.chunks = chunks
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = 0
+        if batch_id > 0:
+            kept = spark.read.schema(self.STATE).parquet(f"{self.state_folder}/{batch_id - 1}")
+            before = kept.head().orders
+        batch = batch.persist()
+        try:
+            parts = chunked(batch, self.order, chunks=self.chunks)
+            begun = {"_n": F.lit(before).cast("bigint")}
+            numbered = running(parts, {"_n": fold_count()}, start=begun)
+            firing = F.floor((F.col("_n") - 1) / self.every).cast("bigint")
+            fired = numbered.withColumns(
+                {"firing": firing, "timestamp": self.start + firing * self.interval_sec}
+            )
+            self.sink(fired.select("order_id", "customer_id", "firing", "timestamp"), batch_id)
+            total = spark.createDataFrame([(before + batch.count(),)], self.STATE)
+            total.coalesce(1).write.mode("overwrite").parquet(f"{self.state_folder}/{batch_id}")
+            remove(spark, f"{self.state_folder}/{batch_id - 2}")
+        finally:
+            batch.unpersist()

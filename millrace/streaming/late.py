@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.operators.late import outputs, split_late
-from millrace.plans import panes
 from millrace.streaming.runs import PerBatch
-
-SEEN = T.StructType([T.StructField("seen", T.LongType())])
+from millrace.streaming.state import Seen
 
 
 class LateSplit:
@@ -32,18 +29,11 @@ class LateSplit:
         delay: int = 0,
         ts: str = "ts",
     ):
-        self.state_folder = state_folder
+        self.seen = Seen(state_folder, ts)
         self.width, self.lateness, self.delay = width, lateness, delay
         self.main, self.droppable = main, droppable
         self.ts = ts
 
-    def watermark_before(self, batch: DataFrame, batch_id: int) -> int | None:
-        if batch_id == 0:
-            return None
-        reader = batch.sparkSession.read.schema(SEEN)
-        seen = reader.parquet(f"{self.state_folder}/{batch_id - 1}").head()
-        return None if seen.seen is None else seen.seen - self.delay
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -52,7 +42,8 @@ class LateSplit:
             batch.unpersist()
 
     def _split(self, batch: DataFrame, batch_id: int) -> None:
-        watermark = self.watermark_before(batch, batch_id)
+        seen = self.seen.before(batch.sparkSession, batch_id)
+        watermark = None if seen is None else seen - self.delay
         met = batch.withColumn("_met", F.lit(watermark).cast("bigint"))
         tagged = split_late(
             met, [], self.width, self.lateness, ts=self.ts, watermark="_met"
@@ -60,9 +51,4 @@ class LateSplit:
         on_time, late = outputs(tagged)
         self.main(on_time, batch_id)
         self.droppable(late, batch_id)
-        highest = batch.agg(F.max(panes.micros(F.col(self.ts))).alias("seen"))
-        before = None if watermark is None else watermark + self.delay
-        highest = highest.select(
-            F.greatest("seen", F.lit(before).cast("bigint")).alias("seen")
-        )
-        highest.write.mode("overwrite").parquet(f"{self.state_folder}/{batch_id}")
+        self.seen.record(batch, batch_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,37 @@ def drain(stream: DataFrame, sink: PerBatch, checkpoint: str, mode: str = "appen
     start(stream, sink, checkpoint, mode).awaitTermination()
 
 
+def settle(
+    stream: DataFrame,
+    sink: PerBatch,
+    checkpoint: str,
+    mode: str = "append",
+    interval: str = "1 second",
+    patience: float = 600,
+) -> None:
+    """Run on a timer until all input is read and no state waits for its time."""
+    query = start(stream, sink, checkpoint, mode, interval)
+    deadline = time.monotonic() + patience
+    try:
+        while not _settled(query):
+            if query.exception():
+                raise query.exception()
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"state is still waiting after {patience} seconds")
+            time.sleep(0.2)
+    finally:
+        query.stop()
+
+
+def _settled(query: StreamingQuery) -> bool:
+    """Whether the last trigger found no input, after one that did, and left no state."""
+    progress = query.recentProgress
+    if not any(p.numInputRows for p in progress):
+        return False
+    last = progress[-1]
+    return not last.numInputRows and not any(s.numRowsTotal for s in last.stateOperators)
+
+
 def emitted(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Everything a stream emits for what is available now, with its batch id."""
     spark: SparkSession = stream.sparkSession

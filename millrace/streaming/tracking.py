@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import pace
 from millrace.operators.tracking import boxed_metrics, position_pairs
 from millrace.plans import panes
 from millrace.streaming.runs import PerBatch
+from millrace.streaming.state import ChangeLog, Seen
 
 
 class BoxedMetrics:
     """A ``foreachBatch`` target that turns positions into distances and durations.
 
-    Each flush orders the batch together with the last position kept per user, as
-    the bounded operator orders a table: a user with most of the batch is spread over
-    many tasks instead of being one key of a state operator.  The kept positions are
-    written per batch id, so a repeated batch starts from the same ones.
+    Positions wait in a buffer until the watermark, the latest time so far minus ``delay``,
+    has reached them, so up to that delay they may come in any order.  What it releases is
+    ordered together with the last position released per user, as the bounded operator
+    orders a table: a user with most of the batch is spread over many tasks instead of
+    being one key of a state operator.  Both are logs of changes, so a batch writes as much
+    as it changed, and a repeated batch starts from the same state.
+
+    Positions that come after the watermark has passed them, or without a time, go to
+    ``late``, if there is one.  A last row far in the future releases all others.
 
     ``keep_pauses`` keeps the pairs between which no time passed, whose distance counts
     for a speed but not for a pace, and gives a user's first position a pair of zeros,
@@ -25,28 +32,64 @@ class BoxedMetrics:
     """
 
     def __init__(
-        self, state_folder: str, sink: PerBatch, tie: str, keep_pauses: bool = False
+        self,
+        state_folder: str,
+        sink: PerBatch,
+        tie: str,
+        keep_pauses: bool = False,
+        delay: int = 0,
+        late: PerBatch | None = None,
+        compact_every: int = 10,
     ):
-        self.state_folder, self.sink, self.tie = state_folder, sink, tie
-        self.keep_pauses = keep_pauses
+        self.state_folder, self.sink, self.tie, self.late = state_folder, sink, tie, late
+        self.keep_pauses, self.delay, self.compact_every = keep_pauses, delay, compact_every
+        self.seen = Seen(f"{state_folder}/seen")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.select("user", "spot", "ts", self.tie)
-        kept = fresh.limit(0)
-        if batch_id > 0:
-            kept = spark.read.schema(fresh.schema).parquet(f"{self.state_folder}/{batch_id - 1}")
-        positions = fresh.unionByName(kept).persist()
+        fresh = batch.select("user", "spot", "ts", self.tie).persist()
+        try:
+            self._take(fresh, batch_id)
+        finally:
+            fresh.unpersist()
+
+    def _logs(self, schema: T.StructType) -> tuple[ChangeLog, ChangeLog]:
+        """Positions that wait, and the last released one of each user."""
+        every = self.compact_every
+        keys = ["user", "ts", self.tie]
+        return (
+            ChangeLog(f"{self.state_folder}/waiting", schema, keys, every),
+            ChangeLog(f"{self.state_folder}/last", schema, ["user"], every),
+        )
+
+    def _take(self, fresh: DataFrame, batch_id: int) -> None:
+        spark = fresh.sparkSession
+        waiting, last = self._logs(fresh.schema)
+        at = panes.micros(F.col("ts"))
+        passed = self.seen.before(spark, batch_id)
+        in_time = at > passed - self.delay if passed is not None else F.col("ts").isNotNull()
+        in_time = F.coalesce(in_time, F.lit(False))
+        if self.late is not None:
+            self.late(fresh.where(~in_time), batch_id)
+        seen = self.seen.record(fresh, batch_id)
+        released = at <= seen - self.delay if seen is not None else F.lit(False)
+        held = waiting.before(spark, batch_id).persist()
+        on_time = fresh.where(in_time)
+        ready = on_time.unionByName(held).where(released).persist()
         try:
-            self._flush(positions, fresh, kept, batch_id)
+            self._flush(ready, last, batch_id)
+            waiting.record(batch_id, on_time.where(~released), held.where(released))
         finally:
-            positions.unpersist()
+            ready.unpersist()
+            held.unpersist()
 
-    def _flush(self, positions: DataFrame, fresh: DataFrame, kept: DataFrame, batch_id: int) -> None:
+    def _flush(self, ready: DataFrame, log: ChangeLog, batch_id: int) -> None:
+        users = ready.select("user").distinct()
+        kept = log.before(ready.sparkSession, batch_id).join(users, "user", "left_semi")
+        positions = ready.unionByName(kept)
         if self.keep_pauses:
             pairs = position_pairs(positions, self.tie)
             zero = F.lit(0).cast("bigint")
-            first = fresh.join(kept.select("user"), "user", "left_anti").groupBy("user")
+            first = ready.join(kept.select("user"), "user", "left_anti").groupBy("user")
             first = first.agg(F.min("ts").alias("ts"))
             pairs = pairs.unionByName(
                 first.select("user", "ts", zero.alias("distance"), zero.alias("duration"))
@@ -55,12 +98,9 @@ class BoxedMetrics:
             pairs = boxed_metrics(positions, self.tie)
         self.sink(pairs, batch_id)
         order = F.struct("ts", self.tie)
-        last = positions.groupBy("user").agg(
-            F.max_by(F.struct("spot", "ts", self.tie), order).alias("last")
-        )
-        last.select("user", "last.*").write.mode("overwrite").parquet(
-            f"{self.state_folder}/{batch_id}"
-        )
+        latest = F.max_by(F.struct("spot", "ts", self.tie), order).alias("last")
+        moved = ready.groupBy("user").agg(latest)
+        log.record(batch_id, moved.select("user", "last.*"))
 
 
 def running_track_speed(metrics: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import text as tx
 from millrace.operators import words as bounded
 from millrace.plans import panes
+from millrace.plans.shared import remove
 from millrace.streaming.runs import PerBatch
 
 
@@ -34,6 +38,69 @@ def running_avg_word_length(
     return sums.select("created_at", mean.alias("avg_len"))
 
 
+def _literal(value, kind: T.DataType) -> Column:
+    """A value of a row as a constant column."""
+    if value is not None and isinstance(kind, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind])
+    return F.lit(value).cast(kind)
+
+
+class RunningWords:
+    """A ``foreachBatch`` target with a row per word: the result so far after each.
+
+    Within a batch the bounded operator runs, in chunks; it starts from the fold of all
+    batches before, one row that is written per batch id, of which the last two are kept.
+    The closing repetition of the last row does not exist on a stream.
+    """
+
+    LONGEST = (bounded.running_longest_word, bounded.longest_folds)
+    AVERAGE = (bounded.running_avg_word_length, bounded.average_folds)
+
+    def __init__(
+        self,
+        state_folder: str,
+        sink: PerBatch,
+        order: Sequence[str],
+        result: tuple = LONGEST,
+        ts: str = "ts",
+        column: str = "text",
+        chunks: int | None = None,
+    ):
+        self.state_folder, self.sink, self.order = state_folder, sink, list(order)
+        self.operator, self.folds = result
+        self.ts, self.column, self.chunks = ts, column, chunks
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            self._extend(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _extend(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folds = self.folds()
+        words = bounded.timed_tokens(batch, self.order, self.ts, self.column)
+        whole = words.agg(*[f.aggregate(f.value).alias(n) for n, f in folds.items()])
+        start = None
+        if batch_id > 0:
+            before = spark.read.schema(whole.schema).parquet(f"{self.state_folder}/{batch_id - 1}")
+            row = before.head()
+            start = {f.name: _literal(row[f.name], f.dataType) for f in whole.schema}
+            whole = whole.select(
+                *[
+                    F.coalesce(fold.combine(start[n], F.col(n)), F.col(n), start[n]).alias(n)
+                    for n, fold in folds.items()
+                ]
+            )
+        shown = self.operator(
+            batch, self.order, self.ts, self.column, self.chunks, start=start
+        )
+        self.sink(shown, batch_id)
+        whole.coalesce(1).write.mode("overwrite").parquet(f"{self.state_folder}/{batch_id}")
+        remove(spark, f"{self.state_folder}/{batch_id - 2}")
+
+
 def unwindowed_count(lines: DataFrame, column: str = "text") -> DataFrame:
     """Counts since the start, without a window; for complete mode."""
     return bounded.word_count(lines, column)

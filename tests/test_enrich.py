@@ -113,9 +113,9 @@ def test_sized_stream_answers_full_and_waiting_batches(spark, tmp_path, at):
     assert found == sorted(EXPECTED * 10)
 
 
-def test_lookup_is_reloaded_in_a_later_bucket(spark):
-    now, shown = [100.0], []
-    target = streamed.RefreshedLookup(
+def refreshed(folder, clock, shown):
+    return streamed.RefreshedLookup(
+        str(folder),
         load=lambda session, version: session.createDataFrame(
             [(1, f"v{version}")], "customer_id INT, name STRING"
         ),
@@ -123,10 +123,27 @@ def test_lookup_is_reloaded_in_a_later_bucket(spark):
         sink=lambda batch, batch_id: shown.append(
             [(r.customer_id, r.name, r.version) for r in batch.orderBy("customer_id").collect()]
         ),
-        clock=lambda: now[0],
+        clock=clock,
     )
+
+
+def test_lookup_is_reloaded_in_a_later_bucket(spark, tmp_path):
+    now, shown = [100.0], []
+    target = refreshed(tmp_path, lambda: now[0], shown)
     batch = spark.createDataFrame([(1,), (2,)], "customer_id INT")
-    for clock in (100.0, 104.9, 105.0, 121.0):
+    for batch_id, clock in enumerate((100.0, 104.9, 105.0, 121.0)):
         now[0] = clock
-        target(batch, 0)
+        target(batch, batch_id)
     assert shown == [[(1, f"v{v}", v), (2, None, None)] for v in (1, 1, 2, 3)]
+
+
+def test_lookup_goes_on_after_a_restart(spark, tmp_path):
+    """A new object has the version of the old one; a repeated batch joins what it joined."""
+    batch = spark.createDataFrame([(1,)], "customer_id INT")
+    now, shown = [0], []
+    for batch_id, clock in [(0, 0), (1, 6), (1, 99), (2, 9), (3, 100), (4, 101)]:
+        now[0] = clock
+        refreshed(tmp_path, lambda: now[0], shown)(batch, batch_id)
+    assert [rows[0][2] for rows in shown] == [1, 2, 2, 2, 3, 3]
+    assert sorted(p.name for p in (tmp_path / "lookup").iterdir()) == ["2", "3"]
+    assert sorted(p.name for p in (tmp_path / "batch").iterdir()) == ["3", "4"]

@@ -150,3 +150,34 @@ def test_late_rows_by_arrival(spark, at, chunks):
         seen = s if seen is None else max(seen, s)
     assert tuples(tagged, "seq", "droppable") == expected
     assert any(flag for _, flag in expected)
+
+
+@pytest.mark.parametrize("merge_touching", [True, False])
+@pytest.mark.parametrize("chunks", [None, 16])
+def test_sessions_over_cuts(spark, at, merge_touching, chunks):
+    """One city with most rows; sessions shorter and much longer than a chunk."""
+    rng = random.Random(21)
+    times = {"hot": [], "a": [], None: []}
+    clock = 0
+    while len(times["hot"]) < 900:
+        gap = rng.choice([1, 2, 5, 5, 6, 30]) if clock < 1500 or clock > 3000 else rng.choice([1, 5])
+        clock += gap
+        times["hot"].append(clock)
+    times["a"] = [0, 5, 10, 16, 16, 21]
+    times[None] = [3, 9]
+    rows = [(city, at(s), rng.randrange(-9, 90)) for city, some in times.items() for s in some]
+    sold = spark.createDataFrame(rows, "city STRING, ts TIMESTAMP, profit BIGINT").repartition(5)
+    expected = []
+    for city in times:
+        own = sorted((ts.timestamp(), p) for c, ts, p in rows if c == city)
+        opened = []
+        for second, p in own:
+            apart = second - opened[-1][1] if opened else None
+            if apart is None or apart > 5 or (apart == 5 and not merge_touching):
+                opened.append([second, second, p])
+            else:
+                opened[-1][1:] = [second, opened[-1][2] + p]
+        expected += [(city or "-", int(a), int(b) + 5, p) for a, b, p in opened]
+    found = sales.session_profit(sold, 5 * panes.SECOND, merge_touching=merge_touching, chunks=chunks)
+    start, end = F.unix_seconds("window_start"), F.unix_seconds("window_end")
+    assert tuples(found, F.coalesce("city", F.lit("-")), start, end, "profit") == sorted(expected)

@@ -147,3 +147,81 @@ def test_only_the_chunk_totals_meet_in_one_partition(spark):
     single = [i for i, step in enumerate(steps) if "Exchange SinglePartition" in step]
     assert len(single) == 1
     assert "HashAggregate(keys=[_chunk" in steps[single[0] + 1]
+
+
+@pytest.fixture
+def small_driver(monkeypatch):
+    """A driver that takes few rows, and a record of how many it was sent."""
+    sent = []
+    real = ordered._to_driver
+
+    def recorded(sample, limit):
+        rows = real(sample, limit)
+        sent.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(ordered, "TOP_CUTS", 8)
+    monkeypatch.setattr(ordered, "DRIVER_ROWS", 64)
+    monkeypatch.setattr(ordered, "_to_driver", recorded)
+    return sent
+
+
+@pytest.mark.parametrize("current", [True, False])
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_two_levels_equal_the_window(spark, small_driver, keys, current):
+    df = make(spark)
+    parts = ordered.chunked(df, ["us", "id"], keys=keys, rows_per_chunk=100)
+    assert parts.fine is not None and len(parts.cuts) < 8
+    assert parts.rows.select(ordered.CHUNK).distinct().count() > 30
+    ours = ordered.running(parts, folds(), include_current=current)
+    by = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("us", "id")
+    frame = by.rowsBetween(Window.unboundedPreceding, Window.currentRow if current else -1)
+    assert same(ours.select("id", *folds()), expected(df, frame))
+
+
+def test_two_levels_with_nulls_and_previous(spark, small_driver):
+    df = make(spark, 3000).selectExpr("nullif(k, 'k7') AS k", "nullif(us % 50, 3) AS us", "id", "v")
+    parts = ordered.chunked(df, ["us", "id"], keys=["k"], rows_per_chunk=60)
+    assert parts.fine is not None
+    ours = ordered.previous(parts, ["v", "us"]).select("id", "prev_v", "prev_us")
+    by = Window.partitionBy("k").orderBy("us", "id")
+    assert same(ours, df.select("id", F.lag("v").over(by), F.lag("us").over(by)))
+
+
+def test_the_driver_is_sent_no_more_for_more_rows(spark, small_driver):
+    """Ten times the rows give ten times the chunks, and the driver gets as many rows."""
+    counts = []
+    for rows in (20_000, 200_000):
+        parts = ordered.chunked(spark.range(rows).select("id"), ["id"], rows_per_chunk=500)
+        counts.append(parts.rows.select(ordered.CHUNK).distinct().count())
+        assert len(parts.cuts) < 8
+        last = ordered.running(parts, {"n": ordered.fold_count()}).agg(F.max("n")).head()[0]
+        assert last == rows
+    assert counts[1] > 8 * counts[0] > 200
+    assert max(small_driver) <= 65
+
+
+def test_two_levels_cut_evenly(spark, small_driver):
+    df = make(spark, rows=20_000)
+    parts = ordered.chunked(df, ["us", "id"], keys=["k"], rows_per_chunk=400)
+    sizes = [r["count"] for r in parts.rows.groupBy(ordered.CHUNK, "k").count().collect()]
+    assert max(sizes) < 4 * 400
+    assert parts.rows.where("k = 'hot'").select(ordered.CHUNK).distinct().count() > 10
+
+
+def test_two_levels_with_a_given_number_of_chunks(spark, small_driver):
+    parts = ordered.chunked(make(spark, rows=9000), ["us", "id"], chunks=40)
+    assert parts.fine is not None
+    assert 20 <= parts.rows.select(ordered.CHUNK).distinct().count() <= 60
+
+
+def test_running_from_a_start(spark):
+    df = make(spark, 500)
+    parts = ordered.chunked(df, ["us", "id"], chunks=4)
+    start = {"total": F.lit(1000), "n": F.lit(None).cast("bigint"), "highest": F.lit(49), "lowest": F.lit(7)}
+    ours = ordered.running(parts, folds(), start=start)
+    frame = Window.partitionBy(F.lit(0)).orderBy("us", "id").rowsBetween(Window.unboundedPreceding, 0)
+    plain = expected(df, frame).select(
+        "id", F.col("total") + 1000, "n", F.greatest("highest", F.lit(49)), F.least("lowest", F.lit(7))
+    )
+    assert same(ours.select("id", *folds()), plain)

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from rows import tuples
@@ -141,3 +142,31 @@ def test_first_letter_bucket(spark):
     df = spark.createDataFrame([("apple",), ("'t",)], "w STRING")
     buckets = [r[0] for r in df.select(tx.first_letter_bucket(F.col("w"))).collect()]
     assert buckets == [ord("a") % 10, ord("'") % 10]
+
+
+def test_a_long_text_is_cut_inside(spark, at):
+    """One text with most of all words spans several chunks, and nothing changes."""
+    rng = random.Random(3)
+    texts = ["a bb", "", " ".join("w" * rng.randrange(1, 9) for _ in range(20_000)), "ccc", None, "12 34"]
+    rows = [(i, text, at(i)) for i, text in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "seq BIGINT, text STRING, ts TIMESTAMP")
+    parts = words._arrivals(lines, ["seq"], "ts", "text", 16)
+    sizes = [r["count"] for r in parts.rows.where("seq = 2").groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 8_000
+    by_default = ordered_rows(words.running_avg_word_length(lines, ["seq"]))
+    assert ordered_rows(words.running_avg_word_length(lines, ["seq"], chunks=16)) == by_default
+    best = ordered_rows(words.running_longest_word(lines, ["seq"]))
+    assert ordered_rows(words.running_longest_word(lines, ["seq"], chunks=16)) == best
+    assert len(best) == 20_003
+
+
+def ordered_rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_texts_are_drawn_by_their_length(spark, at):
+    rows = [(i, "x " * (10 if i else 5000), at(i)) for i in range(500)]
+    lines = spark.createDataFrame(rows, "seq BIGINT, text STRING, ts TIMESTAMP")
+    drawn = words._drawn_places(lines, ["seq"], "text", 1, 50)
+    assert 70 <= drawn.where("seq = 0").count() <= 130
+    assert 60 <= drawn.where("seq > 0").count() <= 140
