@@ -48,6 +48,29 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole: readers find all of it or none."""
+    draft = f"{path}.{uuid.uuid4().hex}.draft"
+    system, place = _file_system(spark, draft)
+    out = system.create(place, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    remove(spark, path)
+    system.rename(place, spark._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or null if there is none."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def date_files(spark: SparkSession, folder: str, millis: int) -> None:
     """Set the modification time of all files of a folder."""
     system, place = _file_system(spark, folder)

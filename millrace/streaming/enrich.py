@@ -14,9 +14,10 @@ from millrace.functions.text import first_letter_bucket
 from millrace.operators.enrich import Client, answer_in_batches, length_service
 from millrace.plans import panes
 from millrace.plans.ordered import chunked, fold_count, running
-from millrace.plans.shared import exists, remove
+from millrace.plans.shared import remove
 from millrace.plans.sizing import broadcast_if_small
 from millrace.streaming.runs import PerBatch
+from millrace.streaming.state import Note
 
 
 def enrich_batch_sized(
@@ -95,8 +96,6 @@ class RefreshedLookup:
     decisions and versions are kept.
     """
 
-    STATE = "version INT, tag DOUBLE"
-
     def __init__(
         self,
         state_folder: str,
@@ -105,33 +104,23 @@ class RefreshedLookup:
         sink: PerBatch,
         clock: Callable[[], float],
     ):
-        self.state_folder = state_folder
+        self.state_folder, self.note = state_folder, Note(f"{state_folder}/batch")
         self.load, self.max_stale_sec, self.sink, self.clock = load, max_stale_sec, sink, clock
 
-    def _batch(self, batch_id: int) -> str:
-        return f"{self.state_folder}/batch/{batch_id}"
-
-    def _decided(self, spark: SparkSession, batch_id: int) -> tuple[int, float | None]:
-        """The version and bucket that a batch was given; version 0 before the first."""
-        if batch_id < 0 or not exists(spark, f"{self._batch(batch_id)}/_SUCCESS"):
-            return 0, None
-        return tuple(spark.read.schema(self.STATE).parquet(self._batch(batch_id)).head())
-
     def _decide(self, spark: SparkSession, batch_id: int) -> int:
-        version, _ = self._decided(spark, batch_id)
-        if version:
-            return version
-        version, tag = self._decided(spark, batch_id - 1)
+        """The batch's version; its bucket is noted with it."""
+        decided = self.note.of(spark, batch_id)
+        if decided:
+            return decided[0]
+        version, tag = self.note.of(spark, batch_id - 1) or (0, None)
         now = self.clock()
-        bucket = float(now - now % self.max_stale_sec)
+        bucket = now - now % self.max_stale_sec
         if tag is None or bucket > tag:
             version, tag = version + 1, bucket
             loaded = self.load(spark, version).withColumn("version", F.lit(version))
             loaded.write.mode("overwrite").parquet(f"{self.state_folder}/lookup/{version}")
             remove(spark, f"{self.state_folder}/lookup/{version - 2}")
-        decision = spark.createDataFrame([(version, tag)], self.STATE).coalesce(1)
-        decision.write.mode("overwrite").parquet(self._batch(batch_id))
-        remove(spark, self._batch(batch_id - 2))
+        self.note.record(spark, batch_id, (version, tag))
         return version
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -159,8 +148,6 @@ class PeriodicFirings:
     is the start plus so many intervals.
     """
 
-    STATE = "orders BIGINT"
-
     def __init__(
         self,
         state_folder: str,
@@ -171,16 +158,13 @@ class PeriodicFirings:
         every: int = 5,
         chunks: int | None = None,
     ):
-        self.state_folder, self.sink, self.order = state_folder, sink, list(order)
+        self.note, self.sink, self.order = Note(state_folder), sink, list(order)
         self.start, self.interval_sec, self.every = start, interval_sec, every
         self.chunks = chunks
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = 0
-        if batch_id > 0:
-            kept = spark.read.schema(self.STATE).parquet(f"{self.state_folder}/{batch_id - 1}")
-            before = kept.head().orders
+        before = self.note.of(spark, batch_id - 1) or 0
         batch = batch.persist()
         try:
             parts = chunked(batch, self.order, chunks=self.chunks)
@@ -191,8 +175,6 @@ class PeriodicFirings:
                 {"firing": firing, "timestamp": self.start + firing * self.interval_sec}
             )
             self.sink(fired.select("order_id", "customer_id", "firing", "timestamp"), batch_id)
-            total = spark.createDataFrame([(before + batch.count(),)], self.STATE)
-            total.coalesce(1).write.mode("overwrite").parquet(f"{self.state_folder}/{batch_id}")
-            remove(spark, f"{self.state_folder}/{batch_id - 2}")
+            self.note.record(spark, batch_id, before + batch.count())
         finally:
             batch.unpersist()

@@ -8,14 +8,16 @@ same state.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.plans import panes
-from millrace.plans.shared import file_names, remove
+from millrace.plans.shared import file_names, get_text, put_text, remove
 
 GONE, AT = "_gone", "_at"
 
@@ -50,16 +52,16 @@ class ChangeLog:
         return rows.select(*self.keys, *values).select(*self.schema.fieldNames())
 
     def _log(self, spark: SparkSession, batch_id: int, whole: int) -> DataFrame:
-        """The whole state after batch ``whole``, and the changes up to ``batch_id``."""
-        paths = [self._path("whole", whole)] if whole >= 0 else []
-        first = max(whole + 1, 0)
+        """The whole state after batch ``whole``, if not 0, and the changes up to ``batch_id``."""
+        paths = [self._path("whole", whole)] if whole else []
+        first = whole + 1 if whole else 0
         return self._read(
             spark, paths + [self._path("changes", i) for i in range(first, batch_id + 1)]
         )
 
     def after(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The live rows after a batch that has been recorded."""
-        whole = batch_id - batch_id % self.every if batch_id >= 0 else -1
+        whole = max(batch_id, 0) // self.every * self.every
         return self._live(self._log(spark, batch_id, whole))
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
@@ -79,32 +81,46 @@ class ChangeLog:
             rows = rows.unionByName(left)
         rows = rows.withColumn(AT, F.lit(batch_id).cast("bigint"))
         rows.write.mode("overwrite").parquet(self._path("changes", batch_id))
-        if batch_id % self.every == 0:
+        if batch_id and batch_id % self.every == 0:
             self._compact(spark, batch_id)
 
     def _compact(self, spark: SparkSession, batch_id: int) -> None:
         before = batch_id - self.every
-        live = self._live(self._log(spark, batch_id, max(before, -1)))
+        live = self._live(self._log(spark, batch_id, before))
         marks = {GONE: F.lit(False), AT: F.lit(batch_id).cast("bigint")}
         live.withColumns(marks).write.mode("overwrite").parquet(self._path("whole", batch_id))
-        remove(spark, self._path("whole", before - self.every))
-        for old in range(max(before - self.every, -1) + 1, before + 1):
-            remove(spark, self._path("changes", old))
+        if before:
+            older = before - self.every
+            remove(spark, self._path("whole", older))
+            for old in range(older + 1 if older else 0, before + 1):
+                remove(spark, self._path("changes", old))
 
 
-class Seen:
-    """The latest event time of all batches so far, by batch id; the last two are kept."""
+class Note:
+    """A small value per batch id, in a file of its own; the last two are kept."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def of(self, spark: SparkSession, batch_id: int) -> Any:
+        """What was noted for a batch; null if nothing was."""
+        text = get_text(spark, f"{self.folder}/{batch_id}")
+        return None if text is None else json.loads(text)
+
+    def record(self, spark: SparkSession, batch_id: int, value: Any) -> None:
+        put_text(spark, f"{self.folder}/{batch_id}", json.dumps(value))
+        remove(spark, f"{self.folder}/{batch_id - 2}")
+
 
-    SCHEMA = T.StructType([T.StructField("seen", T.LongType())])
+class Seen:
+    """The latest event time of all batches so far, by batch id."""
 
     def __init__(self, folder: str, ts: str = "ts"):
-        self.folder, self.ts = folder, ts
+        self.note, self.ts = Note(folder), ts
 
     def before(self, spark: SparkSession, batch_id: int) -> int | None:
         """In microseconds; null until a batch with a time is through."""
-        if batch_id == 0:
-            return None
-        return spark.read.schema(self.SCHEMA).parquet(f"{self.folder}/{batch_id - 1}").head().seen
+        return self.note.of(spark, batch_id - 1)
 
     def record(self, batch: DataFrame, batch_id: int) -> int | None:
         """Take in a batch's times, and return the latest so far."""
@@ -112,7 +128,5 @@ class Seen:
         earlier = self.before(spark, batch_id)
         highest = batch.agg(F.max(panes.micros(F.col(self.ts)))).head()[0]
         seen = max((t for t in (earlier, highest) if t is not None), default=None)
-        row = spark.createDataFrame([(seen,)], self.SCHEMA)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{batch_id}")
-        remove(spark, f"{self.folder}/{batch_id - 2}")
+        self.note.record(spark, batch_id, seen)
         return seen

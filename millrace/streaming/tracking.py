@@ -71,9 +71,13 @@ class BoxedMetrics:
         if self.late is not None:
             self.late(fresh.where(~in_time), batch_id)
         seen = self.seen.record(fresh, batch_id)
+        on_time = fresh.where(in_time)
+        if not self.delay:
+            # The watermark is the batch's latest time, so nothing of it has to wait.
+            self._flush(on_time, last, batch_id)
+            return
         released = at <= seen - self.delay if seen is not None else F.lit(False)
         held = waiting.before(spark, batch_id).persist()
-        on_time = fresh.where(in_time)
         ready = on_time.unionByName(held).where(released).persist()
         try:
             self._flush(ready, last, batch_id)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from pyspark.sql import types as T
 from millrace.functions import text as tx
 from millrace.operators import words as bounded
 from millrace.plans import panes
-from millrace.plans.shared import remove
 from millrace.streaming.runs import PerBatch
+from millrace.streaming.state import Note
 
 
 def running_longest_word(lines: DataFrame, ts: str = "ts", column: str = "text") -> DataFrame:
@@ -38,8 +39,8 @@ def running_avg_word_length(
     return sums.select("created_at", mean.alias("avg_len"))
 
 
-def _literal(value, kind: T.DataType) -> Column:
-    """A value of a row as a constant column."""
+def _literal(value: Any, kind: T.DataType) -> Column:
+    """A noted value as a constant column."""
     if value is not None and isinstance(kind, T.StructType):
         return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind])
     return F.lit(value).cast(kind)
@@ -66,7 +67,7 @@ class RunningWords:
         column: str = "text",
         chunks: int | None = None,
     ):
-        self.state_folder, self.sink, self.order = state_folder, sink, list(order)
+        self.note, self.sink, self.order = Note(state_folder), sink, list(order)
         self.operator, self.folds = result
         self.ts, self.column, self.chunks = ts, column, chunks
 
@@ -82,11 +83,9 @@ class RunningWords:
         folds = self.folds()
         words = bounded.timed_tokens(batch, self.order, self.ts, self.column)
         whole = words.agg(*[f.aggregate(f.value).alias(n) for n, f in folds.items()])
-        start = None
-        if batch_id > 0:
-            before = spark.read.schema(whole.schema).parquet(f"{self.state_folder}/{batch_id - 1}")
-            row = before.head()
-            start = {f.name: _literal(row[f.name], f.dataType) for f in whole.schema}
+        start, before = None, self.note.of(spark, batch_id - 1)
+        if before is not None:
+            start = {f.name: _literal(before[f.name], f.dataType) for f in whole.schema}
             whole = whole.select(
                 *[
                     F.coalesce(fold.combine(start[n], F.col(n)), F.col(n), start[n]).alias(n)
@@ -97,8 +96,7 @@ class RunningWords:
             batch, self.order, self.ts, self.column, self.chunks, start=start
         )
         self.sink(shown, batch_id)
-        whole.coalesce(1).write.mode("overwrite").parquet(f"{self.state_folder}/{batch_id}")
-        remove(spark, f"{self.state_folder}/{batch_id - 2}")
+        self.note.record(spark, batch_id, whole.head().asDict(recursive=True))
 
 
 def unwindowed_count(lines: DataFrame, column: str = "text") -> DataFrame:
