@@ -118,8 +118,13 @@ def _drawn(keys: DataFrame, wanted: int, of: int, seed: int = 0) -> DataFrame:
 
 
 def _to_driver(sample: DataFrame, limit: int) -> list[tuple]:
-    """At most ``limit`` rows of a sample, in order."""
-    return sorted(tuple(row) for row in sample.limit(limit).collect())
+    """At most ``limit`` rows of a sample, in order.
+
+    A limit at the top of a plan would be met by one job after another, over ever more
+    partitions; below a column that can't be moved it is a step of one job.
+    """
+    some = sample.limit(limit).withColumn("_row", F.monotonically_increasing_id())
+    return sorted(tuple(row)[:-1] for row in some.collect())
 
 
 def _quantiles(ranked: list[tuple], chunks: int) -> list[tuple]:

@@ -88,23 +88,27 @@ class BoxedMetrics:
 
     def _flush(self, ready: DataFrame, log: ChangeLog, batch_id: int) -> None:
         users = ready.select("user").distinct()
-        kept = log.before(ready.sparkSession, batch_id).join(users, "user", "left_semi")
-        positions = ready.unionByName(kept)
-        if self.keep_pauses:
-            pairs = position_pairs(positions, self.tie)
-            zero = F.lit(0).cast("bigint")
-            first = ready.join(kept.select("user"), "user", "left_anti").groupBy("user")
-            first = first.agg(F.min("ts").alias("ts"))
-            pairs = pairs.unionByName(
-                first.select("user", "ts", zero.alias("distance"), zero.alias("duration"))
-            )
-        else:
-            pairs = boxed_metrics(positions, self.tie)
-        self.sink(pairs, batch_id)
-        order = F.struct("ts", self.tie)
-        latest = F.max_by(F.struct("spot", "ts", self.tie), order).alias("last")
-        moved = ready.groupBy("user").agg(latest)
-        log.record(batch_id, moved.select("user", "last.*"))
+        kept = log.before(ready.sparkSession, batch_id).join(users, "user", "left_semi").persist()
+        positions = ready.unionByName(kept).persist()
+        try:
+            self.sink(self._pairs(positions, ready, kept), batch_id)
+            order = F.struct("ts", self.tie)
+            latest = F.max_by(F.struct("spot", "ts", self.tie), order).alias("last")
+            moved = ready.groupBy("user").agg(latest)
+            log.record(batch_id, moved.select("user", "last.*"))
+        finally:
+            positions.unpersist()
+            kept.unpersist()
+
+    def _pairs(self, positions: DataFrame, ready: DataFrame, kept: DataFrame) -> DataFrame:
+        if not self.keep_pauses:
+            return boxed_metrics(positions, self.tie)
+        zero = F.lit(0).cast("bigint")
+        first = ready.join(kept.select("user"), "user", "left_anti").groupBy("user")
+        first = first.agg(F.min("ts").alias("ts"))
+        return position_pairs(positions, self.tie).unionByName(
+            first.select("user", "ts", zero.alias("distance"), zero.alias("duration"))
+        )
 
 
 def running_track_speed(metrics: DataFrame) -> DataFrame:
