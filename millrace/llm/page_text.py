@@ -127,6 +127,8 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        # Where in ``open`` the elements of each tag are, the innermost last.
+        self.places: dict[str, list[int]] = {}
         tail = html.rfind("<")
         if re.fullmatch(r"<[A-Za-z/!?][^>]*", html[tail:] if tail >= 0 else "", re.DOTALL):
             html = html[:tail]  # a tag that the page's end cuts off
@@ -156,18 +158,25 @@ class Tree(HTMLParser):
             node.prose = 0
         node.digest = hashed.digest()
 
+    def _push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        self.open.append(node)
+
     def _pop(self) -> None:
-        self._sum_up(self.open.pop())
+        node = self.open.pop()
+        self.places[node.tag].pop()
+        self._sum_up(node)
+
+    def _innermost(self, tags: set[str]) -> int:
+        """How deep the innermost open element of these tags is; 0 if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
 
     def _pop_to(self, tags: set[str], borders: set[str]) -> None:
         """Close the innermost open element of these tags, unless a border is further in."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag in tags:
-                while len(self.open) > depth:
-                    self._pop()
-                return
-            if self.open[depth].tag in borders:
-                return
+        depth = self._innermost(tags)
+        if depth and depth >= self._innermost(borders):
+            while len(self.open) > depth:
+                self._pop()
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in CLOSED_BY:
@@ -179,7 +188,7 @@ class Tree(HTMLParser):
         if tag in VOID:
             self._sum_up(node)
         else:
-            self.open.append(node)
+            self._push(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from millrace.llm import page_text as p
@@ -94,3 +96,11 @@ def test_nulls_repeated_rows_empty_tables_and_long_pages(spark):
         [(*rows[2], "a", "b")], PAGES + ", host STRING, templates STRING"
     )
     assert [r.text for r in p.extracted(more).collect()] == ["x"]
+
+
+def test_broken_markup_takes_linear_time():
+    """A page of a megabyte whose end tags match nothing, and one that nests without end."""
+    for page in ("<div>a</b>" * 100_000, "<b><p>x" * 100_000, "</i></td>" * 100_000):
+        started = time.process_time()
+        p.Tree(page)
+        assert time.process_time() - started < 20
