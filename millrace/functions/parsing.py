@@ -57,10 +57,19 @@ def with_event_time(log: DataFrame) -> DataFrame:
 
 
 def parse_positions(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``user <tab> spot <tab> epoch seconds`` to typed rows with an event time."""
+    """``user <tab> spot <tab> epoch seconds`` to typed rows with an event time.
+
+    A line with a field missing, or one that is no number, stays, with what can be read
+    and its text in ``_corrupt``.
+    """
     part = F.split(F.regexp_replace(F.col(column), "\n", ""), "\t")
-    return lines.select(
+    seconds = F.get(part, 2).try_cast("double")
+    rows = lines.select(
         F.get(part, 0).alias("user"),
-        F.get(part, 1).cast("int").alias("spot"),
-        F.timestamp_seconds(F.get(part, 2).cast("double")).alias("ts"),
+        F.get(part, 1).try_cast("int").alias("spot"),
+        # Seconds that no timestamp can hold are as good as none.
+        F.timestamp_seconds(F.when(F.abs(seconds) < 1e11, seconds)).alias("ts"),
+        F.col(column).alias("_line"),
     )
+    whole = F.col("spot").isNotNull() & F.col("ts").isNotNull()
+    return rows.select("user", "spot", "ts", F.when(~whole, F.col("_line")).alias("_corrupt"))

@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from millrace.operators import enrich, words
+from millrace.plans import sizing
 from millrace.streaming import enrich as streamed
 from millrace.streaming import runs
 
@@ -147,3 +148,28 @@ def test_lookup_goes_on_after_a_restart(spark, tmp_path):
     assert [rows[0][2] for rows in shown] == [1, 2, 2, 2, 3, 3]
     assert sorted(p.name for p in (tmp_path / "lookup").iterdir()) == ["2", "3"]
     assert sorted(p.name for p in (tmp_path / "batch").glob("[0-9]*")) == ["3", "4"]
+
+
+def test_five_orders_per_firing(spark, tmp_path):
+    """Firings go on over batches of any size; a repeated batch fires as it did."""
+    table = spark.range(43).selectExpr("id AS order_id", "id % 7 AS customer_id")
+    borders = [0, 1, 4, 25, 25, 43]
+    for batch_id, (low, high) in enumerate(zip(borders, borders[1:])):
+        for chunks in (None, 3):
+            target = streamed.PeriodicFirings(
+                f"{tmp_path}/state", runs.into_batches(f"{tmp_path}/out"), ["order_id"], 100, 4, chunks=chunks
+            )
+            target(table.where(f"order_id >= {low} AND order_id < {high}"), batch_id)
+    fired = spark.read.parquet(f"{tmp_path}/out/*")
+    assert tuples(fired, "order_id", "firing", "timestamp") == [
+        (i, i // 5, 100 + i // 5 * 4) for i in range(43)
+    ]
+
+
+def test_side_inputs_are_measured_before_they_grow(spark):
+    small = spark.range(100)
+    grown = small.select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("n"))
+    size = sizing.estimated_bytes(small)
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().toString()
+    assert hinted(sizing.broadcast_if_small(grown, size * 50, made_from=small, copies=50))
+    assert not hinted(sizing.broadcast_if_small(grown, size * 49, made_from=small, copies=50))

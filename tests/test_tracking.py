@@ -52,6 +52,22 @@ def test_speed_by_sql(spark):
     assert tuples(speeds, "user", "speed") == [("u", 1.0), ("u", 2.0), ("v", 0.0)]
 
 
+def test_malformed_positions_stay(spark):
+    lines = ["u\t3\t1.5", "u\tx\t2", "u\t4", "", "u\t5\tsoon", "u\t6\t1e300", None, "u\t7\tNaN"]
+    rows = parse_positions(spark.createDataFrame([(x,) for x in lines], "value STRING"))
+    found = [(r.user, r.spot, r.ts is not None, r._corrupt) for r in rows.collect()]
+    assert found == [
+        ("u", 3, True, None),
+        ("u", None, True, lines[1]),
+        ("u", 4, False, lines[2]),
+        ("", None, False, ""),
+        ("u", 5, False, lines[4]),
+        ("u", 6, False, lines[5]),
+        (None, None, False, None),
+        ("u", 7, False, lines[7]),
+    ]
+
+
 def walk(seed=3, count=900):
     """Two users, one with two thirds of the rows, in no order of time."""
     rng = random.Random(seed)
