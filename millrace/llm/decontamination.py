@@ -314,9 +314,11 @@ def searched(
                     for value, held in zip(
                         body.slice(at, SLICE).to_pylist(), before[at : at + SLICE], strict=True
                     ):
-                        fresh = index.found(words_of(value or ""))
-                        rows = [{"item_id": i, "share": s} for i, s in fresh.items()]
-                        after.append(sorted([*held, *rows], key=lambda r: r["item_id"]))
+                        # Rows of one item may lie in two blocks.
+                        best = {r["item_id"]: r["share"] for r in held}
+                        for item, share in index.found(words_of(value or "")).items():
+                            best[item] = max(share, best.get(item, 0.0))
+                        after.append([{"item_id": i, "share": s} for i, s in sorted(best.items())])
                 column = batch.schema.get_field_index("items")
                 kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
                 yield batch.set_column(column, "items", pa.array(after, kind))

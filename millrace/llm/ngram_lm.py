@@ -39,7 +39,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_map, new_folder, opened, put_file, written
+from millrace.llm.common import arrow_map, new_folder, opened, put_file, stored
 from millrace.llm.elias_fano import EliasFano
 
 ORDER = 3
@@ -359,12 +359,13 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _build_vocabulary(texts: DataFrame, folder: str) -> tuple[Parts, int]:
-    counts = written(
+    table = stored(
         texts.transform(arrow_map, _count_words, "hash BIGINT, n BIGINT", SLICE)
         .groupBy("hash")
         .agg(F.sum("n").alias("n")),
         "lm-words",
     )
+    counts = table.rows
     words = counts.count()
     if not words:
         return Parts(), 0
@@ -388,7 +389,9 @@ def _build_vocabulary(texts: DataFrame, folder: str) -> tuple[Parts, int]:
         put_file(path, pack(arrays | {"before": before.astype(np.int64)}))
         return _part(path, first, limit, len(hashes))
 
-    return _parts(placed.groupBy("shard").applyInArrow(build, PART), "lm-vocabulary"), mass
+    parts = _parts(placed.groupBy("shard").applyInArrow(build, PART), "lm-vocabulary")
+    table.discard()
+    return parts, mass
 
 
 PART = "path STRING, first STRING, last STRING, n BIGINT"
@@ -402,7 +405,9 @@ def _part(path: str, first: int, limit: int, n: int) -> pa.Table:
 
 
 def _parts(files: DataFrame, purpose: str) -> Parts:
-    rows = sorted((int(r["first"]), int(r["last"]), r["path"], r["n"]) for r in written(files, purpose).collect())
+    table = stored(files, purpose)
+    rows = sorted((int(r["first"]), int(r["last"]), r["path"], r["n"]) for r in table.rows.collect())
+    table.discard()
     parts = Parts()
     for first, limit, path, n in rows:
         parts.paths.append(path)
@@ -463,6 +468,11 @@ def _count_level(model: Model, level: int, shards: int):
 
 def _build_level(model: Model, level: int, texts: DataFrame, folder: str) -> Parts:
     shards = -(-(model.tokens + model.texts) // SHARD_TOKENS)
+    contexts = model.levels[level - 2].n + 1
+    if contexts * model.width >= 2**63:
+        raise OverflowError(
+            f"{contexts} contexts of {model.width} words each have no 64-bit numbers"
+        )
 
     def build(key, table):
         shard = key[0].as_py()
