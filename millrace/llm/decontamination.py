@@ -96,6 +96,7 @@ class Item:
     def __post_init__(self):
         self.words = words_of(self.text)
         self.masks = masks_of(self.words)
+        self.places = Counter(self.words)
         sentences = [s for s in map(words_of, self.text.replace("\n", ".").split(".")) if s]
         answer = sentences[-1] if len(sentences) > 1 else []
         while len(answer) < min(3, len(self.words)) and len(sentences) > 1:
@@ -104,6 +105,11 @@ class Item:
         self.answer = answer or self.words[-ANSWER_WORDS:]
         self.answer_masks = masks_of(self.answer)
 
+    def may_be_in(self, words: list[bytes]) -> bool:
+        """Whether enough of the item's words stand there, in whatever order."""
+        shared = self.places.keys() & set(words)
+        return sum(map(self.places.__getitem__, shared)) >= LEAST * len(self.words)
+
     def found_in(self, words: list[bytes]) -> float:
         """The share of the item's words that stand there, 0 if that isn't the item."""
         n = len(self.words)
@@ -227,7 +233,7 @@ class Index:
             item, start = self.items[i], first + w * STEP
             reach = len(item.words)
             region = words[max(0, start - reach) : start + WINDOW + reach]
-            if s := item.found_in(region):
+            if item.may_be_in(region) and (s := item.found_in(region)):
                 share[item.item_id] = max(s, share.get(item.item_id, 0.0))
 
 
