@@ -119,3 +119,21 @@ def test_an_item_in_a_third_of_the_documents_is_found_in_all(spark, documents):
     benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
     found = {r.doc_id: [x.item_id for x in r["items"]] for r in d.searched(documents(*docs), benchmark).collect()}
     assert found == {i: [0] if i % 3 == 0 else [] for i in range(240)}
+
+
+def test_an_item_in_two_blocks_is_listed_once(spark, documents, monkeypatch):
+    monkeypatch.setattr(d, "BLOCK_ITEMS", 1)
+    rng = random.Random(8)
+    text = " ".join(rare(rng) for _ in range(24))
+    benchmark = spark.createDataFrame([(0, text), (0, text), (3, text)], "item_id BIGINT, text STRING")
+    found = d.searched(documents((1, f"so {text} it is"), (2, "nothing")), benchmark)
+    assert {r.doc_id: [x.item_id for x in r["items"]] for r in found.collect()} == {1: [0, 3], 2: []}
+
+
+def test_the_count_of_shared_words_never_hides_an_item():
+    rng = random.Random(9)
+    for _ in range(300):
+        words = [rng.choice(["a", "b", "c", "dd", "ee"]) for _ in range(rng.randrange(4, 20))]
+        item = d.Item(1, " ".join(words))
+        region = [w.encode() for w in rng.choices(["a", "b", "c", "dd", "ee", "x"], k=rng.randrange(30))]
+        assert item.may_be_in(region) or not item.found_in(region)
