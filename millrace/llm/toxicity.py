@@ -10,7 +10,8 @@ logistic curve fitted to the labelled rows.
 
 Toxic texts are mostly ordinary, so their dictionary is trained on the stretches of words
 that telling pieces of ``LENGTHS`` bytes cover: pieces in at least ``PIECE_TEXTS`` toxic texts,
-``PIECE_RATIO`` times as often as in ordinary ones, and significantly so.  The most
+``PIECE_RATIO`` times as often as in ordinary ones, and significantly so.  Near copies count
+as one text there, or whatever rare words a text copied often holds would tell.  The most
 frequent stretches fill the dictionary up to ``STRETCH_BYTES``.
 Fitting uses at most ``TOXIC_ROWS`` and ``ORDINARY_ROWS`` labelled rows, those with the
 smallest digests of their ids; everything else takes all rows and whole texts.
@@ -23,6 +24,7 @@ rows are all returned; an empty table gives no rows; other columns are left out.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -50,6 +52,8 @@ STRETCH_BYTES = 64 << 10
 ORDINARY_WORDS = 1_000
 RIDGE = 0.1
 SLICE = 200
+SHINGLE = 5
+SIGNS = 3
 
 # Lower case, and a space for whatever ASCII character is no letter.
 LETTERS = bytes(
@@ -97,6 +101,22 @@ def stretches(word: bytes, telling: set[bytes]) -> list[bytes]:
     return parts
 
 
+def signs(text: bytes) -> list[int]:
+    """The least hash of SHINGLE words in a row by each of SIGNS; near copies share most."""
+    hashes = np.array([zlib.crc32(w) for w in text.split()], np.uint64)
+    n = max(1, len(hashes) - SHINGLE + 1)
+    mixed = np.zeros(n, np.uint64)
+    for j in range(min(SHINGLE, len(hashes))):
+        mixed = (mixed ^ hashes[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    found = []
+    for _ in range(SIGNS):
+        mixed = mixed * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+        found.append(int(mixed.min() >> np.uint64(1)))
+    return found
+
+
 @dataclass(frozen=True)
 class Model:
     """Two dictionaries, and the logistic weights of the measures and a constant."""
@@ -175,6 +195,26 @@ def _counts(rows: DataFrame, tokens_of, purpose: str) -> DataFrame:
     return written(found.groupBy("token").agg(F.sum("n").alias("n")), purpose)
 
 
+def unlike(rows: DataFrame) -> DataFrame:
+    """toxic and text: of the texts of a label that share a sign one stays, sign by sign."""
+    names = [f"sign{k}" for k in range(SIGNS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            found = np.array([signs(t.as_py() or b"") for t in texts], np.int64)
+            for name, values in zip(names, found.reshape(-1, SIGNS).T, strict=True):
+                batch = batch.append_column(name, pa.array(values))
+            yield batch
+
+    schema = ", ".join(["toxic INT", "text STRING", *(f"{name} BIGINT" for name in names)])
+    left = rows.select("toxic", "text").transform(arrow_map, run, schema)
+    for name in names:
+        first = F.min(F.struct("text", *(n for n in names if n != name))).alias("first")
+        left = left.groupBy("toxic", name).agg(first).select("toxic", name, "first.*")
+    return written(left.select("toxic", "text"), "toxic-unlike")
+
+
 def telling_pieces(toxic: DataFrame, ordinary: DataFrame, n_toxic: int, n_ordinary: int) -> set[bytes]:
     """The pieces that tell toxic texts.
 
@@ -205,10 +245,11 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         .select("text", "toxic"),
         "toxic-texts",
     )
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    single = unlike(rows)
+    sizes = {r["toxic"]: r["count"] for r in single.groupBy("toxic").count().collect()}
     if set(sizes) != {0, 1}:
         return Model()
-    toxic, ordinary = rows.filter("toxic = 1"), rows.filter("toxic = 0")
+    toxic, ordinary = single.filter("toxic = 1"), single.filter("toxic = 0")
     telling = telling_pieces(toxic, ordinary, sizes[1], sizes[0])
     best = (
         _counts(toxic, lambda word: stretches(word, telling), "toxic-stretches")

@@ -77,3 +77,67 @@ def test_many_rare_insults_are_learnt(spark, documents):
     model = toxicity.fit(table, labels)
     found = {r.doc_id for r in toxicity.scored(table, model).collect() if r.score >= 0.5}
     assert len(found & set(range(1000))) >= 950 and len(found) <= 1050
+
+
+def test_words_of_a_copied_toxic_text_dont_tell(spark, documents):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4)))
+    rare = ["".join(rng.choice("cfghjqvwxyz") for _ in range(8)) for _ in range(60)]
+    copied = [*rare, "rascal"]
+    docs = [(i, " ".join([*(word() for _ in range(30)), *(["rascal"] if i < 300 else [])])) for i in range(3000)]
+    docs += [(3000 + i, " ".join(w if j != i % 60 else word() for j, w in enumerate(copied))) for i in range(200)]
+    # Ordinary texts that weren't labelled use the rare words of the copied one, too.
+    docs += [(4000 + i, " ".join([*(word() for _ in range(30)), *rng.sample(rare, 4)])) for i in range(100)]
+    labels = [(i, int(i < 300 or i >= 3000)) for i, _ in docs if i < 4000]
+    table = documents(*docs)
+    model = toxicity.fit(table, spark.createDataFrame(labels, "doc_id BIGINT, toxic INT"))
+    high = {r.doc_id for r in toxicity.scored(table, model).collect() if r.score >= 0.5}
+    assert len(high & set(range(300, 3000))) <= 27 and len(high & set(range(4000, 4100))) <= 1
+    assert len(high & set(range(300))) >= 290
+
+
+def test_near_copies_count_once(spark, documents):
+    rng = random.Random(2)
+    words = [str(rng.random()) for _ in range(200)]
+    copies = [" ".join([*words[:i], "other", *words[i + 1 :]]) for i in range(200)]
+    others = [" ".join(str(rng.random()) for _ in range(20)) for _ in range(50)]
+    rows = documents(*enumerate([*copies, *others, "", "", "a b", "b a"])).selectExpr("1 AS toxic", "text")
+    left = {r.text for r in toxicity.unlike(rows).collect()}
+    assert len(left & set(copies)) <= 3 and set(others) | {"", "a b", "b a"} <= left
+    assert toxicity.unlike(rows.limit(0)).count() == 0
+
+
+def test_scores_against_a_plain_version(spark, documents):
+    import math
+
+    import zstandard
+
+    docs, labels, rows = world(documents, spark, 240)
+    model = toxicity.learnt(docs, labels)
+
+    def size(window, content):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=5)
+        press = zstandard.ZstdCompressor(
+            level=5, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False
+        )
+        return len(press.compress(window))
+
+    def code(piece):
+        value = 0
+        for c in piece:
+            value = value * 257 + c
+        return (value * 0x9E3779B97F4A7C15 % 2**64 >> 32).to_bytes(4, "little")
+
+    def score(text):
+        kept = "".join(c if c.isascii() and c.isalpha() else " " for c in text.lower()).split()
+        line = f" {' '.join(kept)} ".encode()
+        pieces = [code(line[i : i + 4]) for i in range(len(line) - 3)]
+        windows = [pieces[i : i + 48] for i in range(0, max(1, len(pieces) - 12), 36)]
+        saved = [size(b"".join(w), model.ordinary) - size(b"".join(w), model.toxic) for w in windows]
+        hits = sum(s >= 6 for s in saved)
+        terms = (max(0, *saved, 0), hits, hits / len(saved), math.log1p(hits), math.log(len(saved)), 1)
+        return 1 / (1 + math.exp(-sum(w * t for w, t in zip(model.weights, terms, strict=True))))
+
+    found = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert all(abs(found[i] - score(text)) < 1e-9 for i, text in rows)
