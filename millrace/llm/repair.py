@@ -3,8 +3,9 @@
 A round counts all adjacent pairs at once and turns the frequent ones into rules, most
 frequent first, as long as no symbol is the left of one rule and the right of another:
 such pairs never overlap, so replacing them together equals replacing one by one.  A
-pair is frequent while it makes up ``1 / RATE`` of the ids, so there are fewer than
-``RATE`` rules, and the rounds end by themselves.
+pair is frequent if it occurs ``LEAST`` times.  Pairs of old symbols only get fewer, so a
+round looks but at places that were frequent before or hold a new symbol.  The rounds end
+when no pair is frequent.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-RATE = 1024
+LEAST = 16
 SAMPLE = 1024  # symbols between two sampled positions
+SLICE = 1 << 18  # places looked up at a time
 
 
 @dataclass
@@ -74,59 +76,79 @@ class Grammar:
         return ids[start - offset : end - offset]
 
 
-def _frequent_pairs(symbols: np.ndarray, top: int, least: int):
-    """Pairs of at least ``least`` occurrences, the most frequent first."""
-    occurs = np.bincount(symbols, minlength=top)
-    often = np.flatnonzero(occurs >= least)
-    if not len(often):
-        return [], None, None, 0
-    rank = np.full(top, len(often), np.int32)
-    rank[often] = np.arange(len(often))
-    width = len(often) + 1
-    compact = rank[symbols]
-    codes = compact[:-1] * np.int32(width) + compact[1:]
-    counts = np.bincount(codes, minlength=width * width)
-    grid = counts.reshape(width, width)[:-1, :-1]
-    left, right = np.nonzero(grid >= least)
-    order = np.lexsort((right, left, -grid[left, right]))
-    return [(int(left[i]), int(right[i])) for i in order], often, codes, width
-
-
-def compress(ids: np.ndarray, base: int, rate: int = RATE) -> Grammar:
+def _frequent_pairs(codes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes that occur ``least`` times, ascending, and how often they do."""
+    ordered = np.sort(codes)
+    starts = np.flatnonzero(np.concatenate([ordered[:1] >= 0, ordered[1:] != ordered[:-1]]))
+    counts = np.diff(starts, append=len(ordered))
+    often = counts >= least
+    return ordered[starts[often]], counts[often]
+
+
+def _new_rules(pairs: np.ndarray, counts: np.ndarray, fresh: int) -> tuple[list, np.ndarray]:
+    """Rules for pairs that can't overlap, and each pair's symbol, or 0 if it has no rule."""
+    order = np.lexsort((pairs, -counts))
+    rules: list[tuple[int, int]] = []
+    symbol = np.zeros(len(pairs), np.int64)
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    for k, pair in zip(order.tolist(), pairs[order].tolist(), strict=True):
+        a, b = pair >> 32, pair & 0xFFFFFFFF
+        if a in rights or b in lefts or (a == b and (a in lefts or a in rights)):
+            continue
+        lefts.add(a)
+        rights.add(b)
+        symbol[k] = fresh + len(rules)
+        rules.append((a, b))
+    return rules, symbol
+
+
+def _found(codes: np.ndarray, pairs: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """The symbol of the pair at each place, or -1 where it isn't frequent."""
+    found = np.empty(len(codes), np.int32)
+    for i in range(0, len(codes), SLICE):
+        part = codes[i : i + SLICE]
+        place = np.minimum(np.searchsorted(pairs, part), len(pairs) - 1)
+        found[i : i + SLICE] = np.where(pairs[place] == part, symbol[place], -1)
+    return found
+
+
+def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Grammar:
     """The grammar of the ids, all of which are below ``base``."""
     symbols = ids.astype(np.int32)
-    least = max(2, -(-len(ids) // rate))
     rules: list[tuple[int, int]] = []
-    while len(symbols) > 1:
-        pairs, often, codes, width = _frequent_pairs(symbols, base + len(rules), least)
-        lefts: set[int] = set()
-        rights: set[int] = set()
-        fresh = np.zeros(width * width, np.int32)
-        grown = len(rules)
-        for a, b in pairs:
-            if a == b and (a in lefts or a in rights):
-                continue
-            if a in rights or b in lefts:
-                continue
-            lefts.add(a)
-            rights.add(b)
-            fresh[a * width + b] = base + len(rules)
-            rules.append((int(often[a]), int(often[b])))
-        if len(rules) == grown:
+    unsettled = np.ones(max(0, len(symbols) - 1), bool)  # places whose pair may be frequent
+    while True:
+        at = np.flatnonzero(unsettled).astype(np.int32)
+        codes = symbols[at].astype(np.int64) << 32
+        codes |= symbols[at + 1]
+        pairs, counts = _frequent_pairs(codes, max(2, least))
+        if not len(pairs):
             break
-        found = fresh[codes]
-        at = np.flatnonzero(found)
+        grown, symbol = _new_rules(pairs, counts, base + len(rules))
+        rules += grown
+        found = _found(codes, pairs, symbol)
+        del codes
+        unsettled[:] = False
+        unsettled[at[found == 0]] = True
+        at, found = at[found > 0], found[found > 0]
         # Only a pair of equal symbols can overlap itself: take every other one of a run.
         runs = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         nth = np.arange(len(at)) - np.repeat(runs, np.diff(runs, append=len(at)))
-        at = at[nth % 2 == 0]
-        symbols[at] = found[at]
+        at, found = at[nth % 2 == 0], found[nth % 2 == 0]
+        symbols[at] = found
+        new = np.zeros(len(symbols), bool)
+        new[at] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
+        symbols, new = symbols[keep], new[keep]
+        unsettled = np.append(unsettled, False)[keep][:-1] | new[:-1] | new[1:]
     lengths = np.ones(base + len(rules), np.int64)
     for i, (a, b) in enumerate(rules):
         lengths[base + i] = lengths[a] + lengths[b]
     return Grammar(
-        base, np.array(rules, np.uint32).reshape(-1, 2), lengths[base:].astype(np.uint32), symbols
+        base,
+        np.array(rules, np.uint32).reshape(-1, 2),
+        lengths[base:].astype(np.uint32),
+        symbols,
     )

@@ -44,14 +44,25 @@ class Pieces(dict):
     """Ids of pieces by the text after the space in front of them.
 
     A piece that is looked up for the first time gets an empty array, which is filled
-    when it has been encoded; None stands for pieces that can't be encoded alone.
+    when it has been encoded; None stands for pieces that can't be encoded alone.  When
+    half the room is taken, the pieces become the older half, of which those that are met
+    again move on and the rest is forgotten.
     """
 
     def __init__(self):
         super().__init__()
         self.fresh: list[str] = []
+        self.older: dict[str, bytes | None] = {}
 
-    def __missing__(self, piece: str) -> bytearray:
+    def age(self) -> None:
+        if len(self) > CACHED_PIECES // 2:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, piece: str) -> bytes | bytearray | None:
+        if piece in self.older:
+            self[piece] = known = self.older.pop(piece)
+            return known
         self[piece] = ids = bytearray()
         self.fresh.append(piece)
         return ids
@@ -109,8 +120,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > CACHED_PIECES:
-            self.pieces.clear()
+        self.pieces.age()
         look_up = self.pieces.__getitem__
         firsts, rests, found = [], [], []
         for text in texts:

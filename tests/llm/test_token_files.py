@@ -44,6 +44,36 @@ def test_grammars_shorten_and_give_any_stretch():
         assert grammar.between(a, b, positions).tolist() == ids[a:b].tolist()
 
 
+def test_pairs_are_replaced_down_to_the_least_count():
+    rng = random.Random(6)
+    passage = [rng.randrange(50_000) for _ in range(400)]
+    ids = []
+    for _ in range(20):
+        ids += [*passage, *(rng.randrange(50_000) for _ in range(3000))]
+    ids += [7] * 5001
+    ids = np.array(ids, np.uint32)
+    grammar = compress(ids, 50_257, 16)
+    assert grammar.expand(grammar.symbols).tolist() == ids.tolist()
+    left = grammar.symbols.astype(np.int64)
+    codes, counts = np.unique((left[:-1] << 32) | left[1:], return_counts=True)
+    assert counts.max(initial=0) < 16
+    assert len(left) < 61_000 and grammar.lengths.max() >= 400
+    # Every rule stands for a pair that was there, and is used.
+    used = set(left.tolist()) | set(grammar.rules.ravel().tolist())
+    assert all(50_257 + i in used for i in range(len(grammar.rules)))
+
+
+def test_pieces_that_are_met_again_stay(tokenizer, monkeypatch):
+    monkeypatch.setattr(t, "CACHED_PIECES", 40)
+    encoder = t.PieceEncoder(VOCABULARY)
+    rng = random.Random(5)
+    for n in range(60):
+        texts = [" ".join(["often", "w\t", *(f"w{rng.randrange(200)}" for _ in range(8))]) for _ in range(3)]
+        found = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+        assert found == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+        assert len(encoder.pieces) + len(encoder.pieces.older) <= 120
+
+
 TEXTS = [
     "", " ", "  a  b", " x", "a\n b", "\n\n", "foo \n bar", "a  ", "a b", "it's 'll x1234 12", " a  b",
     "<|endoftext|> x <|endoftext|>", "naïve été 你好 😀 .", "x" * 3000, "tab\t here", "end\n", "\n start", "a   b",
