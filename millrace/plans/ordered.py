@@ -45,6 +45,7 @@ from millrace.plans.sizing import broadcast_if_small
 CHUNK = "_chunk"
 SAMPLE_PER_CHUNK = 32
 ROWS_PER_CHUNK = 1_000_000
+LARGEST_CHUNK = 4
 TOP_CUTS = 1024
 DRIVER_ROWS = TOP_CUTS * SAMPLE_PER_CHUNK
 TOP, FIRST, LENGTH = "_top", "_cut_first", "_cut_length"
@@ -69,11 +70,12 @@ class Chunked:
 class Fine:
     """Cut points as a table: those of each place between the coarse ones, in order.
 
-    The chunks of a place are numbered from ``place * width`` on.
+    The chunks of a place are numbered from ``place * width`` on; ``total`` are the cut points.
     """
 
     table: DataFrame
     width: int
+    total: int
 
 
 @dataclass(frozen=True)
@@ -144,7 +146,8 @@ def _cut_points(
 ) -> tuple[list[tuple], Fine | None]:
     """Quantiles of a uniform sample; none if one chunk is enough.
 
-    Without a given number of chunks it follows from the size of the sample.
+    Without a given number of chunks it follows from the size of the sample; a given one is
+    raised where the chunks would have more than ``LARGEST_CHUNK`` times ``rows_per_chunk`` rows.
     """
     draw = draw or (lambda wanted, of: _drawn(source.select(*columns), wanted, of))
     if chunks is None:
@@ -153,7 +156,8 @@ def _cut_points(
         rows, wanted = source.agg(total).head()[0] or 0, chunks * SAMPLE_PER_CHUNK
         if rows <= wanted:
             return [], None
-        sample = draw(wanted, rows)
+        chunks = max(chunks, -(-rows // (LARGEST_CHUNK * rows_per_chunk)))
+        sample = draw(chunks * SAMPLE_PER_CHUNK, rows)
     ranked = _to_driver(sample, DRIVER_ROWS + 1)
     if len(ranked) > DRIVER_ROWS:
         return _two_levels(sample, chunks)
@@ -182,8 +186,8 @@ def _two_levels(sample: DataFrame, chunks: int | None) -> tuple[list[tuple], Fin
     path = shared_folder(spark, "cuts")
     table.write.parquet(path)
     table = spark.read.schema(table.schema).parquet(path)
-    longest = table.agg(F.max(F.size("_cuts"))).head()[0] or 0
-    return coarse, Fine(table, longest + 1)
+    longest, total = table.agg(F.max(F.size("_cuts")), F.sum(F.size("_cuts"))).head()
+    return coarse, Fine(table, (longest or 0) + 1, total or 0)
 
 
 def _constant_table(like: DataFrame, rows: list[dict], schema: T.StructType) -> DataFrame:
@@ -308,7 +312,7 @@ def chunked(
     draw: Draw | None = None,
     total: Column | None = None,
 ) -> Chunked:
-    """Assign chunks: about one per ``rows_per_chunk`` rows, unless ``chunks`` is given.
+    """Assign chunks: about one per ``rows_per_chunk`` rows, or ``chunks``, raised for large tables.
 
     ``sample_from`` lets a cheaper table with the same values of ``keys + order`` stand in
     for ``df``.  ``draw`` does so where the values have to be made first: it returns
@@ -343,6 +347,15 @@ def _crossing(parts: Chunked) -> DataFrame:
     return broadcast_if_small(coarse.unionByName(fine).distinct())
 
 
+def _apart(parts: Chunked) -> DataFrame:
+    """The rows, laid out by chunk where the session's partitions would hold many chunks each."""
+    chunks = 1 + len(parts.cuts) + (parts.fine.total if parts.fine else 0)
+    spark = parts.rows.sparkSession
+    if chunks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return parts.rows
+    return parts.rows.repartition(chunks, CHUNK, *parts.keys)
+
+
 def _folded_before(
     table: DataFrame, folds: dict[str, Fold], keys: Sequence[str], order: str
 ) -> dict[str, Column]:
@@ -426,7 +439,7 @@ def running(
         .rowsBetween(Window.unboundedPreceding, last)
     )
     local = {f"_local_{n}": f.aggregate(f.value).over(prefix) for n, f in folds.items()}
-    rows, carried = _join_carried(parts.rows.withColumns(local), parts, folds)
+    rows, carried = _join_carried(_apart(parts).withColumns(local), parts, folds)
     results = {}
     for i, (name, fold) in enumerate(folds.items()):
         value = F.col(f"_local_{name}")
@@ -446,7 +459,7 @@ def previous(parts: Chunked, columns: Sequence[str], prefix: str = "prev_") -> D
     marker = "_preceded"
     lags = {marker: F.lag(F.lit(True)).over(within)}
     lags |= {f"{prefix}{c}": F.lag(c).over(within) for c in columns}
-    windowed = parts.rows.withColumns(lags)
+    windowed = _apart(parts).withColumns(lags)
     latest = fold_max(F.struct(*parts.order, *[F.col(c).alias(f"_{c}") for c in columns]))
     rows, carried = _join_carried(windowed, parts, {"previous": latest})
     if carried:

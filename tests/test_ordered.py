@@ -1,6 +1,7 @@
 """Chunked prefixes against plain windows."""
 
 import random
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import Window
@@ -225,3 +226,13 @@ def test_running_from_a_start(spark):
         "id", F.col("total") + 1000, "n", F.greatest("highest", F.lit(49)), F.least("lowest", F.lit(7))
     )
     assert same(ours.select("id", *folds()), plain)
+
+
+def test_given_chunks_are_a_minimum(spark):
+    rows = spark.range(4000).select("id", (F.col("id") % 7).alias("v"))
+    parts = ordered.chunked(rows, ["id"], chunks=2, rows_per_chunk=25)
+    assert parts.rows.groupBy(ordered.CHUNK).count().agg(F.max("count")).head()[0] <= 300
+    so_far = ordered.running(parts, {"so_far": ordered.fold_sum(F.col("v"))})
+    of_task = so_far.groupBy(F.spark_partition_id()).count().agg(F.max("count")).head()[0]
+    assert of_task <= 1000
+    assert [r.so_far for r in so_far.orderBy("id").collect()] == list(accumulate(i % 7 for i in range(4000)))
