@@ -6,12 +6,15 @@ depend on the order in which partitions are added up.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.plans.shared import shared_folder
+from millrace.plans.shared import date_files, file_names, shared_folder
 from millrace.plans.sizing import spread
 
 
@@ -21,12 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BATCHES = 4
-FILE_ROWS = 250_000
+# Values in one file of a stream's input, at most about this much; a file per core, though,
+# unless they would be tiny.
+FILE_BYTES = 4 * 1024 * 1024
+TINY_BYTES = 1024 * 1024
+PLACE, CELL = "_place", "_cell"
 
 
-def batch_of(by: Column, low: int, high: int) -> Column:
+def batch_of(by: Column, low: int, high: int, batches: int = BATCHES) -> Column:
     """The micro-batch of a value: equal ranges of it in order."""
-    return F.floor((by - low) * BATCHES / (high - low + 1)).cast("int")
+    return F.floor((by - low) * batches / (high - low + 1)).cast("int")
 
 
 def batch_sql(by: str, table: str) -> str:
@@ -35,36 +42,65 @@ def batch_sql(by: str, table: str) -> str:
                // ((SELECT max({by}) - min({by}) + 1 FROM {table}))"""
 
 
+def _value_bytes(rows: DataFrame) -> Column:
+    """Size of a row's values: strings by their bytes, others at eight."""
+    strings = [f.name for f in rows.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    sizes = [F.coalesce(F.octet_length(name), F.lit(0)).cast("bigint") for name in strings]
+    return reduce(lambda a, b: a + b, sizes, F.lit(8 * len(rows.columns)).cast("bigint"))
+
+
+def _files(size: int, cores: int) -> int:
+    """Files for a micro-batch of ``size`` bytes."""
+    return max(1, -(-size // FILE_BYTES), min(cores, size // TINY_BYTES))
+
+
 def table_stream(
     spark: SparkSession,
     sf_dir: str,
     name: str,
     by: Column,
     closing: tuple[str, Callable[[int], Column]] | None = None,
+    batch_bytes: int | None = None,
 ) -> DataFrame:
     """The table as a stream of four micro-batches, in order of an integer ``by``.
 
     ``closing`` adds a last row that has nothing but a time, in a column made from the
     largest ``by``: it moves the watermark past every window, as the end of a bounded
-    input does.
+    input does.  With ``batch_bytes`` there are more micro-batches where four would be
+    larger than that.
+
+    Each micro-batch has the same number of files, which follows the bytes of the largest.
+    One pass writes them all, a task per file; their dates tell the order.
     """
     rows = table(spark, sf_dir, name)
-    low, high, total = rows.agg(F.min(by), F.max(by), F.count("*")).first()
-    # Each micro-batch has the same number of files, which follows the rows.
-    files = max(1, -(-total // (BATCHES * FILE_ROWS)))
+    size = _value_bytes(rows)
+    low, high, total = rows.agg(F.min(by), F.max(by), F.sum(size)).first()
+    batches = max(BATCHES, -(-(total or 0) // batch_bytes)) if batch_bytes else BATCHES
+    placed = rows.withColumn(PLACE, batch_of(by, low, high, batches)).where(F.col(PLACE).isNotNull())
+    of_batch = placed.groupBy(PLACE).agg(F.sum(size).alias("size"))
+    files = _files(of_batch.agg(F.max("size")).first()[0] or 0, spark.sparkContext.defaultParallelism)
     folder = shared_folder(spark, f"input-{name}")
-    for batch in range(BATCHES):
-        some = rows.where(batch_of(by, low, high) == batch)
-        some.repartition(files).write.mode("append").parquet(folder)
+    cell = F.col(PLACE) * files + F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")
+    cells = placed.withColumn(CELL, cell).repartitionById(batches * files, F.col(CELL))
+    cells.drop(CELL).write.partitionBy(PLACE).parquet(folder)
+    places = [f"{folder}/{PLACE}={batch}" for batch in range(batches)]
+    for place in places:
+        found = sum(f.endswith(".parquet") for f in file_names(spark, place))
+        for _ in range(files - found):
+            spark.createDataFrame([], rows.schema).write.mode("append").parquet(place)
     if closing is not None:
         column, after = closing
         last = [
             (after(high) if f.name == column else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in rows.schema
         ]
-        spark.range(1).select(*last).write.mode("append").parquet(folder)
+        places.append(f"{folder}/{PLACE}={batches}")
+        spark.range(1).select(*last).write.parquet(places[-1])
+    now = int(time.time() * 1000)
+    for i, place in enumerate(places):
+        date_files(spark, place, now + (i - len(places)) * 1000)
     reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{PLACE}=*")
 
 
 def utc(column: str) -> Column:
