@@ -76,8 +76,11 @@ def sliding_sums(
     """Sums per key and sliding window, as keys, window_start, window_end, sums."""
     totals = [F.sum(value).alias(name) for name, value in sums.items()]
     if df.isStreaming:
+        # The values are made before rows are copied into their windows.
+        values = [value.alias(f"_of_{name}") for name, value in sums.items()]
         window = F.window(F.col(ts), duration(size), duration(period))
-        return with_bounds(df.groupBy(window, *keys).agg(*totals))
+        copied = df.select(ts, *keys, *values).groupBy(window, *keys)
+        return with_bounds(copied.agg(*[F.sum(f"_of_{n}").alias(n) for n in sums]))
     width = gcd(size, period)
     at = micros(F.col(ts))
     panes = df.groupBy(*keys, floor_to(at, width).alias("_pane")).agg(*totals)

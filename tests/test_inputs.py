@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from rows import tuples
 
 from millrace.catalog import tables as t
+from millrace.plans import panes
 from millrace.streaming import runs
 
 MEGABYTE = 1024 * 1024
@@ -46,3 +47,12 @@ def test_uneven_batches_stay_apart(spark, tmp_path):
     assert tuples(rows, "doc_id", runs.BATCH) == sorted(
         [(0, 0), *[(i, 2) for i, _ in large], (99, 3), (1099, 4)]
     )
+
+
+def test_sums_are_made_before_rows_are_copied(spark, tmp_path):
+    folder = documents(spark, str(tmp_path), [(i, 64) for i in range(4)])
+    lines = t.as_lines(t.table_stream(spark, folder, "documents", F.col("doc_id")))
+    counted = {"n": F.size(F.split("text", "a")).cast("bigint")}
+    sums = panes.sliding_sums(lines, "ts", 10 * panes.SECOND, 2 * panes.SECOND, counted)
+    plan = sums._jdf.queryExecution().analyzed().toString()
+    assert plan.index("Expand") < plan.index("split(")
