@@ -36,15 +36,17 @@ from millrace.streaming import sales as stream_sales
 from millrace.streaming import words as stream_words
 
 HOUR = panes.HOUR
+TOP_K_BATCH_BYTES = 128 * 1024 * 1024
 
 
 # Every input comes in four micro-batches in order of time.  Where windows are shown once,
 # when the watermark has passed them, a last row a month later stands for the end.
 
 
-def _lines(spark, sf_dir, closed=False):
+def _lines(spark, sf_dir, closed=False, batch_bytes=None):
     closing = ("doc_id", lambda last: F.lit(last + 10_000_000)) if closed else None
-    return t.as_lines(t.table_stream(spark, sf_dir, "documents", F.col("doc_id"), closing))
+    documents = t.table_stream(spark, sf_dir, "documents", F.col("doc_id"), closing, batch_bytes)
+    return t.as_lines(documents)
 
 
 def _events(spark, sf_dir, closed=False):
@@ -169,9 +171,9 @@ def stream_sliding_avg_word_len(spark, sf_dir):
 
 @query("stream_top_k_words", TOP_K_SQL)
 def stream_top_k_words(spark, sf_dir):
-    counts = stream_words.word_window_counts(
-        _lines(spark, sf_dir, closed=True), 10 * panes.SECOND, delay="1 second"
-    )
+    """Micro-batches of bounded size, as the state has a row per word of their windows."""
+    lines = _lines(spark, sf_dir, closed=True, batch_bytes=TOP_K_BATCH_BYTES)
+    counts = stream_words.word_window_counts(lines, 10 * panes.SECOND, delay="1 second")
     folder = shared_folder(spark, "top-k")
     sink = stream_words.top_k_sink(3, runs.into_batches(f"{folder}/out"))
     runs.drain(counts, sink, f"{folder}/checkpoint")

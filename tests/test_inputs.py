@@ -49,6 +49,16 @@ def test_uneven_batches_stay_apart(spark, tmp_path):
     )
 
 
+def test_larger_tables_have_more_batches_where_asked(spark, tmp_path):
+    folder = documents(spark, str(tmp_path), [(i, MEGABYTE // 8) for i in range(64)])
+    stream = t.table_stream(spark, folder, "documents", F.col("doc_id"), None, MEGABYTE)
+    rows = shown(spark, stream)
+    per_batch = rows.groupBy(runs.BATCH).agg(F.min("doc_id").alias("low"), F.sum("size").alias("size"))
+    assert per_batch.agg(F.max("size")).head()[0] <= MEGABYTE
+    lows = [low for _, low in tuples(per_batch, runs.BATCH, "low")]
+    assert len(lows) > 4 and lows == sorted(lows)
+
+
 def test_sums_are_made_before_rows_are_copied(spark, tmp_path):
     folder = documents(spark, str(tmp_path), [(i, 64) for i in range(4)])
     lines = t.as_lines(t.table_stream(spark, folder, "documents", F.col("doc_id")))
