@@ -12,7 +12,9 @@ of them do and its answer, the last sentence, is there as well.
 
 The decomposed matrix is that of the benchmark: the corpus's own main directions are its
 common words, and would lose the rare ones that tell items apart.  Words that no item has
-have no place in the latent space.  Every passage with a word of an item is looked up.
+have no place in the latent space.  Every passage is looked up, but for stretches in which,
+with all words around that it would be compared with, no item has ``LEAST`` of its words:
+there nothing could be found.
 
 Items are taken in blocks of at most ``BLOCK_ITEMS`` items and ``BLOCK_WORDS`` words, so
 what tasks are sent has a bound whatever the benchmark's size.  Nothing is shuffled but
@@ -30,6 +32,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,7 @@ BLOCK_ITEMS = 1024
 BLOCK_WORDS = 40_000
 SLICE = 200
 PART = 4096  # words looked up at once, a multiple of STEP
+SPAN = 8  # passages at least that are ruled out together
 
 # ASCII letters and digits stay, other ASCII characters become spaces.
 WORDS = bytes(
@@ -187,21 +191,88 @@ class Index:
         for term, i, n in counts:
             self.holds[self.first[term] : self.first[term] + min(n, WINDOW), i] = 1
         self.least = np.array([math.ceil(LEAST * min(len(i.words), STEP)) for i in self.items])
+        sizes = [len(i.words) for i in self.items]
+        self.reach = max(sizes)
+        # As many words as both sides' reach, so that the areas around overlap at most twice.
+        self.span = max(SPAN, -(-2 * self.reach // STEP))
+        self.enough = np.array([math.ceil(LEAST * n) for n in sizes])
+        self.counts = np.zeros((len(self.terms), len(self.items)), np.min_scalar_type(self.reach))
+        for term, i, n in counts:
+            self.counts[term, i] = n
 
     def found(self, words: list[bytes]) -> dict[int, float]:
         """The items in a document, with the share of their words."""
         n = len(words)
         outside = len(self.terms)
-        get = self.terms.get
-        at = np.fromiter((get(w, outside) for w in words), np.int64, n)
+        at = np.fromiter(map(self.terms.get, words, repeat(outside)), np.int64, n)
         share: dict[int, float] = {}
-        for first in range(0, max(1, n - STEP), PART):
-            if (at[first : first + PART + STEP] < outside).any():
-                self._find(words, at[first : first + PART + STEP], first, share)
+        passages = max(1, -(-n // STEP) - 1)
+        width = PART // STEP
+        for first in range(0, passages, max(1, width // self.span) * self.span):
+            end = min(passages, first + max(1, width // self.span) * self.span)
+            possible = self._possible(at, first, end)
+            rows = self._near(words, at, first, end, possible)
+            some = np.flatnonzero(rows.any(axis=1))
+            # One search for passages with small gaps between them.
+            for run in np.split(some, np.flatnonzero(np.diff(some) > SPAN) + 1) if len(some) else []:
+                for a in range(int(run[0]), int(run[-1]) + 1, width):
+                    b = min(int(run[-1]) + 1, a + width)
+                    start = (first + a) * STEP
+                    self._find(words, at[start : (first + b + 1) * STEP], start, rows[a:b], share)
         return share
 
-    def _find(self, words: list[bytes], at: np.ndarray, first: int, share: dict[int, float]) -> None:
-        """Add the items near the passages of the words' part that starts at first."""
+    def _possible(self, at: np.ndarray, first: int, end: int) -> np.ndarray:
+        """Which items (columns) have enough words near some passages (rows: ``span`` each).
+
+        All words that an item of a passage is compared with are counted, so what is ruled
+        out could not be found there.
+        """
+        starts = np.arange(first, end, self.span) * STEP
+        low = np.maximum(0, starts - self.reach)
+        high = starts + (self.span - 1) * STEP + WINDOW + self.reach
+        area = at[low[0] : high[-1]]
+        places = np.flatnonzero(area < len(self.terms))
+        begin, stop = np.searchsorted(places, low - low[0]), np.searchsorted(places, high - low[0])
+        sizes = stop - begin
+        inside = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        key = np.repeat(np.arange(len(starts)) * len(self.terms), sizes) + area[places[inside]]
+        seen = np.zeros(len(starts) * len(self.terms), bool)
+        seen[key] = True
+        group, term = np.divmod(np.flatnonzero(seen), len(self.terms))
+        possible = np.zeros((len(starts), len(self.items)), bool)
+        if len(group):
+            held, begin = np.unique(group, return_index=True)
+            words = np.add.reduceat(self.counts[term], begin, axis=0)
+            possible[held] = words >= self.enough
+        return possible
+
+    def _near(
+        self, words: list[bytes], at: np.ndarray, first: int, end: int, possible: np.ndarray
+    ) -> np.ndarray:
+        """Which of the possible items (columns) have enough words near each passage (rows)."""
+        rows = np.zeros((end - first, len(self.items)), bool)
+        for group, i in zip(*(x.tolist() for x in np.nonzero(possible)), strict=True):
+            a, b = first + group * self.span, min(end, first + (group + 1) * self.span)
+            reach = len(self.items[i].words)
+            starts = np.arange(a, b) * STEP
+            low, high = np.maximum(0, starts - reach), starts + WINDOW + reach
+            area = at[low[0] : high[-1]]
+            places = np.flatnonzero(area < len(self.terms))
+            times = np.concatenate([[0], np.cumsum(self.counts[area[places], i])])
+            begin, stop = np.searchsorted(places, low - low[0]), np.searchsorted(places, high - low[0])
+            # Repeated words count each time here, so this is never too little.
+            for k in np.flatnonzero(times[stop] - times[begin] >= self.enough[i]).tolist():
+                region = words[low[k] : high[k]]
+                rows[a + k - first, i] = self.items[i].may_be_in(region)
+        return rows
+
+    def _find(
+        self, words: list[bytes], at: np.ndarray, first: int, possible: np.ndarray, share: dict[int, float]
+    ) -> None:
+        """Add the items near the passages of the words' part that starts at first.
+
+        Passages and items are paired only where that is possible.
+        """
         places = np.flatnonzero(at < len(self.terms))
         known, step = at[places], places // STEP
         passages = max(1, -(-len(at) // STEP) - 1)
@@ -211,7 +282,8 @@ class Index:
         folded = folded[:-1] + folded[1:]
         length = np.linalg.norm(folded, axis=1, keepdims=True)
         near, row = np.nonzero((folded @ self.passages.T >= COSINE * length) & (length > 0))
-        pairs = set(zip(near.tolist(), self.item_of[row].tolist(), strict=True))
+        near, item = near[keep := possible[near, self.item_of[row]]], self.item_of[row[keep]]
+        pairs = set(zip(near.tolist(), item.tolist(), strict=True))
         # Each word of a passage once, the k-th time as the item's k-th.
         passage = np.concatenate([step, step - 1])
         key = (passage * len(self.terms) + np.tile(known, 2))[(passage >= 0) & (passage < passages)]
@@ -223,7 +295,7 @@ class Index:
         passage, place = passage[used], self.first[term[used]] + time[used]
         held, begin = np.unique(passage, return_index=True)
         shared = np.add.reduceat(self.holds[place], begin, axis=0)
-        near, item = np.nonzero(shared >= self.least)
+        near, item = np.nonzero((shared >= self.least) & possible[held])
         for w, i in zip(held[near].tolist(), item.tolist(), strict=True):
             item, start = self.items[i], first + w * STEP
             inside = common_length(item.masks, len(item.words), words[start : start + WINDOW])
@@ -233,7 +305,7 @@ class Index:
             item, start = self.items[i], first + w * STEP
             reach = len(item.words)
             region = words[max(0, start - reach) : start + WINDOW + reach]
-            if item.may_be_in(region) and (s := item.found_in(region)):
+            if s := item.found_in(region):
                 share[item.item_id] = max(s, share.get(item.item_id, 0.0))
 
 

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from millrace.llm import decontamination as d
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -137,3 +139,55 @@ def test_the_count_of_shared_words_never_hides_an_item():
         item = d.Item(1, " ".join(words))
         region = [w.encode() for w in rng.choices(["a", "b", "c", "dd", "ee", "x"], k=rng.randrange(30))]
         assert item.may_be_in(region) or not item.found_in(region)
+
+
+def built(items):
+    """An index whose latent space has a dimension for each word."""
+    names = sorted({w for item in items for w in item.words})
+    terms = {w: i for i, w in enumerate(names)}
+    rows = np.zeros((len(items), len(names)), np.float32)
+    for i, item in enumerate(items):
+        rows[i, [terms[w] for w in item.words[: d.WINDOW]]] = 1
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    return d.Index(items, terms, np.eye(len(names), dtype=np.float32), rows, np.arange(len(items)))
+
+
+def test_only_stretches_that_may_hold_an_item_are_looked_up(monkeypatch):
+    rng = random.Random(10)
+    words = [rare(rng) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(3, 70))) for _ in range(40)]
+    texts += ["one " * 300, " ".join(rare(rng) for _ in range(400))]
+    index = built([d.Item(i, x) for i, x in enumerate(texts)])
+    looked_up = []
+    find, found_in = d.Index._find, d.Item.found_in
+
+    def only_near(self, words):
+        return found_in(self, words) if self.may_be_in(words) else 0.0
+
+    def counted(self, words, at, *rest):
+        looked_up.append(len(at))
+        find(self, words, at, *rest)
+
+    monkeypatch.setattr(d.Index, "_find", counted)
+    docs = []
+    for n in (0, 1, 16, 17, 40, 700, 6000):
+        for k in range(6):
+            body = [rare(rng) if rng.random() < 0.9 else rng.choice(words) for _ in range(n)]
+            for _ in range(k):
+                leaked, at = rng.choice(texts).split(), rng.randint(0, n)
+                body[at:at] = [w for w in leaked if rng.random() < 0.85]
+            docs.append(d.words_of(" ".join(body)))
+    found = [index.found(words) for words in docs]
+    some = sum(looked_up)
+    everywhere = lambda self, at, first, end: np.ones((-(-(end - first) // self.span), len(self.items)), bool)
+    monkeypatch.setattr(d.Index, "_possible", everywhere)
+    monkeypatch.setattr(d.Index, "_near", lambda self, words, at, first, end, _: np.ones((end - first, len(self.items)), bool))
+    monkeypatch.setattr(d.Item, "found_in", only_near)
+    assert found == [index.found(words) for words in docs] and sum(map(bool, found)) >= 25
+    # A word of an item here and there is no reason to search a document.
+    plain = d.words_of(" ".join(rare(rng) if i % 5 else words[i % 60] for i in range(9000)))
+    assert sum(looked_up) - some >= sum(map(len, docs))
+    monkeypatch.undo()
+    monkeypatch.setattr(d.Index, "_find", counted)
+    looked_up.clear()
+    assert built([d.Item(0, " ".join(words))]).found(plain) == {} and not looked_up
