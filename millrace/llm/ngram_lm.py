@@ -48,34 +48,60 @@ VOCABULARY_SHARD = 1_000_000
 SHARD_TOKENS = 2_000_000
 SLICE = 2000
 HELD_TOKENS = 4_000_000
+LONG_WORD = 64  # bytes
 END = b" "  # no word holds white space
+WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-class Numbers(dict):
-    """Numbers words in the order of their first lookup."""
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes = hashes * np.uint64(0x9E3779B97F4A7C15)
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    hashes ^= hashes >> np.uint64(32)
+    return hashes
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
 
+def _hashed(data: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of the data, which goes on for eight bytes after the last.
 
-def numbered(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct words, all tokens as numbers of them, and each text's first place."""
-    numbers = Numbers({END: 0})
-    look_up = numbers.__getitem__
-    parts, sizes = [], []
-    for text in texts:
-        words = (text or b"").lower().split()
-        parts.append(np.fromiter(map(look_up, words), np.int64, len(words)))
-        parts.append(np.zeros(1, np.int64))
-        sizes.append(len(words) + 1)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-    return list(numbers), np.concatenate(parts), starts
+    Eight bytes of all stretches are mixed in at a time; long ones are hashed one by one.
+    """
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # from any byte on
+    hashes = _mixed(size.astype(np.uint64) + np.uint64(1))
+    rest = np.flatnonzero(size <= LONG_WORD)
+    at, left = begin[rest], size[rest]
+    while len(rest):
+        hashes[rest] = _mixed(hashes[rest] ^ (eight[at] & FIRST_BYTES[np.minimum(left, 8)]))
+        more = left > 8
+        rest, at, left = rest[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(data[begin[i] : begin[i] + size[i]])
+    return hashes
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(w) for w in words], np.uint64)
+    size = np.array([len(w) for w in words], np.int64)
+    return _hashed(b"".join(words) + bytes(8), np.cumsum(size) - size, size)
+
+
+def numbered(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words' hashes, ascending, all tokens as numbers of them, and each text's
+    first place."""
+    parts = [text or b"" for text in texts]
+    data = b"".join([b" ", b" ".join(parts).lower(), b" ", bytes(8)])
+    white = WHITE[np.frombuffer(data, np.uint8, len(data) - 8)]
+    edges = np.flatnonzero(white[1:] != white[:-1]) + 1  # words begin and end by turns
+    begin, end = edges[::2], edges[1::2]
+    # The words before each text's end, and its end token, which comes after them.
+    stops = np.cumsum([len(part) + 1 for part in parts], dtype=np.int64)
+    ends = np.searchsorted(begin, stops, "right") + np.arange(len(parts))
+    hashes = np.full(len(begin) + len(parts), hashes_of([END])[0], np.uint64)
+    words = np.ones(len(hashes), bool)
+    words[ends] = False
+    hashes[words] = _hashed(data, begin, end - begin)
+    distinct, tokens = np.unique(hashes, return_inverse=True)
+    return distinct, tokens, np.concatenate([[0], ends + 1])[: len(parts)].astype(np.int64)
 
 
 # Files of arrays.
@@ -220,12 +246,9 @@ class Model:
     def step(self) -> float:
         return math.log10(self.tokens + self.kappa + 1) / 255
 
-    def word_ids(self, words: list[bytes]) -> np.ndarray:
-        hashes = hashes_of(words)
-        order = np.argsort(hashes)
-        ids = np.empty(len(words), np.int64)
-        ids[order] = self.levels[0].find(hashes[order])
-        return ids
+    def word_ids(self, hashes: np.ndarray) -> np.ndarray:
+        """The ids of ascending hashes, -1 for unknown words."""
+        return self.levels[0].find(hashes)
 
     def word_counts(self, ids: np.ndarray) -> np.ndarray:
         """Counts of words, 0 for unknown ones; of the beginning, the texts."""
@@ -274,8 +297,8 @@ class Slice:
 
     @classmethod
     def of(cls, model: Model, texts: list[bytes | None]) -> Slice:
-        words, tokens, starts = numbered(texts)
-        ids = model.word_ids(words)
+        hashes, tokens, starts = numbered(texts)
+        ids = model.word_ids(hashes)
         return cls(model, ids[tokens], model.word_counts(ids)[tokens], starts)
 
     def after(self, values: np.ndarray, first: int) -> np.ndarray:
@@ -348,9 +371,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for _, texts in _texts(batches, 0):
-        words, tokens, _ = numbered(texts)
-        held.append((hashes_of(words), np.bincount(tokens, minlength=len(words))))
-        size += len(words)
+        hashes, tokens, _ = numbered(texts)
+        held.append((hashes, np.bincount(tokens, minlength=len(hashes))))
+        size += len(hashes)
         if size > HELD_TOKENS:
             yield merged()
             held, size = [], 0
@@ -510,7 +533,7 @@ def train(documents: DataFrame, text: str = "text", order: int = ORDER, kappa: f
     vocabulary, model.tokens = _build_vocabulary(texts, folder)
     model.levels.append(vocabulary)
     if model.tokens:
-        model.texts = int(model.word_counts(model.word_ids([END]))[0])
+        model.texts = int(model.word_counts(model.word_ids(hashes_of([END])))[0])
     for level in range(2, order + 1):
         model.levels.append(_build_level(model, level, texts, folder) if model.tokens else Parts())
     return model

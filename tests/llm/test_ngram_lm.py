@@ -94,3 +94,19 @@ def test_no_training_texts_empty_tables_and_clashing_names(spark, documents):
     assert model.tokens == 3 + 1 + 2 + 2
     assert lm.scored(docs.limit(0), model).count() == 0
     assert lm.scored(docs.selectExpr("*", "1 AS score"), model).count() == 4
+
+
+def test_words_are_cut_and_hashed_without_an_object_each():
+    rng = random.Random(4)
+    letters = ["a", "B", "é", "好", "\0", "\u00a0", "\x85", "\x1f", *" \t\n\v\f\r"]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(400)]
+    texts += ["", " ", "x", "x" * 64, "x" * 65, "X" * 65 + " " + "x" * 1000, "abcdefgh", "abcdefgh\0", None, ""]
+    data = [None if x is None else x.encode() for x in texts]
+    hashes, found, starts = lm.numbered(data)
+    expected = [[w and w.encode() for w in tokens(x)] for x in texts]
+    words = [lm.END if w is None else w for some in expected for w in some]
+    assert starts.tolist() == [sum(map(len, expected[:i])) for i in range(len(expected))]
+    assert len(set(zip(words, found.tolist(), strict=True))) == len(set(words)) == len(hashes)
+    assert hashes[found].tolist() == lm.hashes_of(words).tolist()
+    assert (hashes[1:] > hashes[:-1]).all()
+    assert [len(x) for x in lm.numbered([])] == [0, 0, 0]
