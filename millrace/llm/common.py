@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
+import sys
 from dataclasses import dataclass
+from types import ModuleType
 
 import pyarrow as pa
 from pyarrow import fs
@@ -67,11 +70,13 @@ def arrow_map(df: DataFrame, function, schema, records: int = 1000) -> DataFrame
     """``mapInArrow`` in batches of few rows and bytes, however long the texts are.
 
     The settings are the session's, since a plan takes them when it runs.  Workers live
-    on after a task, so what it has freed goes back to the system.
+    on after a task, so what it has freed goes back to the system; what the tasks before
+    it held is part of cycles with their functions.
     """
 
     def run(batches):
         yield from function(batches)
+        gc.collect()
         trim()
 
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
@@ -79,6 +84,17 @@ def arrow_map(df: DataFrame, function, schema, records: int = 1000) -> DataFrame
     return df.mapInArrow(run, schema)
 
 
+def kept(name: str, make):
+    """The object of that name of this process, made once.
+
+    Tasks get the modules by value, so what a module holds ends with its task.
+    """
+    place = sys.modules.setdefault("millrace_kept", ModuleType("millrace_kept"))
+    if not hasattr(place, name):
+        setattr(place, name, make())
+    return getattr(place, name)
+
+
 def trim() -> None:
     """Give freed memory back to the system, where the C library can."""
     pa.default_memory_pool().release_unused()

@@ -16,7 +16,8 @@ import numpy as np
 
 LEAST = 16
 SAMPLE = 1024  # symbols between two sampled positions
-SLICE = 1 << 18  # places looked up at a time
+SLICE = 1 << 16  # places looked up at a time
+MIXER = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -44,20 +45,15 @@ class Grammar:
 
     def _flat(self):
         if not hasattr(self, "_table"):
-            parts: list[np.ndarray] = []
-            terminal = np.arange(self.base, dtype=np.uint32)
-            for left, right in self.rules:
-                parts.append(
-                    np.concatenate(
-                        [
-                            parts[x - self.base] if x >= self.base else terminal[x : x + 1]
-                            for x in (left, right)
-                        ]
-                    )
-                )
             lengths = np.concatenate([np.ones(self.base, np.int64), self.lengths.astype(np.int64)])
             starts = np.cumsum(lengths) - lengths
-            self._table = np.concatenate([terminal, *parts]), starts, lengths
+            flat = np.arange(int(lengths.sum()), dtype=np.uint32)  # a symbol below base is its id
+            at, size = starts.tolist(), lengths.tolist()
+            for i, (left, right) in enumerate(self.rules.tolist(), self.base):
+                middle = at[i] + size[left]
+                flat[at[i] : middle] = flat[at[left] : at[left] + size[left]]
+                flat[middle : at[i] + size[i]] = flat[at[right] : at[right] + size[right]]
+            self._table = flat, starts, lengths
         return self._table
 
     def positions(self) -> np.ndarray:
@@ -76,9 +72,16 @@ class Grammar:
         return ids[start - offset : end - offset]
 
 
-def _frequent_pairs(codes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _codes(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pairs at some places as numbers."""
+    codes = symbols[at].astype(np.int64)
+    codes <<= 32
+    codes |= symbols[at + 1]
+    return codes
+
+
+def _frequent_pairs(ordered: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The codes that occur ``least`` times, ascending, and how often they do."""
-    ordered = np.sort(codes)
     starts = np.flatnonzero(np.concatenate([ordered[:1] >= 0, ordered[1:] != ordered[:-1]]))
     counts = np.diff(starts, append=len(ordered))
     often = counts >= least
@@ -103,46 +106,69 @@ def _new_rules(pairs: np.ndarray, counts: np.ndarray, fresh: int) -> tuple[list,
     return rules, symbol
 
 
-def _found(codes: np.ndarray, pairs: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """The symbol of the pair at each place, or -1 where it isn't frequent."""
-    found = np.empty(len(codes), np.int32)
-    for i in range(0, len(codes), SLICE):
-        part = codes[i : i + SLICE]
-        place = np.minimum(np.searchsorted(pairs, part), len(pairs) - 1)
-        found[i : i + SLICE] = np.where(pairs[place] == part, symbol[place], -1)
+def _found(
+    symbols: np.ndarray, at: np.ndarray, pairs: np.ndarray, symbol: np.ndarray
+) -> np.ndarray:
+    """The symbol of the pair at each place, or -1 where it isn't frequent.
+
+    A table by hashes names one pair of each hash; only places of which another pair has
+    the hash are searched for.
+    """
+    bits = len(pairs).bit_length() + 3
+    table = np.full(1 << bits, -1, np.int32)
+    table[_hashed(pairs, bits)] = np.arange(len(pairs), dtype=np.int32)
+    found = np.empty(len(at), np.int32)
+    for i in range(0, len(at), SLICE):
+        part = _codes(symbols, at[i : i + SLICE])
+        place = table[_hashed(part, bits)]
+        right = pairs[place] == part  # a pair's own hash has a place
+        found[i : i + SLICE] = np.where(right, symbol[place], -1)
+        other = np.flatnonzero(~right & (place >= 0))
+        place = np.minimum(np.searchsorted(pairs, part[other]), len(pairs) - 1)
+        right = pairs[place] == part[other]
+        found[i + other[right]] = symbol[place[right]]
     return found
 
 
+def _hashed(codes: np.ndarray, bits: int) -> np.ndarray:
+    return ((codes.view(np.uint64) * MIXER) >> np.uint64(64 - bits)).view(np.int64)
+
+
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Grammar:
     """The grammar of the ids, all of which are below ``base``."""
     symbols = ids.astype(np.int32)
     rules: list[tuple[int, int]] = []
-    unsettled = np.ones(max(0, len(symbols) - 1), bool)  # places whose pair may be frequent
+    unsettled = np.ones(len(symbols), bool)  # places whose pair may be frequent
+    unsettled[-1:] = False
     while True:
         at = np.flatnonzero(unsettled).astype(np.int32)
-        codes = symbols[at].astype(np.int64) << 32
-        codes |= symbols[at + 1]
+        codes = _codes(symbols, at)
+        codes.sort()
         pairs, counts = _frequent_pairs(codes, max(2, least))
+        del codes
         if not len(pairs):
             break
         grown, symbol = _new_rules(pairs, counts, base + len(rules))
         rules += grown
-        found = _found(codes, pairs, symbol)
-        del codes
+        found = _found(symbols, at, pairs, symbol)
         unsettled[:] = False
         unsettled[at[found == 0]] = True
-        at, found = at[found > 0], found[found > 0]
+        replaced = np.flatnonzero(found > 0)
+        at, found = at[replaced], found[replaced]
         # Only a pair of equal symbols can overlap itself: take every other one of a run.
-        runs = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        nth = np.arange(len(at)) - np.repeat(runs, np.diff(runs, append=len(at)))
-        at, found = at[nth % 2 == 0], found[nth % 2 == 0]
+        apart = np.diff(at, prepend=np.int32(-2)) != 1
+        if not apart.all():
+            runs = np.flatnonzero(apart)
+            nth = np.arange(len(at)) - np.repeat(runs, np.diff(runs, append=len(at)))
+            at, found = at[nth % 2 == 0], found[nth % 2 == 0]
         symbols[at] = found
-        new = np.zeros(len(symbols), bool)
-        new[at] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, new = symbols[keep], new[keep]
-        unsettled = np.append(unsettled, False)[keep][:-1] | new[:-1] | new[1:]
+        symbols, unsettled = symbols[keep], unsettled[keep]
+        at -= np.arange(len(at), dtype=np.int32)  # where they are without what went
+        unsettled[at] = True
+        unsettled[np.maximum(at, 1) - 1] = True
+        unsettled[-1] = False
     lengths = np.ones(base + len(rules), np.int64)
     for i, (a, b) in enumerate(rules):
         lengths[base + i] = lengths[a] + lengths[b]

@@ -22,50 +22,118 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_map, new_folder, opened, put_file, written
+from millrace.llm.common import arrow_map, kept, new_folder, opened, put_file, trim, written
 from millrace.llm.repair import Grammar, compress
 
 SHARD_BYTES = 8 << 20
 MAGIC = b"RPAIR01\n"
-CACHED_PIECES = 600_000
-JOINED = 500
+CACHED_PIECES = 300_000
+JOINED = 5000
+BATCH_ROWS = 4000  # of at most 8 MiB
 
-_encoders: dict[str, PieceEncoder] = {}
 
+@dataclass
+class Pieces:
+    """Pieces that were met, and their ids in a row; ``sizes`` is -1 for pieces that can't
+    be encoded alone.
 
-class Pieces(dict):
-    """Ids of pieces by the text after the space in front of them.
-
-    A piece that is looked up for the first time gets an empty array, which is filled
-    when it has been encoded; None stands for pieces that can't be encoded alone.  When
-    half the room is taken, the pieces become the older half, of which those that are met
-    again move on and the rest is forgotten.
+    ``older`` are pieces that the last texts didn't hold, the latest first; those beyond
+    ``CACHED_PIECES`` are forgotten.
     """
 
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-        self.older: dict[str, bytes | None] = {}
+    words: pa.StringArray = field(default_factory=lambda: pa.array([], pa.string()))
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, "<u4"))
+    older: Pieces | None = None
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def at(self, places: np.ndarray) -> Pieces:
+        return Pieces(self.words.take(pa.array(places)), self.sizes[places], self.ids_at(places))
+
+    def ids_at(self, places: np.ndarray) -> np.ndarray:
+        """The ids of the pieces at the places, in a row."""
+        room = np.maximum(self.sizes, 0)
+        begin = (np.cumsum(room, dtype=np.int32) - room)[places]
+        room = room[places]
+        source = np.repeat(begin - (np.cumsum(room, dtype=np.int32) - room), room)
+        source += np.arange(len(source), dtype=np.int32)
+        return self.ids[source]
+
+    @staticmethod
+    def joined(parts: list[Pieces]) -> Pieces:
+        return Pieces(
+            pa.concat_arrays([p.words for p in parts]),
+            np.concatenate([p.sizes for p in parts]),
+            np.concatenate([p.ids for p in parts]),
+        )
 
-    def age(self) -> None:
-        if len(self) > CACHED_PIECES // 2:
-            self.older = dict(self)
-            self.clear()
 
-    def __missing__(self, piece: str) -> bytes | bytearray | None:
-        if piece in self.older:
-            self[piece] = known = self.older.pop(piece)
-            return known
-        self[piece] = ids = bytearray()
-        self.fresh.append(piece)
-        return ids
+# Kinds of bytes.  A plain piece holds visible ASCII characters but the apostrophe, Latin
+# letters of two bytes, and single line ends inside; in it the byte-level pre-tokens begin
+# where the kind changes, and the space in front of the piece belongs to the first.
+BLANK, LINE_END, LETTER, DIGIT, SIGN, ODD = range(6)
+KINDS = np.full(256, ODD, np.uint8)
+KINDS[33:127] = SIGN
+KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
+KINDS[48:58], KINDS[ord("'")] = DIGIT, ODD
+KINDS[ord(" ")], KINDS[ord("\n")] = BLANK, LINE_END
+LATIN = 0xC3  # the first byte of À to ÿ, of which × and ÷ are no letters
+NO_LETTERS = (0x97, 0xB7)
+PRE_TOKEN = r"^(\n| ?([A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+))$"
+# The character that stands for each byte in the vocabulary.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SHOWN = np.zeros(256, "<u2")
+SHOWN[PRINTED] = PRINTED
+SHOWN[SHOWN == 0] = np.arange(256, 512 - len(PRINTED))
+
+
+def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes in a row, and where each begins and the last ends."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _cut(texts: pa.StringArray, plain: bool) -> tuple[pa.StringArray, np.ndarray]:
+    """The pieces of the texts, each with the space in front of it, and how many come
+    before each text and its end; ``plain`` ones cut into pre-tokens."""
+    data, offsets = _bytes(texts)
+    starts = np.zeros(len(data) + 1, bool)
+    starts[:-1] = data == ord(" ")
+    starts[offsets] = True
+    if plain and len(data):
+        kinds = KINDS[data]
+        odd = kinds == ODD
+        latin = np.flatnonzero(data == LATIN)
+        high = data > 127
+        high[latin] = high[latin + 1] = False
+        odd |= high
+        odd[latin] |= np.isin(data[latin + 1], NO_LETTERS)
+        lines = np.flatnonzero(kinds == LINE_END)
+        edge = starts[lines] | starts[lines + 1]
+        edge |= (kinds[lines - 1] <= LINE_END) | (np.append(kinds, BLANK)[lines + 1] <= LINE_END)
+        odd[lines] |= edge
+        pieces = np.flatnonzero(starts[:-1])
+        odd = np.repeat(np.logical_or.reduceat(odd, pieces), np.diff(pieces, append=len(data)))
+        change = kinds[1:] != kinds[:-1]
+        change &= kinds[:-1] != BLANK
+        change &= ~odd[1:]
+        starts[1:-1] |= change
+    begin = np.flatnonzero(starts).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(begin) - 1, pa.py_buffer(begin), pa.py_buffer(data))
+    return pieces, np.searchsorted(begin, offsets)
 
 
 class PieceEncoder:
@@ -73,14 +141,16 @@ class PieceEncoder:
 
     The byte-level pre-tokenizer never joins a word to what stands before the space in
     front of it, so a text's ids are those of its pieces in a row.  Where white space
-    meets the space this doesn't hold; such texts are encoded whole.  New pieces are
-    encoded many at a time, and told apart again by the lengths of their tokens.
+    follows the space this doesn't hold; such texts are encoded whole, as are those with
+    special tokens.  Plain pieces are cut into their pre-tokens, which reach the model as
+    lines.  New pieces are encoded many at a time, and told apart again by the lengths of
+    their tokens.
     """
 
     def __init__(self, path: str):
         # A task has one core; the library's threads would only cost memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -90,59 +160,96 @@ class PieceEncoder:
             self.lengths[i] = len(token)
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [str(token.content) for token in added.values()]
-        self.pieces = Pieces()
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def _learn(self) -> bool:
-        """Encode the fresh pieces; False if some can't be encoded alone."""
-        fresh, self.pieces.fresh = self.pieces.fresh, []
-        safe = [w for w in fresh if w and not (w[0].isspace() or w[-1].isspace())]
-        if any(token in "".join(safe) for token in self.special):
-            safe = [w for w in safe if not any(token in w for token in self.special)]
-        if len(safe) < len(fresh):
-            self.pieces.update(dict.fromkeys(set(fresh).difference(safe)))
-        groups = [safe[i : i + JOINED] for i in range(0, len(safe), JOINED)]
-        joined = [" " + " ".join(group) for group in groups]
-        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for group, e in zip(groups, encoded, strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(w.encode()) + 1 for w in group])
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            data, start = ids.tobytes(), 0
-            for word, end in zip(group, (4 * cuts).tolist(), strict=True):
-                self.pieces[word][:] = piece = data[start:end]
-                self.pieces[word] = piece  # smaller than the array
-                start = end
-        return len(safe) == len(fresh)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.pieces = Pieces(older=Pieces())
+        self.lines = None
+        cuts = self.tokenizer.pre_tokenizer
+        if (
+            isinstance(self.tokenizer.model, models.BPE)
+            and isinstance(cuts, pre_tokenizers.ByteLevel)
+            and (cuts.use_regex, cuts.add_prefix_space) == (True, False)
+            and self.tokenizer.normalizer is None
+        ):
+            self.lines = Tokenizer(self.tokenizer.model)
+            self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+
+    def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        tokenizer = tokenizer or self.tokenizer
+        encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in encoded]
+
+    def _told_apart(self, words: pa.StringArray, ids: list[np.ndarray]) -> Pieces:
+        joined = np.concatenate([np.zeros(0, "<u4"), *ids])
+        ends = _bytes(words)[1]
+        cuts = np.searchsorted(np.cumsum(self.lengths[joined]), ends[1:]) + 1
+        return Pieces(words, np.diff(cuts, prepend=0).astype(np.int32), joined)
+
+    def _learnt(self, words: pa.StringArray) -> Pieces:
+        """The ids of distinct pieces."""
+        parts = []
+        if self.lines:
+            cut = pc.match_substring_regex(words, PRE_TOKEN)
+            plain, words, ids = words.filter(cut), words.filter(pc.invert(cut)), []
+            for at in range(0, len(plain), JOINED):
+                data, offsets = _bytes(plain.slice(at, JOINED))
+                shown = np.insert(SHOWN[data], offsets[1:-1], ord("\n"))
+                ids += self._ids([shown.tobytes().decode("utf-16-le")], self.lines)
+            parts.append(self._told_apart(plain, ids))
+        odd = words.to_pylist()
+        after = np.array([x[0] == " " for x in odd], bool)
+        safe = [len(x) > 1 and not x[1].isspace() for x in odd]
+        safe = after & np.array(safe, bool)
+        joined, ids = words.filter(pa.array(safe)), []
+        for at in range(0, len(joined), JOINED):
+            ids += self._ids(["".join(joined.slice(at, JOINED).to_pylist())])
+        parts.append(self._told_apart(joined, ids))
+        # What stands first in a text is encoded by itself.
+        ids = self._ids(words.filter(pa.array(~after)).to_pylist())
+        sizes = np.array([len(x) for x in ids], np.int32)
+        firsts = words.filter(pa.array(~after))
+        parts.append(Pieces(firsts, sizes, np.concatenate([np.zeros(0, "<u4"), *ids])))
+        unsafe = words.filter(pa.array(after & ~safe))
+        parts.append(Pieces(unsafe, np.full(len(unsafe), -1, np.int32)))
+        return Pieces.joined(parts)
+
+    def _look_up(self, words: pa.StringArray) -> np.ndarray:
+        """Places of the distinct words in ``pieces``, which holds just them from now on."""
+        known = Pieces.joined([self.pieces, self.pieces.older])
+        place = pc.index_in(words, known.words)
+        met = place.drop_null().to_numpy()
+        left = np.ones(len(known), bool)
+        left[met] = False
+        older = known.at(np.flatnonzero(left)[:CACHED_PIECES])
+        learnt = self._learnt(words.filter(place.is_null()))
+        self.pieces = Pieces.joined([known.at(met), learnt])
+        self.pieces.older = older
+        return pc.index_in(words, self.pieces.words).to_numpy()
+
+    def encode(self, texts: pa.StringArray | list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        self.pieces.age()
-        look_up = self.pieces.__getitem__
-        firsts, rests, found = [], [], []
-        for text in texts:
-            first, *rest = text.split(" ")
-            firsts.append(first)
-            rests.append(rest)
-            found.append(list(map(look_up, rest)))
-        if not self._learn():
-            found = [list(map(look_up, rest)) for rest in rests]
-        out = []
-        for text, first, ids, rest in zip(texts, firsts, self._ids(firsts), found, strict=True):
-            if rest and (first[-1:].isspace() or None in rest):
-                out.append(self._ids([text])[0])
-            else:
-                out.append(ids + b"".join(rest))
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        whole = np.zeros(len(texts), bool)
+        for token in self.special:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        some = pc.if_else(pa.array(whole), "", texts) if whole.any() else texts
+        pieces, starts = _cut(some, self.lines is not None)
+        coded = pieces.dictionary_encode()
+        which = self._look_up(coded.dictionary)[coded.indices.to_numpy()]
+        del pieces, coded
+        sizes = self.pieces.sizes[which]
+        unsafe = np.concatenate([[0], np.cumsum(sizes < 0)])[starts]
+        whole |= unsafe[1:] > unsafe[:-1]
+        ids = self.pieces.ids_at(which).tobytes()
+        stops = 4 * np.concatenate([[0], np.cumsum(np.maximum(sizes, 0))])[starts]
+        out = [ids[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
+        again = np.flatnonzero(whole).tolist()
+        for i, found in zip(again, self._ids([texts[i].as_py() for i in again]), strict=True):
+            out[i] = found.tobytes()
         return out
 
 
 def _encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return kept(f"pieces of {path}", lambda: PieceEncoder(path))
 
 
 def pack(doc_ids: list[int | None], ends: np.ndarray, grammar: Grammar) -> bytes:
@@ -216,14 +323,13 @@ def _writer(folder: str, vocabulary: str, end_id: int):
         encoded: list[bytes] = []
         for batch in batches:
             doc_ids += batch.column(0).to_pylist()
-            for at in range(0, len(batch), 100):
-                texts = batch.column(1).slice(at, 100).to_pylist()
-                encoded += [x + end for x in encoder.encode(texts)]
+            encoded += [x + end for x in encoder.encode(batch.column(1))]
         if not doc_ids:
             return
         ends = np.cumsum([len(x) // 4 for x in encoded])
         ids = np.frombuffer(b"".join(encoded), "<u4")
         del encoded
+        trim()  # makes room for the grammar
         data = pack(doc_ids, ends, compress(ids, max(encoder.base, end_id + 1)))
         shard = TaskContext.get().partitionId()
         path = f"{folder}/shard-{shard:06d}.rpair"
@@ -256,6 +362,7 @@ def write_tokens(
             arrow_map,
             _writer(folder, vocabulary, end_id),
             "shard BIGINT, path STRING, docs BIGINT, ids BIGINT, bytes BIGINT",
+            BATCH_ROWS,
         )
     )
     return written(files, "token-files")

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -89,6 +90,45 @@ def test_pieces_give_the_tokenizer_s_ids(tokenizer):
         assert found == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_pre_tokens_of_plain_pieces_are_learnt_once(tokenizer, monkeypatch):
+    encoder = t.PieceEncoder(VOCABULARY)
+    learnt, whole = [], []
+    learn, ids = encoder._learnt, encoder._ids
+    monkeypatch.setattr(encoder, "_learnt", lambda words: learnt.extend(words.to_pylist()) or learn(words))
+    monkeypatch.setattr(encoder, "_ids", lambda x, *own: whole.extend(x) or ids(x, *own))
+    for text in ["a Größe, Größe. (Größe)\nGröße 12", "it's Größe; a\n", "Größe12 × a"]:
+        found = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+        assert found == tokenizer.encode(text, add_special_tokens=False).ids
+        assert text not in whole
+    assert sorted(learnt) == sorted(
+        ["a", " Größe", ",", ".", " (", "Größe", ")", "\n", " 12", "it's", ";", " a\n", "12", " ×", " a"]
+    )
+
+
+@pytest.mark.parametrize(
+    "alphabet",
+    ["ab\n.1,' ", "a \n\t\r\x0b\x1c\x85\xa0\u3000", "×÷ÀßÿŸĀµªº a.", "你好a😀's é×\n ", "²½٣a1 \u0301e", "<|endoftext|> a\n"],
+)
+def test_random_texts_get_the_tokenizer_s_ids(tokenizer, alphabet):
+    encoder = t.PieceEncoder(VOCABULARY)
+    rng = random.Random(3)
+    for _ in range(10):
+        texts = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(100)]
+        texts.append(alphabet)
+        found = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+        assert found == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_grammars_take_little_memory_beside_the_ids():
+    ids = np.random.default_rng(4).zipf(1.3, 400_000).astype(np.uint32) % 50_000
+    compress(ids, 50_257)
+    tracemalloc.start()
+    compress(ids, 50_257)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(ids)
+
+
 def test_files_hold_every_document_in_order(spark, documents, tokenizer):
     rows = [(i * 7 % 101, x) for i, x in enumerate([*TEXTS, None])]
     rows += [(500 + i, f"text number {i} " * (i % 9)) for i in range(150)] + [(None, "no id"), (9, "again")]
