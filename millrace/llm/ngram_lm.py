@@ -119,7 +119,15 @@ def pack(arrays: dict[str, np.ndarray]) -> bytes:
     return b"".join([len(text).to_bytes(8, "little"), text, *parts])
 
 
-_open: dict[str, dict[str, np.ndarray]] = {}
+class Opened(dict):
+    """The arrays of files by path.  Functions are sent with what their modules hold; the
+    arrays of files that are open here stay here."""
+
+    def __reduce__(self):
+        return Opened, ()
+
+
+_open = Opened()
 
 
 def unpacked(path: str) -> dict[str, np.ndarray]:
@@ -534,6 +542,7 @@ def train(documents: DataFrame, text: str = "text", order: int = ORDER, kappa: f
     model.levels.append(vocabulary)
     if model.tokens:
         model.texts = int(model.word_counts(model.word_ids(hashes_of([END])))[0])
+        _open.clear()  # the driver needs the vocabulary no more
     for level in range(2, order + 1):
         model.levels.append(_build_level(model, level, texts, folder) if model.tokens else Parts())
     return model

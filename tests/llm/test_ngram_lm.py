@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from millrace.llm import ngram_lm as lm
 from millrace.llm.elias_fano import EliasFano
@@ -110,3 +111,19 @@ def test_words_are_cut_and_hashed_without_an_object_each():
     assert hashes[found].tolist() == lm.hashes_of(words).tolist()
     assert (hashes[1:] > hashes[:-1]).all()
     assert [len(x) for x in lm.numbered([])] == [0, 0, 0]
+
+
+def test_open_files_are_not_sent_with_the_functions(tmp_path, monkeypatch):
+    path = str(tmp_path / "words")
+    lm.put_file(path, lm.pack({"before": np.arange(100_000)}))
+    monkeypatch.setattr(lm, "_open", type(lm._open)())
+    assert len(lm.unpacked(path)["before"]) == 100_000 and path in lm._open
+    model = lm.Model(3, 200.0, levels=[lm.Parts()])
+    sent = cloudpickle.dumps(lm._count_level(model, 2, 1))
+    assert len(sent) < 100_000
+    assert cloudpickle.loads(cloudpickle.dumps(lm._open)) == {}
+
+
+def test_the_driver_keeps_no_file_open(documents):
+    lm.train(documents((1, "a b c"), (2, "a b")))
+    assert not lm._open
