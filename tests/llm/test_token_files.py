@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
 from millrace.llm import token_files as t
@@ -119,6 +120,12 @@ def test_random_texts_get_the_tokenizer_s_ids(tokenizer, alphabet):
         assert found == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_tasks_of_a_worker_share_an_encoder():
+    # Each task unpickles the function, and with it the variables of its module.
+    first, second = (cloudpickle.loads(cloudpickle.dumps(t._encoder)) for _ in range(2))
+    assert first(VOCABULARY) is second(VOCABULARY)
+
+
 def test_grammars_take_little_memory_beside_the_ids():
     ids = np.random.default_rng(4).zipf(1.3, 400_000).astype(np.uint32) % 50_000
     compress(ids, 50_257)
