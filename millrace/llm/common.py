@@ -66,15 +66,17 @@ def stored(df: DataFrame, purpose: str) -> Stored:
     return Stored(spark.read.schema(df.schema).parquet(path), path)
 
 
-def arrow_map(df: DataFrame, function, schema, records: int = 1000) -> DataFrame:
+def arrow_map(df: DataFrame, function, schema, records: int = 1000, keeps: str = "") -> DataFrame:
     """``mapInArrow`` in batches of few rows and bytes, however long the texts are.
 
     The settings are the session's, since a plan takes them when it runs.  Workers live
     on after a task, so what it has freed goes back to the system; what the tasks before
-    it held is part of cycles with their functions.
+    it held is part of cycles with their functions.  Of what earlier functions have
+    ``kept`` in a worker only the object named ``keeps`` stays.
     """
 
     def run(batches):
+        forget(keeps)
         yield from function(batches)
         gc.collect()
         trim()
@@ -95,6 +97,15 @@ def kept(name: str, make):
     return getattr(place, name)
 
 
+def forget(but: str = "") -> None:
+    """Drop what this process has kept, but for the object of that name."""
+    place = sys.modules.get("millrace_kept", ModuleType("millrace_kept"))
+    for name in [x for x in vars(place) if not x.startswith("__") and x != but]:
+        delattr(place, name)
+        gc.collect()
+        trim()
+
+
 def trim() -> None:
     """Give freed memory back to the system, where the C library can."""
     pa.default_memory_pool().release_unused()

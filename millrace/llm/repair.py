@@ -74,18 +74,45 @@ class Grammar:
 
 def _codes(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The pairs at some places as numbers."""
-    codes = symbols[at].astype(np.int64)
-    codes <<= 32
-    codes |= symbols[at + 1]
+    codes = np.empty(len(at), np.int64)
+    for i in range(0, len(at), SLICE):
+        part, places = codes[i : i + SLICE], at[i : i + SLICE]
+        part[:] = symbols[places]
+        part <<= 32
+        part |= symbols[places + 1]
     return codes
 
 
 def _frequent_pairs(ordered: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The codes that occur ``least`` times, ascending, and how often they do."""
-    starts = np.flatnonzero(np.concatenate([ordered[:1] >= 0, ordered[1:] != ordered[:-1]]))
-    counts = np.diff(starts, append=len(ordered))
-    often = counts >= least
-    return ordered[starts[often]], counts[often]
+    more = least - 1
+    pairs, counts = [ordered[:0]], [np.zeros(0, np.int64)]
+    end = max(0, len(ordered) - more)
+    for i in range(0, end, SLICE):
+        part = ordered[i : min(end, i + SLICE)]
+        # A code that occurs n times is found n - more times.
+        found = part[part == ordered[i + more : i + more + len(part)]]
+        starts = _starts(found)
+        pairs.append(found[starts])
+        counts.append(np.diff(starts, append=len(found)))
+    pairs, counts = np.concatenate(pairs), np.concatenate(counts)
+    starts = _starts(pairs)  # a code may go on in the next slice
+    return pairs[starts], np.add.reduceat(counts, starts) + more if len(starts) else counts
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each value begins."""
+    return np.flatnonzero(np.concatenate([ordered[:1] >= 0, ordered[1:] != ordered[:-1]]))
+
+
+def _places(marked: np.ndarray) -> np.ndarray:
+    places = np.empty(np.count_nonzero(marked), np.int32)
+    at = 0
+    for i in range(0, len(marked), SLICE):
+        part = np.flatnonzero(marked[i : i + SLICE])
+        places[at : at + len(part)] = part + i
+        at += len(part)
+    return places
 
 
 def _new_rules(pairs: np.ndarray, counts: np.ndarray, fresh: int) -> tuple[list, np.ndarray]:
@@ -141,7 +168,7 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Grammar:
     unsettled = np.ones(len(symbols), bool)  # places whose pair may be frequent
     unsettled[-1:] = False
     while True:
-        at = np.flatnonzero(unsettled).astype(np.int32)
+        at = _places(unsettled)
         codes = _codes(symbols, at)
         codes.sort()
         pairs, counts = _frequent_pairs(codes, max(2, least))
@@ -153,14 +180,16 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Grammar:
         found = _found(symbols, at, pairs, symbol)
         unsettled[:] = False
         unsettled[at[found == 0]] = True
-        replaced = np.flatnonzero(found > 0)
+        replaced = _places(found > 0)
         at, found = at[replaced], found[replaced]
         # Only a pair of equal symbols can overlap itself: take every other one of a run.
-        apart = np.diff(at, prepend=np.int32(-2)) != 1
-        if not apart.all():
-            runs = np.flatnonzero(apart)
-            nth = np.arange(len(at)) - np.repeat(runs, np.diff(runs, append=len(at)))
-            at, found = at[nth % 2 == 0], found[nth % 2 == 0]
+        later = _places(np.diff(at, prepend=np.int32(-2)) == 1)
+        if len(later):
+            runs = np.flatnonzero(np.diff(later, prepend=np.int32(-2)) != 1)
+            nth = np.arange(len(later)) - np.repeat(runs, np.diff(runs, append=len(later)))
+            once = np.ones(len(at), bool)
+            once[later[nth % 2 == 0]] = False
+            at, found = at[once], found[once]
         symbols[at] = found
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False

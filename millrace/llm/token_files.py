@@ -39,6 +39,7 @@ MAGIC = b"RPAIR01\n"
 CACHED_PIECES = 300_000
 JOINED = 5000
 BATCH_ROWS = 4000  # of at most 8 MiB
+CUT_BYTES = 1 << 20  # of texts that are cut at a time
 
 
 @dataclass
@@ -106,6 +107,17 @@ def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _parts(texts: pa.StringArray) -> Iterator[pa.StringArray]:
+    """The texts in stretches of about ``CUT_BYTES``; a longer text stands alone."""
+    ends = _bytes(texts)[1][1:]
+    at = 0
+    while at < len(texts):
+        begin = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, begin + CUT_BYTES, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def _cut(texts: pa.StringArray, plain: bool) -> tuple[pa.StringArray, np.ndarray]:
     """The pieces of the texts, each with the space in front of it, and how many come
     before each text and its end; ``plain`` ones cut into pre-tokens."""
@@ -232,24 +244,35 @@ class PieceEncoder:
         for token in self.special:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         some = pc.if_else(pa.array(whole), "", texts) if whole.any() else texts
-        pieces, starts = _cut(some, self.lines is not None)
-        coded = pieces.dictionary_encode()
-        which = self._look_up(coded.dictionary)[coded.indices.to_numpy()]
-        del pieces, coded
-        sizes = self.pieces.sizes[which]
-        unsafe = np.concatenate([[0], np.cumsum(sizes < 0)])[starts]
-        whole |= unsafe[1:] > unsafe[:-1]
-        ids = self.pieces.ids_at(which).tobytes()
-        stops = 4 * np.concatenate([[0], np.cumsum(np.maximum(sizes, 0))])[starts]
-        out = [ids[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
+        coded, starts = [], []
+        for part in _parts(some):
+            pieces, start = _cut(part, self.lines is not None)
+            coded.append(pieces.dictionary_encode())
+            starts.append(start)
+        coded = pa.chunked_array(coded, pa.dictionary(pa.int32(), pa.string())).unify_dictionaries()
+        places = self._look_up(coded.chunk(0).dictionary) if coded.num_chunks else None
+        out, unsafe = [], []
+        for part, start in zip(coded.iterchunks(), starts, strict=True):
+            which = places[part.indices.to_numpy()]
+            sizes = self.pieces.sizes[which]
+            odd = np.concatenate([[0], np.cumsum(sizes < 0)])[start]
+            unsafe.append(odd[1:] > odd[:-1])
+            ids = self.pieces.ids_at(which).tobytes()
+            stops = 4 * np.concatenate([[0], np.cumsum(np.maximum(sizes, 0))])[start]
+            out += [ids[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
+        whole |= np.concatenate([np.zeros(0, bool), *unsafe])
         again = np.flatnonzero(whole).tolist()
         for i, found in zip(again, self._ids([texts[i].as_py() for i in again]), strict=True):
             out[i] = found.tobytes()
         return out
 
 
+def _kept_name(path: str) -> str:
+    return f"pieces of {path}"
+
+
 def _encoder(path: str) -> PieceEncoder:
-    return kept(f"pieces of {path}", lambda: PieceEncoder(path))
+    return kept(_kept_name(path), lambda: PieceEncoder(path))
 
 
 def pack(doc_ids: list[int | None], ends: np.ndarray, grammar: Grammar) -> bytes:
@@ -363,6 +386,7 @@ def write_tokens(
             _writer(folder, vocabulary, end_id),
             "shard BIGINT, path STRING, docs BIGINT, ids BIGINT, bytes BIGINT",
             BATCH_ROWS,
+            _kept_name(vocabulary),
         )
     )
     return written(files, "token-files")

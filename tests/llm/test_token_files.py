@@ -4,12 +4,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
+from millrace.llm import common
 from millrace.llm import token_files as t
 from millrace.llm.repair import compress
 
@@ -136,6 +138,45 @@ def test_grammars_take_little_memory_beside_the_ids():
     assert peak < 30 * len(ids)
 
 
+def test_pairs_are_counted_in_little_memory():
+    ids = np.random.default_rng(4).zipf(1.3, 1_000_000).astype(np.uint32) % 5000
+    tracemalloc.start()
+    compress(ids, 50_257)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 22 * len(ids)
+
+
+def test_encoding_takes_little_memory_beside_the_texts():
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(2000)]
+    texts = pa.array([" ".join(rng.choices(words, k=200)) for _ in range(4000)])
+    encoder = t.PieceEncoder(VOCABULARY)
+    encoder.encode(texts)
+    tracemalloc.start()
+    encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * texts.nbytes
+
+
+def test_stretches_of_texts_get_the_ids_of_the_whole(tokenizer, monkeypatch):
+    monkeypatch.setattr(t, "CUT_BYTES", 40)
+    texts = [*TEXTS, "a  b", *TEXTS]
+    encoder = t.PieceEncoder(VOCABULARY)
+    found = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert found == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert encoder.encode([]) == []
+
+
+def test_tasks_of_other_operators_drop_the_encoder():
+    encoder = t._encoder(VOCABULARY)
+    common.forget(t._kept_name(VOCABULARY))
+    assert t._encoder(VOCABULARY) is encoder
+    common.forget()
+    assert t._encoder(VOCABULARY) is not encoder
+
+
 def test_files_hold_every_document_in_order(spark, documents, tokenizer):
     rows = [(i * 7 % 101, x) for i, x in enumerate([*TEXTS, None])]
     rows += [(500 + i, f"text number {i} " * (i % 9)) for i in range(150)] + [(None, "no id"), (9, "again")]
